@@ -54,9 +54,10 @@ def seed_scd2(source: DataFrame, bk: Sequence[str], tracked: Sequence[str], as_o
 
 
 def _open_versions(rows: DataFrame, tracked: Sequence[str], as_of: str, names: History) -> DataFrame:
+    """Stamp digest and validity; without ``tracked`` the source brings its own digest."""
+    hashed = rows.withColumn(names.digest, names.hash_of(tracked)) if tracked else rows
     return (
-        rows.withColumn(names.digest, names.hash_of(tracked))
-        .withColumn(names.eff, F.lit(as_of).cast("date"))
+        hashed.withColumn(names.eff, F.lit(as_of).cast("date"))
         .withColumn(names.exp, F.lit(K.OPEN_END).cast("date"))
         .withColumn(names.flag, F.lit("Y"))
     )
