@@ -55,8 +55,8 @@ def lookup(
 def with_flag(facts: DataFrame, other: DataFrame, on: str, other_key: str, name: str,
               row_id: Sequence[str]) -> DataFrame:
     """Mark rows whose key occurs in ``other``."""
-    known = other.select(F.col(other_key).alias("_known")).filter("_known IS NOT NULL").distinct()
+    known = other.select(F.col(other_key).alias("_flag_key")).filter("_flag_key IS NOT NULL").distinct()
     hit = known.withColumn(name, F.lit(True))
-    return lookup(facts, hit, on, "_known", {name: name}, row_id).withColumn(
+    return lookup(facts, hit, on, "_flag_key", {name: name}, row_id).withColumn(
         name, F.coalesce(name, F.lit(False))
     )

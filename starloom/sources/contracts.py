@@ -412,3 +412,7 @@ def check_sql(name: str) -> str:
     for mark, text in CHECK_MARKS.items():
         sql = sql.replace(mark, text)
     return re.sub(r"@(\w+)@", r"\1", sql)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
