@@ -14,6 +14,9 @@ from starloom.plans import order_analytics as A
 from starloom.plans import order_dims as D
 from starloom.plans import order_marts as M
 from starloom.plans import order_quality as Q
+from starloom.plans import ops_marts as OM
+from starloom.plans import ops_warehouse as O
+from starloom.plans.ops_warehouse import OpsWarehouse
 from starloom.plans.order_warehouse import CALENDAR, OrderWarehouse
 from starloom.plans.warehouse import open_warehouse
 from starloom.sources import contracts as feeds
@@ -133,4 +136,54 @@ ORDER_QUERIES: dict[str, Query] = {
     "staging_after_purge": _orders(_purged),
 }
 
-QUERIES: dict[str, Query] = {**ORDER_QUERIES}
+
+_BDH = ("_bdh_load_ts", "_dq_pass_rate", "month_key")
+_ADL = ("_adl_load_ts",)
+
+
+def _ops(build: Callable[[OpsWarehouse], DataFrame], drop: tuple[str, ...] = (), rounded: tuple[str, ...] = ()) -> Query:
+    return lambda spark, sf: plain(build(open_warehouse(OpsWarehouse, spark, sf)), drop, rounded)
+
+
+def _ops_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    events = feeds.table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("calendar_date")).agg(F.count(F.lit(1)).alias("events"))
+    return cal.dim_date_compact(spark, *CALENDAR).join(events, "calendar_date")
+
+
+def _rejects(w: OpsWarehouse) -> DataFrame:
+    return O.stacked(w, O.rejects).groupBy("target_table", "input_name", "rule_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+_EXEC = ("total_oil_bbl", "production_efficiency_pct", "avg_asset_availability_pct", "trir", "ltir", "avg_cost_per_bbl_usd")
+
+OPS_QUERIES: dict[str, Query] = {
+    "ops_dq_audit": _ops(lambda w: O.stacked(w, O.gate_counts)),
+    "ops_dq_rejects": _ops(_rejects),
+    "dim_asset_history": _ops(lambda w: w["dim_asset"]),
+    "dim_well_field": _ops(lambda w: w["dim_well_field"]),
+    "dim_cost_center": _ops(lambda w: w["dim_cost_center"], ("last_updated_ts",)),
+    "dim_product": _ops(lambda w: w["dim_product"], ("last_updated_ts",)),
+    "dim_employee_vendor": _ops(lambda w: w["dim_employee_vendor"], ("last_updated_ts", "department_code")),
+    "fact_production_daily": _ops(lambda w: w["fact_production_daily"], _BDH, (
+        "oil_volume_bbl", "gas_volume_mscf", "water_volume_bbl", "avg_tubing_pressure_psi", "planned_volume_bbl")),
+    "fact_equipment_downtime": _ops(lambda w: w["fact_equipment_downtime"], _BDH),
+    "fact_maintenance_workorder": _ops(lambda w: w["fact_maintenance_workorder"], _BDH),
+    "fact_pipeline_flow": _ops(lambda w: w["fact_pipeline_flow"], _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),
+    "fact_refinery_yield": _ops(lambda w: w["fact_refinery_yield"], _BDH, ("avg_api_gravity", "avg_sulfur_pct")),
+    "fact_hse_incident": _ops(lambda w: w["fact_hse_incident"], _BDH),
+    "fact_financial_actuals": _ops(lambda w: w["fact_financial_actuals"], _BDH),
+    "mart_production_kpi": _ops(lambda w: w["mart_production_kpi"], _ADL, (
+        "total_oil_bbl", "total_gas_mscf", "total_water_bbl", "planned_volume_bbl", "production_efficiency_pct", "uptime_pct")),
+    "mart_equipment_reliability": _ops(lambda w: w["mart_equipment_reliability"], _ADL, ("mtbf_hours", "mttr_hours", "availability_pct")),
+    "mart_hse_scorecard": _ops(lambda w: w["mart_hse_scorecard"], _ADL, ("trir", "ltir")),
+    "mart_financial_cost": _ops(lambda w: w["mart_financial_cost"], _ADL, ("production_bbl", "cost_per_bbl_usd")),
+    "mart_pipeline_integrity": _ops(lambda w: w["mart_pipeline_integrity"], _ADL, ("avg_flow_rate_bpd", "alarm_rate_per_1000bbl")),
+    "mart_executive_summary": _ops(O.executive_summary, _ADL, _EXEC),
+    "vw_exec_dashboard_latest": _ops(lambda w: OM.vw_exec_dashboard_latest(w["mart_executive_summary"]), _ADL, _EXEC),
+    "vw_hse_alert_facilities": _ops(lambda w: OM.vw_hse_alert_facilities(w["mart_hse_scorecard"]), (), ("trir", "ltir")),
+    "vw_reliability_watchlist": _ops(lambda w: OM.vw_reliability_watchlist(w["mart_equipment_reliability"]), (), (
+        "mtbf_hours", "mttr_hours", "availability_pct")),
+    "ops_calendar_use": _ops_calendar,
+}
+
+QUERIES: dict[str, Query] = {**ORDER_QUERIES, **OPS_QUERIES}
