@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as C
 from starloom.operators.keyed import latest_per_key
 
-ZERO = F.lit(0).cast("decimal(14,2)")
+
+def _zero() -> Column:
+    return F.lit(0).cast("decimal(14,2)")
 
 
 def cleanse_orders(stg_orders: DataFrame, batch_id: str) -> DataFrame:
@@ -44,8 +46,8 @@ def cleanse_orders(stg_orders: DataFrame, batch_id: str) -> DataFrame:
         C.without_vat(total).alias("order_amount_excl_vat"),
         F.when(vat > 0, vat).otherwise(C.vat_share(total)).alias("vat_amount"),
         F.coalesce(C.money("discount_amount"), no_amount).alias("discount_amount"),
-        ZERO.alias("recurring_charge_mrc"),
-        ZERO.alias("one_time_charge_otc"),
+        _zero().alias("recurring_charge_mrc"),
+        _zero().alias("one_time_charge_otc"),
         nothing.alias("delivery_city"),
         F.col("region_code").alias("delivery_region"),
         nothing.alias("delivery_postal_code"),
@@ -86,8 +88,8 @@ def cleanse_items(stg_items: DataFrame, batch_id: str) -> DataFrame:
         F.col("_incl").alias("unit_price_incl_vat"),
         (F.col("_incl") * F.col("_qty")).cast("decimal(18,2)").alias("item_total_amount"),
         C.money("discount_amount").alias("item_discount_amount"),
-        F.when(recurring, amount).otherwise(ZERO).alias("item_mrc"),
-        F.when(recurring, ZERO).otherwise(amount).alias("item_otc"),
+        F.when(recurring, amount).otherwise(_zero()).alias("item_mrc"),
+        F.when(recurring, _zero()).otherwise(amount).alias("item_otc"),
         (F.col("_excl") * F.lit("0.15").cast("decimal(3,2)") * F.col("_qty")).cast("decimal(14,2)")
         .alias("item_vat_amount"),
         C.mask_contact("product_msisdn").alias("product_msisdn_masked"),

@@ -53,9 +53,12 @@ def sla_by_segment(segment: Column) -> Column:
 def build_fact_transition(
     events: DataFrame, dim_order: DataFrame, dim_state: DataFrame, dim_party: DataFrame, batch_id: str,
     all_events: DataFrame | None = None, baseline_hrs: int = K.SLA_BASELINE, key_start: int | DataFrame = 0,
+    last_seen: DataFrame | None = None,
 ) -> DataFrame:
     """One row per state change, with the time spent in the state it leaves.
 
+    ``last_seen`` (``order_id, last_ts``) continues orders of earlier loads.
+
     The keys and the "previous event" both come from one global ordering by
     order and time, so an order with very many events is cut over partitions.
     """
@@ -68,7 +71,11 @@ def build_fact_transition(
     )
     orders = current(dim_order).select("order_sk", F.col("order_bk").alias("order_id"))
     known = batch.join(orders, "order_id").join(first_seen, "order_id", "left")
+    if last_seen is not None:
+        known = known.join(last_seen.select("order_id", "last_ts"), "order_id", "left")
     ranked = with_previous(number_rows(known, ["order_id", "evt_ts", "stg_record_id"]), "order_id", "evt_ts", "prev_ts")
+    if last_seen is not None:
+        ranked = ranked.withColumn("prev_ts", F.coalesce("prev_ts", "last_ts"))
     ranked = _code_sk(ranked, dim_state, "from_cd", "order_state_cd", "order_state_sk", "from_state_sk")
     ranked = _code_sk(ranked, dim_state, "to_cd", "order_state_cd", "order_state_sk", "to_state_sk")
     ranked = _sk(ranked, current(dim_party), "changed_by_user_id", "party_bk",

@@ -30,9 +30,13 @@ class Warehouse:
         # one folder per application: tables of an earlier run are never mistaken for this one's
         self.root = root or f"{shared_dir(spark)}/warehouse/{spark.sparkContext.applicationId}/{feed}"
         self._ready: dict[str, DataFrame] = {}
+        self._feeds: dict[str, DataFrame] = {}
 
     def feed(self, name: str) -> DataFrame:
-        return contract(self.spark, self.sf_dir, name)
+        """A raw feed, analysed once; it is a plan, not data."""
+        if name not in self._feeds:
+            self._feeds[name] = contract(self.spark, self.sf_dir, name)
+        return self._feeds[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:

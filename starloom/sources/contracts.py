@@ -14,6 +14,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import prepare
+from starloom.sources.files import spread_hint
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -403,7 +404,13 @@ def contract(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         sql = sql.replace(mark, text)
     # the benchmark keeps zone-less timestamps; literals have to match
     sql = re.sub(r"\bTIMESTAMP '", "TIMESTAMP_NTZ '", sql)
-    return spark.sql(re.sub(r"@(\w+)@", rf"parquet.`{sf_dir.rstrip('/')}/\1.parquet`", sql))
+
+    def source(mark: re.Match) -> str:
+        path = f"{sf_dir.rstrip('/')}/{mark.group(1)}.parquet"
+        hint = spread_hint(spark, path)
+        return f"(SELECT {hint} * FROM parquet.`{path}`)" if hint else f"parquet.`{path}`"
+
+    return spark.sql(re.sub(r"@(\w+)@", source, sql))
 
 
 def check_sql(name: str) -> str:

@@ -1,0 +1,24 @@
+"""Reading files that offer too few splits."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import SparkSession
+
+
+@lru_cache(maxsize=1024)
+def _splits(application: str, spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).rdd.getNumPartitions()  # planning only, no job
+
+
+def spread_hint(spark: SparkSession, path: str) -> str:
+    """SQL hint that spreads a small or unsplittable file over the cores.
+
+    One row group is one task however many cores there are, and every later
+    stage inherits that. Inputs with at least one split per core get no hint, so
+    a large table is never shuffled for this.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    few = _splits(spark.sparkContext.applicationId, spark, path) < cores
+    return f"/*+ REPARTITION({cores}) */" if few else ""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,22 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns)
 
 
-def write_append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    if table_exists(df.sparkSession, table):
-        _aligned(_sized(df, partition_by), table).write.mode("append").insertInto(table)
+def _ensure_table(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Create the table from the schema alone, so every load is an insert (and can be observed)."""
+    spark = df.sparkSession
+    if table_exists(spark, table):
         return
-    writer = _sized(df, partition_by).write.format("parquet").mode("append")
+    writer = spark.createDataFrame([], df.schema).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 
+def write_append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    _ensure_table(df, table, partition_by)
+    _aligned(_sized(df, partition_by), table).write.mode("append").insertInto(table)
+
+
 def write_overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh. ``df`` must not read ``table``; use :func:`publish_version` for that."""
     writer = _sized(df, partition_by).write.format("parquet").mode("overwrite")
@@ -46,6 +53,18 @@ def write_overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = ())
     writer.saveAsTable(table)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` takes the overwrite mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _spec(values: Mapping[str, object]) -> str:
     return ", ".join(f"{k}='{v}'" for k, v in values.items())
 
@@ -68,8 +87,8 @@ def overwrite_partitions(
     parts = partition_columns(spark, table)
     for values in clear:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(values)})")
-    writer = _aligned(_sized(df, parts), table).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _dynamic_overwrite(spark):
+        _aligned(_sized(df, parts), table).write.mode("overwrite").insertInto(table)
 
 
 def replace_batch(df: DataFrame, table: str, batch_id: str, batch_col: str = "etl_batch_id") -> None:
@@ -117,7 +136,12 @@ def purge_partitions(spark: SparkSession, tables: Sequence[str], date_col: str,
     """Retention on tables partitioned by load date: drops whole partitions, rewrites nothing."""
     cutoff = dt.date.fromisoformat(as_of) - dt.timedelta(days=days)
     for table in tables:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} < '{cutoff}')")
+        # partition names only: one per day of retention, never data
+        names = spark.sql(f"SHOW PARTITIONS {table}").select(
+            F.regexp_extract("partition", rf"(?:^|/){date_col}=([0-9-]+)", 1).alias("day")
+        ).distinct()
+        for row in names.filter(f"day <> '' AND day < '{cutoff}'").collect():
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec({date_col: row.day})})")
 
 
 def mark_processed(df: DataFrame, batch_id: str) -> DataFrame:
