@@ -1,21 +1,22 @@
 """Global order without a single-task window.
 
 A frame is range-partitioned on the ordering columns, sorted inside each
-partition and checkpointed, so partition numbers can never change on a retry.
-On that pinned layout dense numbering, "previous row of the same key" and
-running totals need only small per-partition carries. Because the range is cut
-on key *and* order columns, a key holding a third of all rows is spread over
-many partitions.
+partition and written to the shared folder together with its partition number
+and position, so nothing can be renumbered by a retry. On that stored layout
+dense numbering, "previous row of the same key" and running totals need only
+small per-partition carries. Because the range is cut on key *and* order
+columns, a key holding a third of all rows is spread over many partitions.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import prepare
+from starloom.session import prepare, shared_dir
 
 PID, RN = "_pid", "_rn"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
@@ -26,21 +27,22 @@ def number_rows(df: DataFrame, order_by: Sequence[str], partitions: int | None =
 
     ``order_by`` has to identify rows, otherwise ties are numbered arbitrarily.
     """
-    prepare(df.sparkSession)
+    spark = prepare(df.sparkSession)
     cols = [F.col(c) for c in order_by]
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    pinned = ranged.sortWithinPartitions(*cols).checkpoint()
-    mid = F.monotonically_increasing_id()
-    placed = pinned.withColumn("_mid", mid).withColumn(PID, F.shiftright("_mid", _ROW_BITS).cast("int"))
+    position = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
+    placed = ranged.sortWithinPartitions(*cols).withColumn(PID, F.spark_partition_id()).withColumn("_pos", position)
+    folder = f"{shared_dir(spark)}/ordered/{uuid.uuid4().hex}"
+    placed.write.parquet(folder)
+    stored = spark.read.schema(placed.schema).parquet(folder)
     # one row per partition: bounded by the partition count, so broadcast is safe
-    sizes = placed.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = stored.groupBy(PID).agg((F.max("_pos") + 1).alias("_n"))
     before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)
     return (
-        placed.join(F.broadcast(offsets), PID)
-        .withColumn(RN, F.col("_offset") + position + 1)
-        .drop("_mid", "_offset")
+        stored.join(F.broadcast(offsets), PID)
+        .withColumn(RN, F.col("_offset") + F.col("_pos") + 1)
+        .drop("_pos", "_offset")
     )
 
 
@@ -50,19 +52,20 @@ def assign_surrogate_keys(
     """Dense keys in business-key order, continuing after ``start``.
 
     ``start`` is a number, or a one-row frame whose only column is the highest
-    key in use (kept as a frame so the maximum never visits the driver).
+    key in use (a scalar subquery, so it is read when the keys are).
     """
     numbered = number_rows(df, bk_cols)
-    if isinstance(start, DataFrame):
-        base = start.toDF("_base").select(F.coalesce("_base", F.lit(0)).cast("long").alias("_base"))
-        # an ungrouped aggregate: exactly one row
-        numbered = numbered.crossJoin(F.broadcast(base))
-        key = F.greatest(F.col("_base"), F.lit(0)) + F.col(RN)
-    else:
-        key = F.col(RN) + F.lit(start)
+    key = F.col(RN) + first_free(start)
     return numbered.withColumn(sk_col, key.cast("long")).select(sk_col, *df.columns)
 
 
+def first_free(start: int | DataFrame) -> Column:
+    """Offset for new keys; the unknown member's -1 and an empty table both mean zero."""
+    if isinstance(start, DataFrame):
+        return F.greatest(F.coalesce(start.scalar(), F.lit(0)), F.lit(0)).cast("long")
+    return F.lit(start).cast("long")
+
+
 def highest_key(df: DataFrame, sk_col: str) -> DataFrame:
     return df.agg(F.max(sk_col).alias(sk_col))
 

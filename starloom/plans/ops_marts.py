@@ -149,8 +149,7 @@ def mart_executive_summary(
 
 
 def vw_exec_dashboard_latest(summary: DataFrame) -> DataFrame:
-    newest = summary.agg(F.max(MONTH).alias(MONTH))  # one row
-    return summary.join(F.broadcast(newest), MONTH)
+    return summary.filter(F.col(MONTH) == summary.agg(F.max(MONTH)).scalar())
 
 
 def vw_hse_alert_facilities(scorecard: DataFrame) -> DataFrame:

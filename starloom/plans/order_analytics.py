@@ -270,11 +270,11 @@ def uc08(star: Star, year: int, month: int) -> DataFrame:
 def uc09(star: Star, year: int, month: int) -> DataFrame:
     """Share of a month's orders that ever reached each state."""
     cohort = in_year(star["fact_order"], "date_sk", year, month).select("order_sk").distinct()
-    size = cohort.agg(_n().alias("_size"))  # one row
+    size = cohort.agg(_n()).scalar()
     reached = star["fact_transition"].select("order_sk", "to_state_sk").join(cohort, "order_sk", "left_semi").distinct()
     f = with_state(star, reached, "to_state_sk", "inner", order_state_cd="order_state_cd", sort_order="sort_order")
     per = f.groupBy("order_state_cd", "sort_order").agg(F.count_distinct("order_sk").alias("orders_reached_state"))
-    return per.crossJoin(F.broadcast(size)).select(
+    return per.withColumn("_size", size).select(
         "order_state_cd", "sort_order", "orders_reached_state",
         ratio(F.col("orders_reached_state"), F.col("_size")).alias("pct_of_cohort"),
         (F.col("_size") - F.col("orders_reached_state")).alias("dropped_before_state"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom import constants as K
 from starloom.functions import columns as C
 from starloom.operators.keyed import lookup
-from starloom.operators.ordered import RN, assign_surrogate_keys, number_rows, with_previous
+from starloom.operators.ordered import RN, assign_surrogate_keys, first_free, number_rows, with_previous
 
 
 UNKNOWN_SK = -1
@@ -82,10 +82,7 @@ def build_fact_transition(
                  {"party_sk": "changed_by_party_sk"}, ["order_id", RN])
     repeated = F.col("prev_ts").isNotNull()
     elapsed = F.when(repeated, C.dbl(C.whole_hours("first_ts", "evt_ts")) / F.lit(float(baseline_hrs)) * F.lit(100.0))
-    base = key_start.toDF("_base") if isinstance(key_start, DataFrame) else None
-    if base is not None:
-        ranked = ranked.crossJoin(F.broadcast(base.select(F.coalesce("_base", F.lit(0)).alias("_base"))))
-    key = F.col(RN) + (F.col("_base") if base is not None else F.lit(key_start))
+    key = F.col(RN) + first_free(key_start)
     return ranked.select(
         key.cast("long").alias("transition_sk"),
         "order_sk",
@@ -141,20 +138,23 @@ def build_fact_order(
     ``as_of`` is the moment the running service clock is read.
     """
     batch = ods_orders.filter(F.col("stg_batch_id") == batch_id)
-    # order-grain sides share the order key, so the header rows move once for all three
-    headers = current(dims["order"]).select("order_sk", "order_bk")
-    changes = transitions.groupBy("order_bk").agg(F.count(F.lit(1)).cast("int").alias("_changes"))
-    f = batch.join(headers, "order_bk").join(primary_offering(ods_items), "order_bk", "left").join(changes, "order_bk", "left")
     known, stranger = first_order_dates(batch, dims["customer"], prior_fact)
-    f = _sk(f, known, "customer_bk", "customer_bk", {"customer_sk": "customer_sk", "first_sk": "_first"}, ["order_bk"])
-    f = f.crossJoin(F.broadcast(stranger))  # one row
-    f = _sk(f, current(dims["offering"]), "primary_offering_bk", "product_offering_bk", {
+    # Keys are resolved on rows that carry nothing but natural keys; if dimensions are
+    # too large to broadcast, only these short rows move once per dimension.
+    k = batch.select("order_bk", "customer_bk", "seller_party_bk", region_key("delivery_region", "delivery_postal_code").alias("_region"))
+    k = k.join(primary_offering(ods_items), "order_bk", "left")
+    k = _sk(k, known, "customer_bk", "customer_bk", {"customer_sk": "customer_sk", "first_sk": "_first"}, ["order_bk"])
+    k = _sk(k, current(dims["offering"]), "primary_offering_bk", "product_offering_bk", {
         "product_offering_sk": "product_offering_sk", "contract_duration_months": "_months",
         "is_5g_flag": "_5g", "is_bundle_flag": "_bundle", "product_type_cd": "_ptype",
     }, ["order_bk"])
-    f = _sk(f, dims["geography"], region_key("delivery_region", "delivery_postal_code"), "geography_bk",
-            {"geography_sk": "geography_sk"}, ["order_bk"])
-    f = _sk(f, current(dims["party"]), "seller_party_bk", "party_bk", {"party_sk": "seller_party_sk"}, ["order_bk"])
+    k = _sk(k, dims["geography"], "_region", "geography_bk", {"geography_sk": "geography_sk"}, ["order_bk"])
+    k = _sk(k, current(dims["party"]), "seller_party_bk", "party_bk", {"party_sk": "seller_party_sk"}, ["order_bk"])
+    k = k.drop("customer_bk", "seller_party_bk", "_region", "primary_offering_bk")
+    # order-grain sides share the order key: the full header rows move once for all three
+    headers = current(dims["order"]).select("order_sk", "order_bk")
+    changes = transitions.groupBy("order_bk").agg(F.count(F.lit(1)).cast("int").alias("_changes"))
+    f = batch.join(headers, "order_bk").join(k, "order_bk").join(changes, "order_bk", "left")
     f = _code_sk(f, dims["state"], "order_state_cd", "order_state_cd", "order_state_sk", "order_state_sk")
     digital = dims["channel"].select(F.col("channel_cd").alias("_ch"), "channel_sk", "is_digital_flag")
     f = f.join(F.broadcast(digital), F.col("channel_cd") == F.col("_ch"), "left")
@@ -165,7 +165,7 @@ def build_fact_order(
     target, simple = sla_target(seg, F.col("_5g"), F.col("_ptype")), sla_by_segment(seg)
     age = C.whole_hours(F.col("order_date"), F.lit(as_of).cast("timestamp_ntz"))
     hrs = lambda c: c.cast("decimal(10,2)")
-    first = F.when(F.col("customer_sk") == UNKNOWN_SK, F.col("_stranger_first")).otherwise(F.col("_first"))
+    first = F.when(F.col("customer_sk") == UNKNOWN_SK, stranger.scalar()).otherwise(F.col("_first"))
     return f.select(
         (F.col("order_sk") * 100000000 + day).alias("order_snapshot_key"),
         "order_sk",
@@ -214,17 +214,19 @@ def build_fact_item(
     """Item rows with resolved keys and price fallbacks."""
     items = ods_items if loaded_since is None else ods_items.filter(F.col("ods_load_dt") >= F.lit(loaded_since).cast("timestamp_ntz"))
     headers = current(dims["order"]).select("order_bk", "order_sk", "order_date")
+    # what belongs to the order is resolved once per order, not once per item
     owners = ods_orders.select("order_bk", "customer_bk", "channel_cd")
+    owners = _sk(owners, current(dims["customer"]), "customer_bk", "customer_bk", {"customer_sk": "customer_sk"}, ["order_bk"])
+    owners = _code_sk(owners, dims["channel"], "channel_cd", "channel_cd", "channel_sk", "channel_sk")
     row = ["order_bk", "order_item_id"]
-    f = items.join(headers, "order_bk").join(owners, "order_bk", "left")
-    f = _sk(f, current(dims["customer"]), "customer_bk", "customer_bk", {"customer_sk": "customer_sk"}, row)
+    f = items.join(headers, "order_bk").join(owners.select("order_bk", "customer_sk", "channel_sk"), "order_bk", "left")
+    f = f.withColumns({c: F.coalesce(c, F.lit(UNKNOWN_SK)) for c in ("customer_sk", "channel_sk")})
     f = _sk(f, current(dims["offering"]), "product_offering_bk", "product_offering_bk", {
         "product_offering_sk": "product_offering_sk", "is_5g_flag": "_5g", "product_type_cd": "_ptype"}, row)
     f = _sk(f, dims["geography"], region_key("delivery_region", "delivery_postal_code"), "geography_bk",
             {"geography_sk": "geography_sk"}, row)
     f = _code_sk(f, dims["state"], "item_state_cd", "order_state_cd", "order_state_sk", "item_state_sk")
     f = _code_sk(f, dims["action"], "action_cd", "action_cd", "action_sk", "action_sk")
-    f = _code_sk(f, dims["channel"], "channel_cd", "channel_cd", "channel_sk", "channel_sk")
     zero = F.lit(0).cast("decimal(14,2)")
     qty = F.coalesce("item_quantity", F.lit(1))
     fifteen = F.lit(K.VAT_RATE).cast("decimal(3,2)")
