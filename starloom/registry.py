@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.scd import ORDER_HISTORY, classify_changes, lookup_as_of
+from starloom.operators.keyed import latest_per_key
+from starloom.operators.ordered import assign_surrogate_keys, number_rows, with_previous, with_running
+from starloom.operators.scd import ORDER_HISTORY, classify_changes, lookup_as_of, scd1_upsert
 from starloom.plans import calendar as cal
 from starloom.plans import order_analytics as A
 from starloom.plans import order_dims as D
@@ -16,6 +18,7 @@ from starloom.plans import order_marts as M
 from starloom.plans import order_quality as Q
 from starloom.plans import ops_marts as OM
 from starloom.plans import ops_warehouse as O
+from starloom.plans import round_trips as RT
 from starloom.plans.ops_warehouse import OpsWarehouse
 from starloom.plans.order_warehouse import CALENDAR, OrderWarehouse
 from starloom.plans.warehouse import open_warehouse
@@ -186,4 +189,53 @@ OPS_QUERIES: dict[str, Query] = {
     "ops_calendar_use": _ops_calendar,
 }
 
-QUERIES: dict[str, Query] = {**ORDER_QUERIES, **OPS_QUERIES}
+
+def _numbered_items(spark: SparkSession, sf: str) -> DataFrame:
+    rows = feeds.contract(spark, sf, "stg_items").select("order_id", "order_item_id", "item_quantity")
+    return assign_surrogate_keys(rows, ["order_id", "order_item_id"], "item_sk", 1000)
+
+
+def _previous_event(spark: SparkSession, sf: str) -> DataFrame:
+    rows = feeds.contract(spark, sf, "stg_events").select("order_id", "event_timestamp", "stg_record_id")
+    ranked = number_rows(rows, ["order_id", "event_timestamp", "stg_record_id"])
+    return with_previous(ranked, "order_id", "event_timestamp", "previous_timestamp").drop("_pid", "_rn")
+
+
+def _running_spend(spark: SparkSession, sf: str) -> DataFrame:
+    rows = feeds.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderdate", "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    ranked = number_rows(rows, ["o_custkey", "o_orderdate", "o_orderkey"])
+    running = with_running(ranked, "o_custkey", {"running_spend": "price", "seq": F.lit(1)})
+    return plain(running.drop("_pid", "_rn", "o_orderdate", "price"))
+
+
+def _latest_copy(spark: SparkSession, sf: str) -> DataFrame:
+    orders = feeds.contract(spark, sf, "stg_orders").filter("order_id <> ''")
+    return latest_per_key(orders.select("order_id", "stg_load_dt", "stg_record_id", "total_amount"), ["order_id"], ["stg_load_dt", "stg_record_id"])
+
+
+def _upserted(spark: SparkSession, sf: str) -> DataFrame:
+    load = lambda n: feeds.contract(spark, sf, f"stg_customers_{n}").select("customer_id", "customer_segment", "churn_risk_score")
+    args = (["customer_id"], ["customer_segment", "churn_risk_score"], "sk")
+    return scd1_upsert(scd1_upsert(None, load(1), *args), load(2), *args)
+
+
+def _landed(source: str, table: str, feed: str) -> Query:
+    return lambda spark, sf: RT.landed(spark, sf, source, table, feed)
+
+
+OPERATOR_QUERIES: dict[str, Query] = {
+    "surrogate_keys": _numbered_items,
+    "previous_event_per_order": _previous_event,
+    "running_spend_per_customer": _running_spend,
+    "latest_copy_per_order": _latest_copy,
+    "scd1_upsert_customers": _upserted,
+    "ingest_json_incidents": _landed("hse", "raw_incident_report", "incidents"),
+    "ingest_csv_downtime": _landed("maximo_eam", "raw_downtime_event", "downtime"),
+    "ingest_parquet_cost_actuals": lambda spark, sf: plain(RT.landed(spark, sf, "sap_erp", "raw_cost_center_actuals", "cost_actuals")),
+    "replace_batch_reload": RT.reloaded_batches,
+    "append_and_overwrite_partitions": RT.appended_partitions,
+    "stream_state_transitions": lambda spark, sf: plain(RT.streamed_transitions(spark, sf), ("transition_sk", "order_item_sk", "etl_batch_id")),
+}
+
+QUERIES: dict[str, Query] = {**ORDER_QUERIES, **OPS_QUERIES, **OPERATOR_QUERIES}

@@ -40,7 +40,7 @@ def with_audit(df: DataFrame, business_date: str, run_id: str, source_file: str
 
 def ingest_source(
     spark: SparkSession, source: str, business_date: str, run_id: str, root: str,
-    tables: Sequence[str] | None = None,
+    tables: Sequence[str] | None = None, database: str | None = None,
 ) -> dict[str, int]:
     """Load every table of a source for one day; returns rows per table.
 
@@ -51,7 +51,7 @@ def ingest_source(
     written = {}
     for table in tables or feed.tables:
         raw = with_audit(read_landing(spark, source, table, business_date, root), business_date, run_id)
-        name = f"{feed.schema}.{table}"
+        name = f"{database or feed.schema}.{table}"
         overwrite_partitions(raw, name, ["_business_date"], clear=[{"_business_date": business_date}])
         day = F.col("_business_date") == F.lit(business_date).cast("date")
         written[table] = spark.table(name).filter(day).count()
