@@ -17,6 +17,7 @@ from starloom import constants as K
 from starloom.functions.columns import change_hash
 from starloom.operators.keyed import latest_per_key
 from starloom.operators.ordered import assign_surrogate_keys, highest_key
+from starloom.sources.tables import publish_version, table_exists
 
 
 @dataclass(frozen=True)
@@ -166,6 +167,22 @@ def scd1_upsert(
     )
 
 
+def merge_scd2(source: DataFrame, table: str, bk: Sequence[str], tracked: Sequence[str], as_of: str, sk_col: str,
+               **options: object) -> None:
+    """Apply a batch to a stored Type-2 dimension and publish its next version."""
+    publish_version(scd2_apply(_stored(source, table), source, bk, tracked, as_of, sk_col, **options), table)
+
+
+def merge_scd1(source: DataFrame, table: str, bk: Sequence[str], update_cols: Sequence[str], sk_col: str) -> None:
+    """Apply a batch to a stored Type-1 dimension and publish its next version."""
+    publish_version(scd1_upsert(_stored(source, table), source, bk, update_cols, sk_col), table)
+
+
+def _stored(source: DataFrame, table: str) -> DataFrame | None:
+    spark = source.sparkSession
+    return spark.table(table) if table_exists(spark, table) else None
+
+
 def lookup_as_of(
     facts: DataFrame, dim: DataFrame, bk: Sequence[str], date_col: str, names: History = ORDER_HISTORY
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.dq import latest_scorecard
 from starloom.operators.keyed import latest_per_key
 from starloom.operators.ordered import assign_surrogate_keys, number_rows, with_previous, with_running
 from starloom.operators.scd import ORDER_HISTORY, classify_changes, lookup_as_of, scd1_upsert
@@ -157,11 +158,20 @@ def _rejects(w: OpsWarehouse) -> DataFrame:
     return O.stacked(w, O.rejects).groupBy("target_table", "input_name", "rule_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _latest_scorecard(w: OpsWarehouse) -> DataFrame:
+    minutes = F.length("input_name") * F.expr("INTERVAL '1' MINUTE")
+    audit = O.stacked(w, O.gate_counts).select(
+        "*", F.col("input_name").alias("ingestion_run_id"), F.lit(O.AS_OF).cast("date").alias("business_date"),
+        (F.lit(O.STAMP).cast("timestamp_ntz") + minutes).alias("evaluated_ts"))
+    return latest_scorecard(audit)
+
+
 _EXEC = ("total_oil_bbl", "production_efficiency_pct", "avg_asset_availability_pct", "trir", "ltir", "avg_cost_per_bbl_usd")
 
 OPS_QUERIES: dict[str, Query] = {
     "ops_dq_audit": _ops(lambda w: O.stacked(w, O.gate_counts)),
     "ops_dq_rejects": _ops(_rejects),
+    "ops_dq_latest_scorecard": _ops(_latest_scorecard),
     "dim_asset_history": _ops(lambda w: w["dim_asset"]),
     "dim_well_field": _ops(lambda w: w["dim_well_field"]),
     "dim_cost_center": _ops(lambda w: w["dim_cost_center"], ("last_updated_ts",)),

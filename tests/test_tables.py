@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.scd import scd2_apply
+from starloom.operators.scd import merge_scd1, merge_scd2, scd2_apply
 from starloom.sources import tables as t
 from starloom.sources.landing import AUDIT_COLUMNS, explode_order_items, ingest_source, landing_path, read_landing, with_audit
 from starloom.sources.schemas import FEEDS
@@ -55,6 +55,16 @@ def test_published_version_may_read_the_current_one(spark, database):
     assert sorted((r.k, r.s, r.current_row_flag) for r in spark.table(name).collect()) == [("a", "1", "N"), ("a", "2", "Y"), ("b", "1", "Y")]
 
 
+def test_stored_dimensions_take_batches(spark, database):
+    src = lambda *r: spark.createDataFrame(list(r), "k string, s string")
+    for day, rows in (("2026-01-01", [("a", "1")]), ("2026-01-02", [("a", "2"), ("b", "1")]), ("2026-01-02", [("a", "2"), ("b", "1")])):
+        merge_scd2(src(*rows), f"{database}.two", ["k"], ["s"], day, "sk")
+        merge_scd1(src(*rows), f"{database}.one", ["k"], ["s"], "sk")
+    assert sorted((r.sk, r.k, r.s, r.current_row_flag) for r in spark.table(f"{database}.two").collect()) == [
+        (1, "a", "1", "N"), (2, "a", "2", "Y"), (3, "b", "1", "Y")]
+    assert sorted((r.sk, r.k, r.s) for r in spark.table(f"{database}.one").collect()) == [(1, "a", "2"), (2, "b", "1")]
+
+
 def test_retention(spark, database):
     df = spark.createDataFrame([(dt.date(2026, 1, 1),), (dt.date(2026, 6, 1),), (None,)], "d date")
     assert t.purge_older_than(df, "d", "2026-06-02").count() == 2
