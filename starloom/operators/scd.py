@@ -39,18 +39,26 @@ PIPELINE_HISTORY = History()
 ORDER_HISTORY = History(eff="row_eff_dt", exp="row_exp_dt", algo="md5", sep="")
 
 
-def _usable(source: DataFrame, bk: Sequence[str]) -> DataFrame:
-    """Rows with a complete business key, one per key."""
+def _usable(source: DataFrame, bk: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows with a complete business key, one per key.
+
+    Callers that have already reduced the source to one row per key say so and
+    save the aggregation. Otherwise the winner among copies is fixed by a row hash.
+    """
     for c in bk:
         source = source.filter(F.col(c).isNotNull())
     rest = [c for c in source.columns if c not in bk]
-    return latest_per_key(source, bk, rest) if rest else source.distinct()
+    if unique:
+        return source
+    if not rest:
+        return source.distinct()
+    return latest_per_key(source.withColumn("_h", F.xxhash64(*rest)), bk, ["_h"]).drop("_h")
 
 
 def seed_scd2(source: DataFrame, bk: Sequence[str], tracked: Sequence[str], as_of: str, sk_col: str,
-              names: History = PIPELINE_HISTORY) -> DataFrame:
+              names: History = PIPELINE_HISTORY, unique: bool = False) -> DataFrame:
     """First load: every key is version one."""
-    rows = _open_versions(_usable(source, bk), tracked, as_of, names)
+    rows = _open_versions(_usable(source, bk, unique), tracked, as_of, names)
     return assign_surrogate_keys(rows, bk, sk_col)
 
 
@@ -74,17 +82,18 @@ def scd2_apply(
     names: History = PIPELINE_HISTORY,
     type1: Sequence[str] = (),
     expire_missing: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Next state of a Type-2 dimension.
 
     A changed key closes its current version the day before ``as_of`` and opens a
     new one; a new key opens its first version; an unchanged key stays, except
     that ``type1`` columns take the incoming value in place. Keys absent from the
-    source stay open unless ``expire_missing``.
+    source stay open unless ``expire_missing``. ``unique`` promises one source row per key.
     """
     if target is None:
-        return seed_scd2(source, bk, tracked, as_of, sk_col, names)
-    incoming = _open_versions(_usable(source, bk), tracked, as_of, names)
+        return seed_scd2(source, bk, tracked, as_of, sk_col, names, unique)
+    incoming = _open_versions(_usable(source, bk, unique), tracked, as_of, names)
     current = target.filter(F.col(names.flag) == "Y")
     closed = target.filter(F.col(names.flag) != "Y")
 

@@ -20,13 +20,14 @@ def build_dim_asset(raw: DataFrame, target: DataFrame | None, as_of: str) -> Dat
     """Newest record per asset, versioned on eight attributes."""
     newest = latest_per_key(raw, ["asset_id"], ["last_modified_ts"])
     return scd2_apply(
-        target, newest.select("asset_id", *ASSET_TRACKED, "install_date"), ["asset_id"], ASSET_TRACKED, as_of, "asset_sk"
+        target, newest.select("asset_id", *ASSET_TRACKED, "install_date"), ["asset_id"], ASSET_TRACKED, as_of, "asset_sk",
+        unique=True,
     )
 
 
 def build_dim_well_field(readings: DataFrame, target: DataFrame | None, as_of: str) -> DataFrame:
     pairs = readings.select("well_id", "field_id").distinct().withColumn("business_domain", F.lit("upstream"))
-    return scd2_apply(target, pairs, ["well_id", "field_id"], ["business_domain"], as_of, "well_field_sk")
+    return scd2_apply(target, pairs, ["well_id", "field_id"], ["business_domain"], as_of, "well_field_sk", unique=True)
 
 
 def _reference(raw: DataFrame, code: str, name: str, kind: str, value: Column, stamp: Column | None) -> DataFrame:

@@ -84,7 +84,7 @@ def build_dim_order(ods_orders: DataFrame, target: DataFrame | None, as_of: str)
         "cancellation_reason", "cancellation_dt", "notification_contact", "segment_cd", "billing_account_id",
         "channel_cd", ORDER_HISTORY.digest,
     )
-    return scd2_apply(target, source, ["order_bk"], [], as_of, "order_sk", ORDER_HISTORY)
+    return scd2_apply(target, source, ["order_bk"], [], as_of, "order_sk", ORDER_HISTORY, unique=True)
 
 
 def build_dim_geography(reference: DataFrame, target: DataFrame | None) -> DataFrame:

@@ -106,6 +106,7 @@ SELECT
   'N' AS stg_record_status,
   'O' || CAST(l_orderkey AS STRING) AS order_id,
   CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)
+    || '-' || CAST(CAST(l_quantity AS INT) AS STRING)
     AS order_item_id,
   CAST(CAST(l_quantity AS INT) AS STRING) AS item_quantity,
   CASE WHEN l_linestatus = 'O' THEN 'inProgress' WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'COMPLETED' END
