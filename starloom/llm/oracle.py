@@ -3,6 +3,20 @@
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+n AS (SELECT *, len(l) AS n, list_transform(l, lambda x: len(x) - len(replace(x, ' ', '')) + 1) AS w FROM d),
+s AS (SELECT doc_id, n, l, i, CASE WHEN w[i] > 50 THEN 1 WHEN w[i] + coalesce(w[i + 1], 0) > 50 THEN 2 ELSE 3 END AS k
+  FROM n, unnest(generate_series(1, n)) AS g(i)),
+win AS (SELECT doc_id, i, k, array_to_string(l[i : i + k - 1], chr(10)) AS t FROM s WHERE i + k - 1 <= n),
+later AS (SELECT doc_id, i, k FROM (
+  SELECT *, row_number() OVER (PARTITION BY t, k ORDER BY doc_id, i) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS i FROM later, unnest(generate_series(0, k - 1)) AS g(o)),
+lines AS (SELECT doc_id, n, i, l[i] AS t FROM n, unnest(generate_series(1, n)) AS g(i)),
+kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY i) AS t, count(*) AS c FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT n.doc_id, CASE WHEN n.text IS NOT NULL THEN coalesce(kept.t, '') END AS text, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(n.n, 0) - coalesce(kept.c, 0) AS BIGINT) AS n_removed
+FROM n LEFT JOIN kept USING (doc_id)""",
     "op8_decontamination": f"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import find_benchmark
 from starloom.llm.exact_dedup import exact_groups
+from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.packing import pack
+from starloom.llm.simhash import near_groups
 from starloom.llm.token_files import token_file_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,15 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), spaces=True, end_id=1)
 
@@ -45,6 +56,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
+    "op2_line_dedup": op2_line_dedup,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_token_files": op9_token_files,
