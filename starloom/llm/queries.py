@@ -11,6 +11,7 @@ from starloom.llm.decontaminate import find_benchmark
 from starloom.llm.exact_dedup import exact_groups
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.packing import pack
+from starloom.llm.quality import score_quality
 from starloom.llm.simhash import near_groups
 from starloom.llm.token_files import token_file_digest
 
@@ -36,6 +37,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), spaces=True, end_id=1)
 
@@ -58,6 +63,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_token_files": op9_token_files,
