@@ -176,24 +176,44 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _tables(blocks[0].value) if len(blocks) == 1 else None
         for batch in slices(batches, "text"):
-            flat, lengths = words(batch.column("text"), WORD_TABLE)
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            cover = np.zeros(len(flat) + 1, np.int64)
-            items: list[set[str]] = [set() for _ in range(len(lengths))]
-            for block in blocks:
-                vocabulary, classes = held or _tables(block.value)
-                ids = pc.fill_null(pc.index_in(flat, vocabulary), len(vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
-                for p in classes:
-                    end, which = search(ids, lengths, p)
-                    np.add.at(cover, end - p.length + 1, 1)
-                    np.add.at(cover, end + 1, -1)
-                    for r, w in set(zip(row[end].tolist(), which.tolist())):
-                        items[r].update(p.items[w])
-            yield _found(batch.column("doc_id"), lengths, np.cumsum(cover)[:-1] > 0, items)
+            yield _found(batch.column("doc_id"), *_hits(batch.column("text"), blocks, held))
 
     return mapped(doc_columns(docs, text_col, id_col), scan, FOUND)
 
 
+def _hits(texts: pa.Array, blocks: list, held: tuple | None) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+    """Words per text, which of all words are hit, and the items found in each text."""
+    flat, lengths = words(texts, WORD_TABLE)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    cover = np.zeros(len(flat) + 1, np.int64)
+    items: list[set[str]] = [set() for _ in range(len(lengths))]
+    for block in blocks:
+        vocabulary, classes = held or _tables(block.value)
+        ids = pc.fill_null(pc.index_in(flat, vocabulary), len(vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
+        for p in classes:
+            end, which = search(ids, lengths, p)
+            np.add.at(cover, end - p.length + 1, 1)
+            np.add.at(cover, end + 1, -1)
+            for r, w in set(zip(row[end].tolist(), which.tolist())):
+                items[r].update(p.items[w])
+    return lengths, np.cumsum(cover)[:-1] > 0, items
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows in which a benchmark window occurs; columns stay as they are, and no row moves."""
+    blocks = _blocks(docs.sparkSession, benchmark, item_text_col, item_col, window)
+
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = _tables(blocks[0].value) if len(blocks) == 1 else None
+        for texts in batches:
+            rows = pa.RecordBatch.from_arrays([texts.cast(pa.string()).fill_null("")], names=["text"])
+            found = [[not i for i in _hits(b.column("text"), blocks, held)[2]] for b in slices([rows], "text")]
+            yield pa.array([x for part in found for x in part], pa.bool_())
+
+    return docs.filter(F.arrow_udf(clean, "boolean")(F.col(text_col)))
+
+
 def _found(doc_ids: pa.Array, lengths: np.ndarray, hit: np.ndarray, items: list[set[str]]) -> pa.RecordBatch:
     bound = np.concatenate([[0], np.cumsum(lengths)])
     total = np.concatenate([[0], np.cumsum(hit)])
