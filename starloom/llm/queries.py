@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import find_benchmark
 from starloom.llm.exact_dedup import exact_groups
+from starloom.llm.html_text import main_text
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.packing import pack
 from starloom.llm.quality import score_quality
@@ -37,6 +38,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
+    "op5_html_text": op5_html_text,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
