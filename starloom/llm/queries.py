@@ -15,6 +15,7 @@ from starloom.llm.packing import pack
 from starloom.llm.quality import score_quality
 from starloom.llm.simhash import near_groups
 from starloom.llm.token_files import token_file_digest
+from starloom.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_html_text": op5_html_text,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
