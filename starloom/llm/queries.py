@@ -11,6 +11,7 @@ from starloom.llm.decontaminate import find_benchmark
 from starloom.llm.exact_dedup import exact_groups
 from starloom.llm.html_text import main_text
 from starloom.llm.line_dedup import dedup_lines
+from starloom.llm.lm_score import score_documents
 from starloom.llm.packing import pack
 from starloom.llm.quality import score_quality
 from starloom.llm.simhash import near_groups
@@ -43,6 +44,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_lm_score": op4_lm_score,
     "op5_html_text": op5_html_text,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
