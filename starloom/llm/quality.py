@@ -128,13 +128,15 @@ class Network:
     w2: np.ndarray
     b2: float
     temperature: float = 1.0
+    informed: bool = True
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         return np.tanh(z @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -40, 40)))
+        """Rounded, so that the order of additions in a batch leaves no trace."""
+        return np.round(1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -40, 40))), 9)
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> Network:
@@ -146,7 +148,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Network:
     if not n or y.min() == y.max():
         share = (y.sum() + 1) / (n + 2)
         d = x.shape[1]
-        return Network(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))))
+        return Network(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))), informed=n > 0)
     rng = np.random.default_rng(5)
     order = rng.permutation(n)
     held, used = order[: n // 5], order[n // 5:]
@@ -211,14 +213,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", id
     empty, and empty texts share one score; a missing id counts as an empty
     text when parts are dealt; repeated rows each get their score.
     """
-    score = _scorer(docs, labels, text_col, id_col, parts, held_part)
+    score, _ = _scorer(docs, labels, text_col, id_col, parts, held_part)
     doc_id = F.col(id_col).cast("long")
     scored = docs.select(doc_id.alias("doc_id"), (fold(doc_id, parts) == held_part).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def _scorer(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, parts: int = 4, held_part: int = 2) -> Column:
-    """The score of a text as a column, from a model trained now."""
+def _scorer(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, parts: int = 4, held_part: int = 2) -> tuple[Column, bool]:
+    """The score of a text as a column, from a model trained now; and whether it has seen any label."""
     vectors = word_vectors(docs, text_col)
     network = train(docs, labels, vectors, text_col, id_col, parts=parts, held_part=held_part)
     table = docs.sparkSession.sparkContext.broadcast(vectors)
@@ -229,9 +231,10 @@ def _scorer(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, part
             found = [network.score(pooled(b.column("text"), table.value)) for b in slices([rows], "text", SLICE)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
-    return F.arrow_udf(work, "double")(F.col(text_col))
+    return F.arrow_udf(work, "double")(F.col(text_col)), network.informed
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: float = 0.7) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; columns stay as they are."""
-    return docs.filter(_scorer(docs, labels, text_col, id_col) >= threshold)
+    """``docs`` without the rows that the classifier rejects; columns stay as they are. Without any label nothing is rejected."""
+    score, informed = _scorer(docs, labels, text_col, id_col)
+    return docs.filter(score >= threshold) if informed else docs

@@ -81,7 +81,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fit_linear(x: Sparse, y: np.ndarray, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression by Adam over all rows; labels of one kind give their smoothed share."""
     w = np.zeros(x.features + x.dense.shape[1] + 1)
-    share = (y.sum() + 0.5) / (len(y) + 1)
+    share = (y.sum() + 0.5) / (len(y) + 2)
     w[-1] = np.log(share / (1 - share))
     if not len(y) or y.min() == y.max():
         return w
@@ -175,7 +175,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
         for batch in slices(batches, "text"):
             row, feature = presence(batch.column("text"), number)
             said = run_chain(row, feature, batch.num_rows, features, models)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in said.T)], names=["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.round(c, 9)) for c in said.T)], names=["doc_id", *names])
 
     out = mapped(texts, work, "doc_id long, " + ", ".join(f"{n} double" for n in names))
     return out.select(
