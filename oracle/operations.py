@@ -28,6 +28,15 @@ _RULES = {
     "cost_actuals": ("fact_financial_actuals", 99.0,
                      "CASE WHEN cost_center_code IS NULL THEN 'FIN-01' WHEN fiscal_year IS NULL THEN 'FIN-02' END", "FALSE"),
 }
+def _day(feed: str) -> str:
+    fact, limit, _, _ = _RULES[feed]
+    day = "make_date(fiscal_year::BIGINT, fiscal_period::BIGINT, 1)" if feed == "cost_actuals" else "_business_date"
+    rate = "count(*) FILTER (WHERE bad IS NULL)::DOUBLE / count(*)::DOUBLE * 100.0"
+    return (f"SELECT '{fact}' AS target_table, '{feed}' AS input_name, {day} AS _business_date, count(*) AS total_rows, count(*) FILTER (WHERE bad IS NULL) AS passed_rows, "
+            f"count(*) FILTER (WHERE bad IS NOT NULL) AS rejected_rows, count(*) FILTER (WHERE bad IS NULL AND warned) AS warned_rows, {rate} AS dq_pass_rate_pct, "
+            f"{limit}::DOUBLE AS threshold_pct, CASE WHEN {rate} >= {limit} THEN 'PASS' ELSE 'FAIL' END AS gate_result FROM tagged_{feed} GROUP BY {day}")
+
+
 for feed, (_, _, _rej, _warn) in _RULES.items():
     STEPS[f"tagged_{feed}"] = f"SELECT *, {_rej} AS bad, {_warn} AS warned FROM {feed}"
     STEPS[f"valid_{feed}"] = f"SELECT * FROM tagged_{feed} WHERE bad IS NULL"
@@ -185,6 +194,12 @@ FINAL: dict[str, str] = {
     "ops_dq_rejects": " UNION ALL ".join(
         f"SELECT '{fact}' AS target_table, '{feed}' AS input_name, bad AS rule_id, count(*) AS rows FROM tagged_{feed} WHERE bad IS NOT NULL GROUP BY 3"
         for feed, (fact, _, _, _) in _RULES.items()),
+    "ops_gate_days": " UNION ALL ".join(_day(feed) for feed in _RULES),
+    "ops_gate_halted_days": "SELECT target_table, _business_date, min(dq_pass_rate_pct) AS lowest_pass_rate_pct, sum(rejected_rows)::BIGINT AS rejected_rows FROM ("
+        + " UNION ALL ".join(_day(feed) for feed in _RULES) + ") q WHERE gate_result = 'FAIL' GROUP BY 1, 2",
+    "ops_gate_passed_facts": f"""SELECT date_key, pipeline_segment_id, leak_alarm_count, critical_alarm_count, {_r('avg_flow_rate_bpd','avg_line_pressure_psi')}
+FROM fact_pipeline_flow WHERE date_key IN (SELECT {_KEY.replace(' AS date_key', '')} FROM tagged_flow_readings GROUP BY _business_date
+ HAVING count(*) FILTER (WHERE bad IS NULL)::DOUBLE / count(*)::DOUBLE * 100.0 >= 98.5)""",
     "dim_asset_history": "SELECT * FROM dim_asset",
     "ops_dq_latest_scorecard": LATEST,
     "dim_well_field": "SELECT * FROM dim_well_field",

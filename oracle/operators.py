@@ -5,6 +5,12 @@ from __future__ import annotations
 from oracle.compose import compose
 from oracle.orders import STEPS
 
+_BATCH = "CASE WHEN coalesce(TRY_CAST(substr(order_id, 2) AS BIGINT), 0) % 2 = 0 THEN 'A' ELSE 'B' END"
+_ORDER = "coalesce(TRY_CAST(substr(order_id, 2) AS BIGINT), 0)"
+_FLOW = """SELECT *, CASE WHEN pipeline_segment_id IS NULL THEN 'PIPE-01' WHEN NOT coalesce(flow_rate_bpd >= 0, FALSE) THEN 'PIPE-02' END AS bad, run, stamp
+ FROM flow_readings CROSS JOIN (VALUES ('r1', TIMESTAMP '2024-02-01 02:00:00'), ('r2', TIMESTAMP '2024-02-01 03:00:00')) v(run, stamp)
+ WHERE run = 'r1' OR flow_rate_bpd >= 0"""
+
 FINAL: dict[str, str] = {
     "surrogate_keys": "SELECT order_id, order_item_id, item_quantity, 1000 + row_number() OVER (ORDER BY order_id, order_item_id) AS item_sk FROM stg_items",
     "previous_event_per_order": """
@@ -28,6 +34,24 @@ SELECT asset_id, downtime_start_ts, downtime_end_ts, downtime_reason_code, linke
 SELECT cost_center_code, fiscal_year, fiscal_period, cost_element_code, actual_amount_usd::DOUBLE AS actual_amount_usd, budget_amount_usd::DOUBLE AS budget_amount_usd,
  DATE '2024-01-31' AS _business_date, 'again' AS _ingestion_run_id FROM cost_actuals""",
     "replace_batch_reload": "SELECT order_id, order_item_id, price_amount FROM stg_items",
+    "reload_after_failure": f"SELECT order_id, order_item_id, price_amount, {_BATCH} AS etl_batch_id FROM stg_items",
+    "reload_from_itself": f"SELECT order_id, order_item_id, CASE WHEN {_BATCH} = 'A' THEN price_amount || '0' ELSE price_amount END AS price_amount, {_BATCH} AS etl_batch_id FROM stg_items",
+    "ingest_rejects": """
+SELECT concat_ws('-', cost_center_code, fiscal_year, fiscal_period, cost_element_code) AS item, CASE WHEN fiscal_period <= 2 THEN 'rejected' ELSE 'loaded' END AS outcome,
+ 'again' AS _ingestion_run_id FROM cost_actuals WHERE cost_center_code IS NOT NULL""",
+    "audit_log_rows": f"""
+SELECT run AS ingestion_run_id, 'flow_readings' AS input_name, 'bdh.fact_pipeline_flow' AS target_table, DATE '2024-01-31' AS business_date, count(*) AS total_rows,
+ count(*) FILTER (WHERE bad IS NULL) AS passed_rows, count(*) FILTER (WHERE bad IS NOT NULL) AS rejected_rows, 0::BIGINT AS warned_rows,
+ count(*) FILTER (WHERE bad IS NULL)::DOUBLE / count(*)::DOUBLE * 100.0 AS dq_pass_rate_pct, 98.5::DOUBLE AS threshold_pct,
+ CASE WHEN count(*) FILTER (WHERE bad IS NULL)::DOUBLE / count(*)::DOUBLE * 100.0 >= 98.5 THEN 'PASS' ELSE 'FAIL' END AS gate_result, stamp AS evaluated_ts
+FROM ({_FLOW}) q GROUP BY run, stamp""",
+    "reject_log_rows": f"""
+SELECT run AS ingestion_run_id, bad AS rule_id, 'REJECT' AS severity,
+ CASE bad WHEN 'PIPE-01' THEN 'no value in pipeline_segment_id' ELSE 'flow_rate_bpd is below zero' END AS rejection_reason,
+ pipeline_segment_id, flow_rate_bpd::DOUBLE AS flow_rate_bpd, _business_date FROM ({_FLOW}) q WHERE bad IS NOT NULL""",
+    "payload_rejects": f"""
+SELECT order_id, CASE WHEN {_ORDER} % 7 = 0 THEN 'not readable' ELSE 'no document' END AS reason, CASE WHEN {_ORDER} % 7 = 0 THEN substr(raw_json_payload, 1, 12) ELSE ' ' END AS raw_record
+FROM raw_payloads WHERE {_ORDER} % 7 = 0 OR {_ORDER} % 11 = 0""",
     "append_and_overwrite_partitions": "SELECT strftime(ts, '%Y%m%d')::INT AS date_key, count(*) AS readings, 3 AS version FROM events GROUP BY 1",
     "stream_state_transitions": "SELECT * EXCLUDE (hrs, transition_sk), hrs::DOUBLE AS duration_in_from_state_hrs FROM fact_transition",
 }

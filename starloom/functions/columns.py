@@ -6,6 +6,7 @@ code generation.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -59,11 +60,15 @@ def std_segment(c: Column | str) -> Column:
     return F.coalesce(F.upper(F.trim(_col(c))), F.lit("CONSUMER"))
 
 
-def by_prefix(c: Column | str, prefixes: Mapping[str, str], default: str) -> Column:
-    c = _col(c)
-    return F.coalesce(
-        *[F.when(c.startswith(p), F.lit(v)) for p, v in prefixes.items()], F.lit(default)
-    )
+def family_of(code: Column | str, families: Mapping[str, str], otherwise: str) -> Column:
+    """The family whose code beginning ``code`` has; the longest beginning wins.
+
+    One pattern finds the beginning and a literal map names its family.
+    """
+    known = "|".join(re.escape(k) for k in sorted(families, key=len, reverse=True))
+    begins = F.regexp_extract(_col(code), f"^({known})", 1)
+    names = F.create_map(*(F.lit(x) for pair in families.items() for x in pair))
+    return F.coalesce(F.element_at(names, begins), F.lit(otherwise))
 
 
 def mask_contact(c: Column | str) -> Column:
@@ -133,7 +138,8 @@ def parse_ts(c: Column | str) -> Column:
 
 
 def parse_date(c: Column | str) -> Column:
-    return F.substring(_col(c), 1, 10).try_cast("date")
+    """The day of a date or timestamp text; anything after that makes the whole text invalid."""
+    return _col(c).try_cast("timestamp_ntz").cast("date")
 
 
 def flag(cond: Column) -> Column:

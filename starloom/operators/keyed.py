@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SALT = 1024
+
+def salts() -> int:
+    """Over how many values missing keys spread: several for every shuffle partition."""
+    return 8 * int(SparkSession.active().conf.get("spark.sql.shuffle.partitions"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -27,7 +30,7 @@ def spread_missing(key: Column, row_id: Sequence[Column | str]) -> Column:
 
     The replacement starts with a NUL byte and therefore equals no real key.
     """
-    salt = F.pmod(F.xxhash64(*row_id), F.lit(SALT)).cast("string")
+    salt = F.pmod(F.xxhash64(*row_id), F.lit(salts())).cast("string")
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), salt))
 
 

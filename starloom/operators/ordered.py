@@ -36,7 +36,10 @@ def number_rows(df: DataFrame, order_by: Sequence[str], partitions: int | None =
     placed.write.parquet(folder)
     stored = spark.read.schema(placed.schema).parquet(folder)
     # one row per partition: bounded by the partition count, so broadcast is safe
-    sizes = stored.groupBy(PID).agg((F.max("_pos") + 1).alias("_n"))
+    # positions are the low bits of a running id: if they ever wrapped, count and position part
+    counted = stored.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"), F.max("_pos").alias("_last"))
+    whole = F.when(F.col("_last") + 1 == F.col("_n"), F.col("_n"))
+    sizes = counted.select(PID, F.coalesce(whole, F.raise_error(F.lit("a partition holds more rows than can be numbered")).cast("long")).alias("_n"))
     before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom import constants as K
 from starloom.functions.columns import change_hash
@@ -123,12 +124,15 @@ def scd2_apply(
     )
     opened = assign_surrogate_keys(opened, bk, sk_col, highest_key(target, sk_col))
 
-    cols = target.columns
-    return (
-        closed.select(*cols)
-        .unionByName(kept.select(*cols))
-        .unionByName(opened.select(*[c for c in cols if c in opened.columns]), allowMissingColumns=True)
-    )
+    layout = target.schema
+    return closed.unionByName(in_layout(kept, layout)).unionByName(in_layout(opened, layout))
+
+
+def in_layout(rows: DataFrame, layout: StructType) -> DataFrame:
+    """``rows`` with exactly the columns of ``layout``; what they lack is NULL."""
+    have = set(rows.columns)
+    return rows.select(*(
+        (F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout))
 
 
 def classify_changes(
@@ -170,10 +174,7 @@ def scd1_upsert(
         merged = merged.withColumn(c, F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)))
     fresh = rows.join(target.select(*bk), list(bk), "left_anti")
     fresh = assign_surrogate_keys(fresh, bk, sk_col, highest_key(target, sk_col))
-    cols = target.columns
-    return merged.select(*cols).unionByName(
-        fresh.select(*[c for c in cols if c in fresh.columns]), allowMissingColumns=True
-    )
+    return in_layout(merged, target.schema).unionByName(in_layout(fresh, target.schema))
 
 
 def merge_scd2(source: DataFrame, table: str, bk: Sequence[str], tracked: Sequence[str], as_of: str, sk_col: str,
@@ -193,14 +194,22 @@ def _stored(source: DataFrame, table: str) -> DataFrame | None:
 
 
 def lookup_as_of(
-    facts: DataFrame, dim: DataFrame, bk: Sequence[str], date_col: str, names: History = ORDER_HISTORY
+    facts: DataFrame, dim: DataFrame, bk: Sequence[str], date_col: str, names: History = ORDER_HISTORY, prefix: str = "",
 ) -> DataFrame:
-    """Attach the dimension version that was valid on ``date_col`` (point-in-time join)."""
-    versions = dim.select(*bk, *[c for c in dim.columns if c not in bk and c not in facts.columns])
-    renamed = versions.select(*[F.col(c).alias(f"_d_{c}") if c in bk else F.col(c) for c in versions.columns])
-    on = [F.col(c) == F.col(f"_d_{c}") for c in bk]
-    valid = F.col(date_col).cast("date").between(F.col(names.eff), F.col(names.exp))
-    cond = valid
-    for c in on:
-        cond = c & cond
-    return facts.join(renamed, cond, "left").drop(*[f"_d_{c}" for c in bk])
+    """Attach the dimension version that was valid on ``date_col`` (point-in-time join).
+
+    Dimension columns take ``prefix``; a name that the facts have already is
+    refused rather than dropped. Facts without a key or a date pass by the join.
+    """
+    taken = [c for c in dim.columns if c not in bk]
+    clash = sorted({f"{prefix}{c}" for c in taken} & set(facts.columns))
+    if clash:
+        raise ValueError(f"columns {clash} exist on both sides; give a prefix")
+    side = dim.select(*(F.col(c).alias(f"_d_{c}") for c in bk), *(F.col(c).alias(f"{prefix}{c}") for c in taken))
+    complete = F.col(date_col).isNotNull()
+    cond = F.col(date_col).cast("date").between(F.col(prefix + names.eff), F.col(prefix + names.exp))
+    for c in bk:
+        complete = complete & F.col(c).isNotNull()
+        cond = (F.col(c) == F.col(f"_d_{c}")) & cond
+    met = facts.filter(complete).join(side, cond, "left").drop(*(f"_d_{c}" for c in bk))
+    return met.unionByName(in_layout(facts.filter(~complete), met.schema))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import constants as K
-from starloom.functions.columns import by_prefix
+from starloom.functions.columns import family_of
 from starloom.operators.keyed import latest_per_key
 from starloom.operators.scd import scd1_upsert, scd2_apply
 
@@ -38,13 +38,13 @@ def _reference(raw: DataFrame, code: str, name: str, kind: str, value: Column, s
 
 
 def build_dim_cost_center(actuals: DataFrame, target: DataFrame | None, stamp: Column | None = None) -> DataFrame:
-    domain = by_prefix("cost_center_code", K.COST_CENTER_DOMAINS, "other")
+    domain = family_of("cost_center_code", K.COST_CENTER_DOMAINS, "other")
     rows = _reference(actuals, "cost_center_code", "cost_center_name", "business_domain", domain, stamp)
     return scd1_upsert(target, rows, ["cost_center_code"], rows.columns[1:], "cost_center_sk")
 
 
 def build_dim_product(tests: DataFrame, target: DataFrame | None, stamp: Column | None = None) -> DataFrame:
-    family = by_prefix("product_code", K.PRODUCT_FAMILIES, "OTHER")
+    family = family_of("product_code", K.PRODUCT_FAMILIES, "OTHER")
     rows = _reference(tests, "product_code", "product_name", "product_family", family, stamp)
     return scd1_upsert(target, rows, ["product_code"], rows.columns[1:], "product_sk")
 

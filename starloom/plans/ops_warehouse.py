@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import constants as K
-from starloom.operators.dq import Rule, evaluate_rules, threshold_for
+from starloom.operators.dq import FACT_GATES, DQResult, Rule, evaluate_rules, gate_by, passed_only
 from starloom.plans import ops_dims as dims
 from starloom.plans import ops_facts as facts
 from starloom.plans import ops_marts as marts
@@ -39,25 +39,50 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month_key", month_of("date_key"))
 
 
+def result(w: Warehouse, feed: str) -> DQResult:
+    """Outcome of a feed's rules, read from its stored tagged rows: feed and rules are run once."""
+    tagged = w[f"tagged_{feed}"]
+    if facts.DAY not in tagged.columns:  # cost lines are dated by their fiscal period
+        tagged = tagged.withColumn(facts.DAY, F.make_date("fiscal_year", "fiscal_period", F.lit(1)))
+    return DQResult(tagged, GATED[feed][0](), w.feed(feed).columns)
+
+
 def valid(w: Warehouse, feed: str) -> DataFrame:
-    return evaluate_rules(w.feed(feed), GATED[feed][0]()).valid
+    return result(w, feed).valid
 
 
 def gate_counts(w: Warehouse, feed: str) -> DataFrame:
     """Audit row of a feed over all its business dates."""
-    rules, table = GATED[feed]
-    limit = threshold_for(table)
-    counted = evaluate_rules(w.feed(feed), rules()).counts_by(F.lit(table).alias("target_table"))
+    table = GATED[feed][1]
+    counted = gate_by(result(w, feed).named(target_table=table, input_name=feed), FACT_GATES.of(table), "target_table", "input_name")
     return counted.select(
-        "target_table", F.lit(feed).alias("input_name"), "total_rows", "passed_rows", "rejected_rows", "warned_rows",
-        "dq_pass_rate_pct", F.lit(limit).alias("threshold_pct"),
-        F.when(F.col("dq_pass_rate_pct") >= limit, "PASS").otherwise("FAIL").alias("gate_result"),
-    )
+        "target_table", "input_name", "total_rows", "passed_rows", "rejected_rows", "warned_rows", "dq_pass_rate_pct", "threshold_pct", "gate_result")
+
+
+def gate_days(w: Warehouse, feed: str) -> DataFrame:
+    """Verdict per business date of a feed: a bad day cannot hide in a good month, nor a good one be lost to it."""
+    table = GATED[feed][1]
+    return gate_by(result(w, feed).named(target_table=table, input_name=feed), FACT_GATES.of(table), "target_table", "input_name", facts.DAY)
+
+
+def halted_days(w: Warehouse) -> DataFrame:
+    """Days on which a fact is not loaded, because one of its feeds failed its gate."""
+    return stacked(w, gate_days).filter(F.col("gate_result") == "FAIL").groupBy("target_table", facts.DAY).agg(
+        F.min("dq_pass_rate_pct").alias("lowest_pass_rate_pct"), F.sum("rejected_rows").alias("rejected_rows"))
+
+
+def gated(w: Warehouse, feed: str) -> DataFrame:
+    """Valid rows of a feed's passed days; a day that failed is halted as a whole."""
+    return passed_only(result(w, feed), gate_days(w, feed), facts.DAY)
+
+
+def gated_flow(w: Warehouse) -> DataFrame:
+    """The pipeline fact as the gate admits it, day by day."""
+    return facts.build_fact_pipeline_flow(gated(w, "flow_readings"), w.feed("alarms"))
 
 
 def rejects(w: Warehouse, feed: str) -> DataFrame:
-    rules, table = GATED[feed]
-    return evaluate_rules(w.feed(feed), rules()).rejects.select(F.lit(table).alias("target_table"), F.lit(feed).alias("input_name"), "*")
+    return result(w, feed).rejects.select(F.lit(GATED[feed][1]).alias("target_table"), F.lit(feed).alias("input_name"), "*")
 
 
 def stacked(w: Warehouse, one: Callable[[Warehouse, str], DataFrame]) -> DataFrame:
@@ -72,8 +97,13 @@ def _dim_asset(w: Warehouse) -> DataFrame:
     return dims.build_dim_asset(w.feed("assets_2"), dims.build_dim_asset(w.feed("assets_1"), None, FIRST_LOAD), AS_OF)
 
 
+def _tagged(feed: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: evaluate_rules(w.feed(feed), GATED[feed][0]()).tagged
+
+
 class OpsWarehouse(Warehouse):
     builders = {
+        **{f"tagged_{feed}": _tagged(feed) for feed in GATED},
         "dim_asset": _dim_asset,
         "dim_well_field": lambda w: dims.build_dim_well_field(w.feed("well_readings"), None, FIRST_LOAD),
         "dim_cost_center": lambda w: dims.build_dim_cost_center(w.feed("cost_actuals"), None, _stamp()),

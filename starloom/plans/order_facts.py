@@ -51,21 +51,23 @@ def sla_by_segment(segment: Column) -> Column:
 
 
 def build_fact_transition(
-    events: DataFrame, dim_order: DataFrame, dim_state: DataFrame, dim_party: DataFrame, batch_id: str,
+    events: DataFrame, dim_order: DataFrame, dim_state: DataFrame, dim_party: DataFrame, batch_id: str | None,
     all_events: DataFrame | None = None, baseline_hrs: int = K.SLA_BASELINE, key_start: int | DataFrame = 0,
     last_seen: DataFrame | None = None,
 ) -> DataFrame:
     """One row per state change, with the time spent in the state it leaves.
 
-    ``last_seen`` (``order_id, last_ts``) continues orders of earlier loads.
+    ``last_seen`` (``order_id, last_ts``) continues orders of earlier loads. With
+    ``batch_id`` None every row is taken and keeps its own batch id.
 
     The keys and the "previous event" both come from one global ordering by
     order and time, so an order with very many events is cut over partitions.
     """
     stamp = C.parse_ts("event_timestamp")
     first_seen = (all_events if all_events is not None else events).groupBy("order_id").agg(F.min(stamp).alias("first_ts"))
-    batch = events.filter((F.col("stg_batch_id") == batch_id) & (F.col("stg_record_status") == "V")).select(
-        "order_id", "stg_record_id", stamp.alias("evt_ts"), "change_reason_code", "change_reason_desc",
+    mine = F.lit(True) if batch_id is None else F.col("stg_batch_id") == batch_id
+    batch = events.filter(mine & (F.col("stg_record_status") == "V")).select(
+        F.col("stg_batch_id").alias("etl_batch_id"), "order_id", "stg_record_id", stamp.alias("evt_ts"), "change_reason_code", "change_reason_desc",
         "is_automated_change", "event_source", "changed_by_user_id",
         C.std_state("from_state").alias("from_cd"), C.std_state("to_state").alias("to_cd"),
     )
@@ -101,7 +103,7 @@ def build_fact_transition(
         .alias("duration_in_from_state_hrs"),
         C.flag(F.col("from_cd").isin(*K.CRITICAL_STATES)).alias("is_sla_critical_state"),
         elapsed.alias("sla_elapsed_pct"),
-        F.lit(batch_id).alias("etl_batch_id"),
+        "etl_batch_id",
     )
 
 
@@ -212,6 +214,7 @@ def build_fact_item(
     loaded_since: str | None = None, key_start: int | DataFrame = 0,
 ) -> DataFrame:
     """Item rows with resolved keys and price fallbacks."""
+    ods_items = ods_items.filter(F.col("stg_batch_id") == batch_id)
     items = ods_items if loaded_since is None else ods_items.filter(F.col("ods_load_dt") >= F.lit(loaded_since).cast("timestamp_ntz"))
     headers = current(dims["order"]).select("order_bk", "order_sk", "order_date")
     # what belongs to the order is resolved once per order, not once per item

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom import constants as K
 from starloom.plans import calendar as cal
 from starloom.plans import order_dims as dims
 from starloom.plans import order_facts as facts
@@ -16,7 +17,14 @@ from starloom.plans.order_cleanse import cleanse_items, cleanse_orders
 from starloom.plans.warehouse import Warehouse, month_of
 from starloom.sources import contracts as feeds
 
-CALENDAR = ("1994-01-01", "2031-12-31")
+
+def _calendar(w: Warehouse) -> DataFrame:
+    """Whole years from the first to the last day that any fact uses, so no fact is without its day."""
+    days = w["fact_order"].select(F.col("date_sk").alias("d")).union(w["fact_transition"].select("transition_date_sk"))
+    first, last = days.filter("d > 0").agg(F.min("d"), F.max("d")).first()
+    if first is None:
+        first = last = int(feeds.AS_OF[:4]) * 10000
+    return cal.dim_date(w.spark, f"{first // 10000:04d}-01-01", f"{last // 10000:04d}-12-31")
 
 
 def _checked_orders(w: Warehouse) -> DataFrame:
@@ -73,7 +81,7 @@ def _checked_items(w: Warehouse) -> DataFrame:
 
 class OrderWarehouse(Warehouse):
     builders = {
-        "dim_date": lambda w: cal.dim_date(w.spark, *CALENDAR),
+        "dim_date": _calendar,
         "dim_state": lambda w: cal.seed_order_states(w.spark),
         "dim_channel": lambda w: cal.seed_channels(w.spark),
         "dim_action": lambda w: cal.seed_actions(w.spark),
@@ -108,11 +116,12 @@ class BatchReport:
     warehouse: Warehouse
 
 
-def run_daily_batch(w: OrderWarehouse, gate: float | None = None) -> BatchReport:
+def run_daily_batch(w: OrderWarehouse, gate: float | None = K.ORDER_GATE) -> BatchReport:
     """Quality gate, dimensions, cleansing, order dimension, transitions, order and item facts.
 
     The order is fixed: transitions come before the order fact, which counts them.
-    Staging rows that were valid end up as processed.
+    Staging rows that were valid end up as processed. A batch below ``gate`` stops
+    here, before any dimension or fact is built; None lets every batch pass.
     """
     from starloom.operators.dq import enforce_gate
     from starloom.sources.tables import mark_processed

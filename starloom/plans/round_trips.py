@@ -6,11 +6,14 @@ the library, and returns the loaded table.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.dq import GateContext, GateFailed, run_dq_gate
+from starloom.plans.ops_facts import flow_rules
 from starloom.plans.order_warehouse import OrderWarehouse
 from starloom.plans.warehouse import open_warehouse
 from starloom.session import prepare, shared_dir
@@ -23,11 +26,11 @@ from starloom.streaming import events as S
 DAY = "2024-01-31"
 
 
-def _scratch(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
     """A folder and a database of this application, both below the shared folder."""
     prepare(spark)
-    tag = hashlib.sha256(f"{sf_dir}:{name}".encode()).hexdigest()[:10]
-    folder = f"{shared_dir(spark)}/round_trips/{spark.sparkContext.applicationId}/{tag}"
+    tag = uuid.uuid4().hex[:12]  # every call starts from nothing
+    folder = f"{shared_dir(spark)}/round_trips/{name}-{tag}"
     database = f"round_trip_{tag}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}/tables'")
     return folder, database
@@ -35,7 +38,7 @@ def _scratch(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
 
 def landed(spark: SparkSession, sf_dir: str, source: str, table: str, feed: str) -> DataFrame:
     """Deliver a feed as landing files of its source, ingest it twice, read the raw table."""
-    folder, database = _scratch(spark, sf_dir, f"{source}.{table}")
+    folder, database = _scratch(spark, f"{source}.{table}")
     spec = FEEDS[source]
     have = contract(spark, sf_dir, feed)
     wanted = spark.createDataFrame([], spec.tables[table]).schema
@@ -54,7 +57,7 @@ def landed(spark: SparkSession, sf_dir: str, source: str, table: str, feed: str)
 
 def reloaded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the first loaded twice: every row once."""
-    _, database = _scratch(spark, sf_dir, "batches")
+    _, database = _scratch(spark, "batches")
     rows = contract(spark, sf_dir, "stg_items").select("order_id", "order_item_id", "price_amount")
     half = F.when(F.crc32("order_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B"))
     batches = rows.withColumn("etl_batch_id", half)
@@ -64,9 +67,81 @@ def reloaded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select("order_id", "order_item_id", "price_amount")
 
 
+def _number(order_id: str) -> Column:
+    return F.coalesce(F.substring(order_id, 2, 18).try_cast("long"), F.lit(0))
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contract(spark, sf_dir, "stg_items").select("order_id", "order_item_id", "price_amount")
+    return rows.withColumn("etl_batch_id", F.when(_number("order_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B")))
+
+
+def reloaded_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches are loaded; a reload of one fails half way: every row is still there."""
+    _, database = _scratch(spark, "failure")
+    batches, name = _items(spark, sf_dir), f"{database}.items"
+    for batch in ("A", "B"):
+        tables.replace_batch(batches.filter(F.col("etl_batch_id") == batch), name, batch)
+    try:
+        tables.replace_batch(batches, name, "A")  # holds rows of another batch
+    except PySparkException:
+        return spark.table(name)
+    raise RuntimeError("a load with foreign rows has to fail")
+
+
+def reloaded_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is recomputed from its own stored rows."""
+    _, database = _scratch(spark, "itself")
+    batches, name = _items(spark, sf_dir), f"{database}.items"
+    for batch in ("A", "B"):
+        tables.replace_batch(batches.filter(F.col("etl_batch_id") == batch), name, batch)
+    own = spark.table(name).filter("etl_batch_id = 'A'")
+    tables.replace_batch(own.withColumn("price_amount", F.concat("price_amount", F.lit("0"))), name, "A")
+    return spark.table(name)
+
+
+def rejected_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost lines as CSV, some with a word for a number and some cut short: those are logged whole, the rest is loaded."""
+    folder, database = _scratch(spark, "rejects")
+    have = contract(spark, sf_dir, "cost_actuals").filter("cost_center_code IS NOT NULL")
+    name = "raw_downtime_event"
+    wanted = spark.createDataFrame([], FEEDS["maximo_eam"].tables[name]).schema.names
+    key = F.concat_ws("-", "cost_center_code", "fiscal_year", "fiscal_period", "cost_element_code")
+    period, where = F.col("fiscal_period"), landing_path(folder, "maximo_eam", name, DAY)
+    start = F.when(period == 2, "yesterday").otherwise("2024-01-31 06:00:00")
+    whole = [{"asset_id": key, "downtime_start_ts": start}.get(c, F.lit("")).alias(c) for c in wanted]
+    have.filter(period != 1).select(*whole).write.mode("append").option("header", True).csv(where)
+    have.filter(period == 1).select(key.alias("asset_id"), F.lit("cut").alias("downtime_start_ts")).write.mode("append").option("header", True).csv(where)
+    for run in ("first", "again"):
+        ingest_source(spark, "maximo_eam", DAY, run, folder, [name], database)
+    good = spark.table(f"{database}.{name}").select(F.col("asset_id").alias("item"), F.lit("loaded").alias("outcome"), "_ingestion_run_id")
+    bad = spark.table(f"{database}.ingest_rejects").select(F.substring_index("raw_record", ",", 1).alias("item"), F.lit("rejected").alias("outcome"), "_ingestion_run_id")
+    return good.unionByName(bad)
+
+
+def logged_gate(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    """The flow feed through the gate, twice under one run id and once under another: what the logs hold."""
+    _, database = _scratch(spark, "gate")
+    feed = contract(spark, sf_dir, "flow_readings")
+    for run, stamp, rows in (("r1", "2024-02-01 01:00:00", feed), ("r1", "2024-02-01 02:00:00", feed), ("r2", "2024-02-01 03:00:00", feed.filter("flow_rate_bpd >= 0"))):
+        ctx = GateContext(run, DAY, f"{database}.err_reject_log", f"{database}.dq_audit_log", evaluated_ts=stamp)
+        try:
+            run_dq_gate(rows, flow_rules(), "bdh.fact_pipeline_flow", ctx, "flow_readings")
+        except GateFailed:
+            pass  # logged as such
+    if part == "audit":
+        return spark.table(f"{database}.dq_audit_log").select(
+            "ingestion_run_id", "input_name", "target_table", "business_date", "total_rows", "passed_rows", "rejected_rows", "warned_rows",
+            "dq_pass_rate_pct", "threshold_pct", "gate_result", F.col("evaluated_ts").cast("timestamp_ntz").alias("evaluated_ts"))
+    log = spark.table(f"{database}.err_reject_log")
+    row = F.from_json("rejected_row_json", feed.schema)
+    return log.select("ingestion_run_id", "rule_id", "severity", "rejection_reason", row["pipeline_segment_id"].alias("pipeline_segment_id"),
+                      row["flow_rate_bpd"].cast("double").alias("flow_rate_bpd"), row["_business_date"].alias("_business_date"))
+
+
 def appended_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append every day, then rebuild every day by partition overwrite: the last version stays."""
-    _, database = _scratch(spark, sf_dir, "partitions")
+    _, database = _scratch(spark, "partitions")
     daily = contract(spark, sf_dir, "flow_readings").groupBy(F.date_format("_business_date", "yyyyMMdd").cast("int").alias("date_key")).agg(
         F.count(F.lit(1)).alias("readings"))
     name = f"{database}.daily"
@@ -78,13 +153,11 @@ def appended_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State events arriving in two deliveries with repeats, as a stream into the transition fact."""
-    folder, database = _scratch(spark, sf_dir, "stream")
+    folder, database = _scratch(spark, "stream")
     w = open_warehouse(OrderWarehouse, spark, sf_dir)
     feed = contract(spark, sf_dir, "stg_events").withColumn("ts", F.col("event_timestamp").cast("timestamp"))
     split = F.lit("2024-01-15").cast("timestamp")
     raw, fact = f"{database}.raw_events", f"{database}.fact_transition"
-    if tables.table_exists(spark, fact):
-        return spark.table(fact).drop(S.EPOCH)
     for part in (feed.filter(F.col("ts") < split), feed.filter(F.col("ts") >= split)):
         repeated = part.unionByName(part.filter(F.col("stg_record_id") % 10 == 0))
         repeated.write.mode("append").parquet(f"{folder}/arriving")
@@ -94,3 +167,12 @@ def streamed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         query = S.stream_events(unique, sink, "order_state_events", f"{folder}/progress")
         query.awaitTermination()
     return spark.table(fact).drop(S.EPOCH)
+
+
+def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents of which every seventh is cut in half, and every eleventh is empty."""
+    rows = contract(spark, sf_dir, "raw_payloads")
+    n = _number("order_id")
+    text = F.col("raw_json_payload")
+    cut = F.substring(text, 1, 12)
+    return rows.withColumn("raw_json_payload", F.when(n % 7 == 0, cut).when(n % 11 == 0, F.lit(" ")).otherwise(text))

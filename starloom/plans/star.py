@@ -7,6 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.keyed import salts
+
+UNKNOWN = -1
 Star = Mapping[str, DataFrame]
 
 
@@ -26,9 +29,18 @@ def in_year(fact: DataFrame, date_sk: str, year: int, month: int | None = None)
 
 
 def with_date(star: Star, fact: DataFrame, date_sk: str, *cols: str) -> DataFrame:
-    """Calendar attributes. The calendar has one row per day, so it is always small."""
+    """Calendar attributes; whether the calendar is broadcast follows from its measured size.
+
+    The calendar spans all days of the facts. Rows without a date have no day:
+    see :func:`without_day`.
+    """
     cal = star["dim_date"].select(F.col("date_sk").alias("_d"), *cols)
-    return fact.join(F.broadcast(cal), F.col(date_sk) == F.col("_d")).drop("_d")
+    return fact.join(cal, F.col(date_sk) == F.col("_d")).drop("_d")
+
+
+def without_day(star: Star, fact: DataFrame, date_sk: str) -> DataFrame:
+    """Fact rows that no calendar day takes, for the error log."""
+    return fact.join(star["dim_date"].select(F.col("date_sk").alias(date_sk)), date_sk, "left_anti")
 
 
 def with_state(star: Star, fact: DataFrame, sk: str, how: str, prefix: str = "", **take: str) -> DataFrame:
@@ -49,20 +61,34 @@ def _current(star: Star, dim: str, sk: str, cols: tuple[str, ...], cond: Column
     return side.select(sk, *cols)
 
 
+def _known(fact: DataFrame, side: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on a key whose unknown member (-1) can own a large share of the facts.
+
+    Rows of the unknown member spread over salted copies of nothing: their join
+    key is a negative number of its own, and the one dimension row of the
+    unknown member, if there is one, is repeated for each of these numbers.
+    """
+    n = salts()
+    spread = F.when(F.col(key) == UNKNOWN, -1 - F.pmod(F.xxhash64(F.struct(*fact.columns)), F.lit(n))).otherwise(F.col(key)).cast("long")
+    copies = F.when(F.col(key) == UNKNOWN, F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: (-i).cast("long"))).otherwise(F.array(F.col(key).cast("long")))
+    right = side.select(F.explode(copies).alias("_k"), *[c for c in side.columns if c != key])
+    return fact.withColumn("_k", spread).join(right, "_k", how).drop("_k")
+
+
 def with_order(star: Star, fact: DataFrame, *cols: str, how: str = "left") -> DataFrame:
     return fact.join(_current(star, "dim_order", "order_sk", cols), "order_sk", how)
 
 
 def with_offering(star: Star, fact: DataFrame, *cols: str, how: str = "left", cond: Column | None = None) -> DataFrame:
-    return fact.join(_current(star, "dim_offering", "product_offering_sk", cols, cond), "product_offering_sk", how)
+    return _known(fact, _current(star, "dim_offering", "product_offering_sk", cols, cond), "product_offering_sk", how)
 
 
 def with_customer(star: Star, fact: DataFrame, *cols: str, how: str = "left", cond: Column | None = None) -> DataFrame:
-    return fact.join(_current(star, "dim_customer", "customer_sk", cols, cond), "customer_sk", how)
+    return _known(fact, _current(star, "dim_customer", "customer_sk", cols, cond), "customer_sk", how)
 
 
 def with_geography(star: Star, fact: DataFrame, *cols: str) -> DataFrame:
-    return fact.join(star["dim_geography"].select("geography_sk", *cols), "geography_sk", "left")
+    return _known(fact, star["dim_geography"].select("geography_sk", *cols), "geography_sk", "left")
 
 
 def segment() -> Column:

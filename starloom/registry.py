@@ -21,10 +21,10 @@ from starloom.plans import ops_marts as OM
 from starloom.plans import ops_warehouse as O
 from starloom.plans import round_trips as RT
 from starloom.plans.ops_warehouse import OpsWarehouse
-from starloom.plans.order_warehouse import CALENDAR, OrderWarehouse
+from starloom.plans.order_warehouse import OrderWarehouse
 from starloom.plans.warehouse import open_warehouse
 from starloom.sources import contracts as feeds
-from starloom.sources.landing import explode_order_items
+from starloom.sources.landing import explode_order_items, payload_rejects
 from starloom.sources.tables import mark_processed, purge_older_than
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,9 +69,15 @@ def _as_recorded(w: OrderWarehouse) -> DataFrame:
     return lookup_as_of(orders, people, ["customer_bk"], "order_date").select("order_bk", "order_date", "customer_sk", "customer_segment_cd")
 
 
+def _span(rows: DataFrame, day: str) -> tuple[str, str]:
+    """First and last day that occur."""
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    return str(first or feeds.AS_OF), str(last or feeds.AS_OF)
+
+
 def _calendar_use(spark: SparkSession, sf: str) -> DataFrame:
     orders = feeds.table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("full_date")).agg(F.count(F.lit(1)).alias("orders"))
-    days = cal.dim_date(spark, *CALENDAR).drop(
+    days = cal.dim_date(spark, *_span(orders, "full_date")).drop(
         "day_of_week_nm_ar", "month_nm_ar", "quarter_nm", "fiscal_year", "is_public_holiday", "holiday_nm")
     return days.join(orders, "full_date")
 
@@ -151,7 +157,7 @@ def _ops(build: Callable[[OpsWarehouse], DataFrame], drop: tuple[str, ...] = (),
 
 def _ops_calendar(spark: SparkSession, sf: str) -> DataFrame:
     events = feeds.table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("calendar_date")).agg(F.count(F.lit(1)).alias("events"))
-    return cal.dim_date_compact(spark, *CALENDAR).join(events, "calendar_date")
+    return cal.dim_date_compact(spark, *_span(events, "calendar_date")).join(events, "calendar_date")
 
 
 def _rejects(w: OpsWarehouse) -> DataFrame:
@@ -172,6 +178,9 @@ OPS_QUERIES: dict[str, Query] = {
     "ops_dq_audit": _ops(lambda w: O.stacked(w, O.gate_counts)),
     "ops_dq_rejects": _ops(_rejects),
     "ops_dq_latest_scorecard": _ops(_latest_scorecard),
+    "ops_gate_days": _ops(lambda w: O.stacked(w, O.gate_days)),
+    "ops_gate_halted_days": _ops(O.halted_days),
+    "ops_gate_passed_facts": _ops(O.gated_flow, _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),
     "dim_asset_history": _ops(lambda w: w["dim_asset"]),
     "dim_well_field": _ops(lambda w: w["dim_well_field"]),
     "dim_cost_center": _ops(lambda w: w["dim_cost_center"], ("last_updated_ts",)),
@@ -244,6 +253,12 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "ingest_csv_downtime": _landed("maximo_eam", "raw_downtime_event", "downtime"),
     "ingest_parquet_cost_actuals": lambda spark, sf: plain(RT.landed(spark, sf, "sap_erp", "raw_cost_center_actuals", "cost_actuals")),
     "replace_batch_reload": RT.reloaded_batches,
+    "reload_after_failure": RT.reloaded_after_failure,
+    "reload_from_itself": RT.reloaded_from_itself,
+    "ingest_rejects": RT.rejected_landing,
+    "audit_log_rows": lambda spark, sf: RT.logged_gate(spark, sf, "audit"),
+    "reject_log_rows": lambda spark, sf: RT.logged_gate(spark, sf, "rejects"),
+    "payload_rejects": lambda spark, sf: payload_rejects(RT.damaged_payloads(spark, sf)),
     "append_and_overwrite_partitions": RT.appended_partitions,
     "stream_state_transitions": lambda spark, sf: plain(RT.streamed_transitions(spark, sf), ("transition_sk", "order_item_sk", "etl_batch_id")),
 }

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -38,3 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written once below the shared folder and read back, cut by ``by``."""
+    spark = prepare(df.sparkSession)
+    path = f"{shared_dir(spark).rstrip('/')}/written/{label}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

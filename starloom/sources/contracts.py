@@ -14,7 +14,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import prepare
-from starloom.sources.files import spread_hint
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -366,7 +365,7 @@ SELECT CASE WHEN o_orderkey % 997 = 1 THEN CAST(NULL AS STRING) ELSE 'I' || CAST
        CASE WHEN o_orderkey % 6 = 5 THEN CAST(NULL AS STRING) WHEN o_orderkey % 9 = 0 THEN 'CR' || CAST(o_custkey % 20 AS STRING)
             ELSE 'E' || CAST(o_custkey % 40 AS STRING) END AS involved_employee_id,
        CAST(o_orderdate + INTERVAL '23' YEAR AS DATE) AS _business_date
-FROM @orders@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+FROM @orders@
 """
 
 COST_ACTUALS = """
@@ -408,8 +407,7 @@ def contract(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     def source(mark: re.Match) -> str:
         path = f"{sf_dir.rstrip('/')}/{mark.group(1)}.parquet"
-        hint = spread_hint(spark, path)
-        return f"(SELECT {hint} * FROM parquet.`{path}`)" if hint else f"parquet.`{path}`"
+        return f"parquet.`{path}`"
 
     return spark.sql(re.sub(r"@(\w+)@", source, sql))
 

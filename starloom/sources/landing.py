@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.session import written
 from starloom.sources.schemas import FEEDS, ORDER_PAYLOAD
 from starloom.sources.tables import overwrite_partitions
 
@@ -17,10 +18,22 @@ def landing_path(root: str, source: str, table: str, business_date: str) -> str:
     return f"{root}/{source}/{table}/business_date={business_date}"
 
 
-def read_landing(spark: SparkSession, source: str, table: str, business_date: str, root: str) -> DataFrame:
-    """One table of one day, with the declared schema (no inference pass over the files)."""
+CORRUPT = "_corrupt_record"
+
+
+def read_landing(spark: SparkSession, source: str, table: str, business_date: str, root: str, corrupt: bool = False) -> DataFrame:
+    """One table of one day, with the declared schema (no inference pass over the files).
+
+    With ``corrupt``, text that does not fit the schema (a value of another
+    type, a line too short or too long, broken JSON) is kept whole in
+    ``_corrupt_record``; Parquet has no such rows.
+    """
     feed = FEEDS[source]
-    reader = spark.read.schema(feed.tables[table])
+    wanted = spark.createDataFrame([], feed.tables[table]).schema
+    keep = corrupt and feed.format in ("csv", "json")
+    reader = spark.read.schema(wanted.add(CORRUPT, "string") if keep else wanted)
+    if keep:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
     if feed.format == "csv":
         reader = reader.option("header", True)
     return reader.format(feed.format).load(landing_path(root, source, table, business_date))
@@ -45,27 +58,54 @@ def ingest_source(
     """Load every table of a source for one day; returns rows per table.
 
     The day's partition is replaced, so a repeated run cannot duplicate it. Rows
-    are counted from the footers of the files just written; the source is read once.
+    are counted from the footers of the files just written. Records that do not
+    fit the declared schema are not loaded: they go whole to the table
+    ``ingest_rejects`` of the same database, one partition per day and table.
     """
     feed = FEEDS[source]
-    written = {}
+    counted = {}
     for table in tables or feed.tables:
-        raw = with_audit(read_landing(spark, source, table, business_date, root), business_date, run_id)
-        name = f"{database or feed.schema}.{table}"
+        raw = with_audit(read_landing(spark, source, table, business_date, root, corrupt=True), business_date, run_id)
+        database_name = database or feed.schema
+        name = f"{database_name}.{table}"
+        if CORRUPT in raw.columns:  # parse once, cut by outcome
+            raw = written(raw.withColumn("_bad", F.col(CORRUPT).isNotNull()), "landed", ["_bad"])
+            bad = raw.filter("_bad").select(
+                F.col(CORRUPT).alias("raw_record"), "_source_file", "_ingestion_run_id", "_ingest_ts", "_business_date", F.lit(table).alias("source_table"))
+            overwrite_partitions(bad, f"{database_name}.ingest_rejects", ["_business_date", "source_table"],
+                                 clear=[{"_business_date": business_date, "source_table": table}])
+            raw = raw.filter("NOT _bad").drop(CORRUPT, "_bad")
         overwrite_partitions(raw, name, ["_business_date"], clear=[{"_business_date": business_date}])
         day = F.col("_business_date") == F.lit(business_date).cast("date")
-        written[table] = spark.table(name).filter(day).count()
-    return written
+        counted[table] = spark.table(name).filter(day).count()
+    return counted
+
+
+def _documents(raw: DataFrame, payload: str) -> DataFrame:
+    return raw.select(
+        "order_id", F.col(payload).alias("_payload"), F.from_json(F.col(payload), ORDER_PAYLOAD).alias("doc"),
+        *[c for c in ("stg_batch_id", "stg_load_dt") if c in raw.columns])
+
+
+def payload_rejects(raw: DataFrame, payload: str = "raw_json_payload") -> DataFrame:
+    """Documents from which no item can be taken, with the reason and the whole payload."""
+    docs = _documents(raw, payload)
+    none = F.coalesce(F.size("doc.productOrderItem"), F.lit(-1)) <= 0
+    empty = F.col("_payload").isNull() | (F.trim("_payload") == "")
+    broken = F.col("doc.id").isNull() & F.col("doc.productOrderItem").isNull()
+    reason = F.when(empty, "no document").when(broken, "not readable").otherwise("no items")
+    return docs.filter(none).select(*[c for c in docs.columns if c not in ("doc", "_payload")], reason.alias("reason"), F.col("_payload").alias("raw_record"))
 
 
 def explode_order_items(raw: DataFrame, payload: str = "raw_json_payload") -> DataFrame:
-    """One row per item of the order document kept in the raw payload column."""
-    parsed = raw.select(
-        "order_id", F.from_json(F.col(payload), ORDER_PAYLOAD).alias("doc"),
-        *[c for c in ("stg_batch_id", "stg_load_dt") if c in raw.columns],
-    )
-    items = parsed.select("*", F.explode("doc.productOrderItem").alias("item")).drop("doc")
-    return items.select(
+    """One row per item and price of the order document kept in the raw payload column.
+
+    An item without a price gives one row. Documents without items give none
+    here: see :func:`payload_rejects`.
+    """
+    items = _documents(raw, payload).select("*", F.explode("doc.productOrderItem").alias("item"))
+    priced = items.select("*", F.explode_outer("item.itemPrice").alias("price"))
+    return priced.select(
         F.col("order_id"),
         F.col("item.id").alias("order_item_id"),
         F.col("item.quantity").alias("item_quantity"),
@@ -73,7 +113,7 @@ def explode_order_items(raw: DataFrame, payload: str = "raw_json_payload") -> Da
         F.col("item.action").alias("action"),
         F.col("item.productOffering.id").alias("product_offering_id"),
         F.col("item.product.productSpecification.id").alias("product_spec_id"),
-        F.col("item.itemPrice")[0]["priceType"].alias("price_type"),
-        F.col("item.itemPrice")[0]["price"]["taxIncludedAmount"]["value"].alias("price_amount"),
+        F.col("price.priceType").alias("price_type"),
+        F.col("price.price.taxIncludedAmount.value").alias("price_amount"),
         *[c for c in ("stg_batch_id", "stg_load_dt") if c in raw.columns],
     )

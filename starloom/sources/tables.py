@@ -76,7 +76,9 @@ def overwrite_partitions(
     """Replace exactly the partitions that occur in ``df``.
 
     ``clear`` names partitions the run is responsible for: those that received no
-    row are emptied too, so an empty result cannot leave stale rows behind.
+    row are emptied too, so an empty result cannot leave stale rows behind. They
+    are emptied after the write: a load that fails leaves every old row in
+    place, and ``df`` may read the very partitions it replaces.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
@@ -85,10 +87,22 @@ def overwrite_partitions(
         write_append(df, table, partition_by)
         return
     parts = partition_columns(spark, table)
-    for values in clear:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(values)})")
+    before = [_files_of(spark, table, values) for values in clear]
     with _dynamic_overwrite(spark):
         _aligned(_sized(df, parts), table).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+    for values, old in zip(clear, before):
+        # the write has succeeded; a partition that still has its old files got no row from it
+        if old and _files_of(spark, table, values) == old:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(values)})")
+
+
+def _files_of(spark: SparkSession, table: str, values: Mapping[str, object]) -> set[str]:
+    """Names of the files of one partition; nothing is read."""
+    rows = spark.table(table)
+    for name, value in values.items():
+        rows = rows.filter(F.col(name) == F.lit(value).cast(rows.schema[name].dataType))
+    return set(rows.inputFiles())
 
 
 def replace_batch(df: DataFrame, table: str, batch_id: str, batch_col: str = "etl_batch_id") -> None:

@@ -58,7 +58,8 @@ def to_transition_fact(raw_table: str, fact_table: str, dim_order: DataFrame, di
     """State changes of each micro-batch as transition rows.
 
     An order may continue from an earlier batch: its latest earlier event time is
-    looked up in the raw table. Keys continue after the highest earlier key.
+    looked up in the raw table. Keys continue after the highest earlier key. A
+    trigger may find several load batches; each row keeps the id of its own.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -66,18 +67,13 @@ def to_transition_fact(raw_table: str, fact_table: str, dim_order: DataFrame, di
         to_raw_table(raw_table)(batch, epoch)
         raw = spark.table(raw_table)
         fresh = raw.filter(F.col(EPOCH) == epoch).withColumn("stg_record_status", F.lit("V"))
-        load = fresh.agg(F.min("stg_batch_id").alias("first"), F.max("stg_batch_id").alias("last")).first()
-        if load["first"] is None:
-            return
-        if load["first"] != load["last"]:
-            raise ValueError("one micro-batch carries several load batches")
         last = raw.filter(F.col(EPOCH) < epoch).join(fresh.select("order_id").distinct(), "order_id", "left_semi")
         last = last.groupBy("order_id").agg(F.max(parse_ts("event_timestamp")).alias("last_ts"))
         start: int | DataFrame = 0
         if table_exists(spark, fact_table):
             start = spark.table(fact_table).filter(F.col(EPOCH) < epoch).agg(F.max("transition_sk").alias("k"))
         rows = build_fact_transition(
-            fresh, dim_order, dim_state, dim_party, load["first"], all_events=raw.filter(F.col(EPOCH) <= epoch),
+            fresh, dim_order, dim_state, dim_party, None, all_events=raw.filter(F.col(EPOCH) <= epoch),
             key_start=start, last_seen=last,
         )
         overwrite_partitions(rows.withColumn(EPOCH, F.lit(epoch)), fact_table, [EPOCH], clear=[{EPOCH: epoch}])

@@ -119,12 +119,18 @@ def w(spark):
 
 
 def test_daily_batch_order_and_processed_rows(w):
-    report = run_daily_batch(w)
+    report = run_daily_batch(w, gate=None)
     valid = w["checked_orders"].filter("stg_record_status = 'V'").count()
     assert report.staging.filter("stg_record_status = 'P'").count() == valid
     assert w["fact_order"].count() == w["dim_order"].count() == valid
+
+
+def test_failed_batch_builds_nothing(spark):
+    halted = OrderWarehouse(spark, SF)
+    halted.root += "/halted"
     with pytest.raises(RuntimeError, match="FAILED"):
-        run_daily_batch(w, gate=99.9)
+        run_daily_batch(halted)  # this batch is below the gate, which is on unless it is switched off
+    assert not {"dim_customer", "dim_order", "fact_order", "fact_item"} & set(halted._ready)
 
 
 @pytest.mark.parametrize("table,key", [("dim_customer", "customer_sk"), ("dim_offering", "product_offering_sk"), ("dim_order", "order_sk"),

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -102,3 +103,13 @@ def test_classes_and_point_in_time(spark):
     facts = spark.createDataFrame([("B", dt.date(2026, 1, 15)), ("B", dt.date(2026, 2, 1)), ("B", dt.date(2025, 1, 1))], "asset_id string, d date")
     got = {r.d: r.status for r in lookup_as_of(facts, second, ["asset_id"], "d", names).collect()}
     assert got == {dt.date(2026, 1, 15): "1", dt.date(2026, 2, 1): "2", dt.date(2025, 1, 1): None}
+
+
+def test_point_in_time_refuses_clashing_names_and_keeps_missing_keys(spark):
+    names = PIPELINE_HISTORY
+    dim = spark.sql(f"SELECT 'a' AS k, 's' AS status, DATE '2026-01-01' AS {names.eff}, DATE '9999-12-31' AS {names.exp}, 1 AS d")
+    facts = spark.createDataFrame([("a", "2026-02-01"), (None, "2026-02-01"), ("a", None)], "k string, d string")
+    with pytest.raises(ValueError, match="prefix"):
+        lookup_as_of(facts, dim, ["k"], "d", names)
+    got = lookup_as_of(facts, dim, ["k"], "d", names, prefix="dim_").collect()
+    assert sorted(str(r.dim_status) for r in got) == ["None", "None", "s"] and len(got) == 3

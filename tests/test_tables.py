@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.scd import merge_scd1, merge_scd2, scd2_apply
 from starloom.sources import tables as t
-from starloom.sources.landing import AUDIT_COLUMNS, explode_order_items, ingest_source, landing_path, read_landing, with_audit
+from starloom.sources.landing import AUDIT_COLUMNS, explode_order_items, ingest_source, payload_rejects, landing_path, read_landing, with_audit
 from starloom.sources.schemas import FEEDS
 
 
@@ -120,3 +120,30 @@ def test_payload_explodes_to_items(spark):
     raw = spark.createDataFrame([("O1", doc), ("O2", "not json")], "order_id string, raw_json_payload string")
     rows = sorted(explode_order_items(raw).collect())
     assert [(r.order_item_id, r.product_offering_id, r.price_amount) for r in rows] == [("1", "P1", "11.5"), ("2", None, None)]
+
+
+def test_items_with_several_prices_and_unreadable_documents(spark):
+    price = lambda kind, v: f'{{"priceType":"{kind}","price":{{"taxIncludedAmount":{{"value":"{v}"}}}}}}'
+    doc = f'{{"id":"O1","productOrderItem":[{{"id":"1","itemPrice":[{price("recurring", 5)},{price("once", 7)}]}},{{"id":"2","itemPrice":[]}}]}}'
+    raw = spark.createDataFrame([("O1", doc), ("O2", "not json"), ("O3", '{"id":"O3","productOrderItem":[]}'), ("O4", None)], "order_id string, raw_json_payload string")
+    rows = sorted((r.order_item_id, r.price_type, r.price_amount) for r in explode_order_items(raw).collect() if r.price_type) + [
+        (r.order_item_id, None, None) for r in explode_order_items(raw).collect() if not r.price_type]
+    assert rows == [("1", "once", "7"), ("1", "recurring", "5"), ("2", None, None)]
+    assert {(r.order_id, r.reason) for r in payload_rejects(raw).collect()} == {("O2", "not readable"), ("O3", "no items"), ("O4", "no document")}
+
+
+def test_failed_reload_keeps_the_old_rows(spark, database):
+    name = f"{database}.f"
+    rows = lambda *r: spark.createDataFrame(list(r), "v int, etl_batch_id string")
+    t.replace_batch(rows((1, "A"), (2, "A")), name, "A")
+    with pytest.raises(Exception, match="outside batch"):
+        t.replace_batch(rows((5, "C")), name, "A")
+    assert sorted(r.v for r in spark.table(name).collect()) == [1, 2]
+    t.replace_batch(spark.table(name).withColumn("v", F.col("v") + 10), name, "A")
+    assert sorted(r.v for r in spark.table(name).collect()) == [11, 12]
+
+
+def test_dates_are_whole_texts(spark):
+    from starloom.functions.columns import parse_date
+    rows = spark.createDataFrame([("2026-01-15",), ("2026-01-15 10:30:00",), ("2026-01-15junk",), ("junk",), (None,)], "d string")
+    assert [str(r[0]) for r in rows.select(parse_date("d")).collect()] == ["2026-01-15", "2026-01-15", "None", "None", "None"]
