@@ -417,7 +417,7 @@ SELECT hour(ts) * 100 + minute(ts) AS time_sk, hour(ts) AS hour_24, minute(ts) A
  count(*) AS events FROM events GROUP BY ALL""",
     "fact_transition": "SELECT * EXCLUDE (hrs), hrs::DOUBLE AS duration_in_from_state_hrs FROM fact_transition",
     "fact_order": f"""SELECT * EXCLUDE (total_order_amount, order_amount_excl_vat, vat_amount, discount_amount, recurring_charge_mrc, one_time_charge_otc, expected_annual_revenue,
- fulfilment_duration_hrs, sla_target_hrs, sla_remaining_hrs), {_d('total_order_amount','order_amount_excl_vat','vat_amount','discount_amount','recurring_charge_mrc','one_time_charge_otc','expected_annual_revenue','fulfilment_duration_hrs','sla_target_hrs','sla_remaining_hrs')} FROM fact_order""",
+ fulfilment_duration_hrs, sla_target_hrs, sla_remaining_hrs), {_d('total_order_amount','order_amount_excl_vat','vat_amount','discount_amount','recurring_charge_mrc','one_time_charge_otc','expected_annual_revenue','fulfilment_duration_hrs','sla_target_hrs','sla_remaining_hrs')} FROM (SELECT f.*, b.order_bk, b.order_date, b.segment_cd FROM fact_order f JOIN fact_base b ON b.order_sk = f.order_sk) q""",
     "fact_item": f"""SELECT * EXCLUDE (unit_price_excl_vat, unit_price_incl_vat, item_total_amount, item_discount_amount, item_vat_amount, item_mrc, item_otc, item_sla_target_hrs),
  {_d('unit_price_excl_vat','unit_price_incl_vat','item_total_amount','item_discount_amount','item_vat_amount','item_mrc','item_otc','item_sla_target_hrs')} FROM fact_item""",
     "mart_order_kpi": f"""SELECT * EXCLUDE (gross_order_value, net_order_value, vat_collected, total_mrc, total_otc, total_discount, expected_annual_revenue, max_fulfilment_hrs, total_order_items),

@@ -173,7 +173,7 @@ def uc05(star: Star, customer_bk: str | None = None) -> DataFrame:
     f = with_customer(star, star["fact_order"], "customer_bk", "customer_type_cd", "customer_segment_cd", "city_nm",
                       "region_nm", "activation_dt", "churn_risk_score", how="inner", cond=who)
     f = with_state(star, with_date(star, f, "date_sk", "full_date"), "order_state_sk", "inner", order_state_cd="current_state")
-    f = with_order(star, f.drop("order_category_cd"), "order_bk", "order_category_cd", how="inner")
+    f = with_order(star, f, "order_bk", "order_category_cd", how="inner")
     f = with_channel(star, f, "left", F.col("channel_cd").alias("order_channel"))
     f = with_offering(star, f, "product_offering_name", "product_type_cd", "technology_tier")
     slim = f.select(
@@ -190,7 +190,7 @@ def uc05(star: Star, customer_bk: str | None = None) -> DataFrame:
         "cumulative_spend": F.col("order_value"), "order_sequence_num": F.lit(1),
     })
     lifetime = ordered.groupBy("customer_sk").agg(_n().alias("total_lifetime_orders"))
-    return running.join(lifetime, "customer_sk").drop("customer_sk", "_pid", "_rn")
+    return running.join(lifetime, "customer_sk").drop("customer_sk", "_pid", "_rn").orderBy("order_date", "order_id")
 
 
 def uc06(star: Star, as_of: str, days: int = 30, min_count: int = 5) -> DataFrame:

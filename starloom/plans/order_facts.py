@@ -206,6 +206,10 @@ def build_fact_order(
         F.lit(batch_id).alias("etl_batch_id"),
         "source_system_cd",
         F.lit(1).alias("record_version"),
+        # what reports ask of the header, so that none of them meets the order dimension for it
+        "order_bk",
+        "order_date",
+        "segment_cd",
     )
 
 

@@ -76,7 +76,9 @@ def _known(fact: DataFrame, side: DataFrame, key: str, how: str) -> DataFrame:
 
 
 def with_order(star: Star, fact: DataFrame, *cols: str, how: str = "left") -> DataFrame:
-    return fact.join(_current(star, "dim_order", "order_sk", cols), "order_sk", how)
+    """Header attributes; those that the fact carries itself cost no join."""
+    missing = tuple(c for c in cols if c not in fact.columns)
+    return fact.join(_current(star, "dim_order", "order_sk", missing), "order_sk", how) if missing else fact
 
 
 def with_offering(star: Star, fact: DataFrame, *cols: str, how: str = "left", cond: Column | None = None) -> DataFrame:
