@@ -178,11 +178,11 @@ _AUDIT = " UNION ALL ".join(
     f"SELECT '{fact}' AS target_table, '{feed}' AS input_name, count(*) AS total_rows, count(*) FILTER (WHERE bad IS NULL) AS passed_rows, "
     f"count(*) FILTER (WHERE bad IS NOT NULL) AS rejected_rows, {limit}::DOUBLE AS threshold_pct FROM tagged_{feed}"
     for feed, (fact, limit, _, _) in _RULES.items())
-LATEST = f"""
-SELECT target_table, DATE '2024-01-31' AS business_date, total_rows, passed_rows, rejected_rows, passed_rows::DOUBLE / total_rows::DOUBLE * 100.0 AS dq_pass_rate_pct, threshold_pct,
- CASE WHEN passed_rows::DOUBLE / total_rows::DOUBLE * 100.0 >= threshold_pct THEN 'PASS' ELSE 'FAIL' END AS gate_result,
- TIMESTAMP '2024-02-01 00:00:00' + INTERVAL 1 MINUTE * length(input_name) AS evaluated_ts
-FROM (SELECT *, row_number() OVER (PARTITION BY target_table ORDER BY length(input_name) DESC) AS rn FROM ({_AUDIT}) a) q WHERE rn = 1"""
+LATEST = """
+SELECT target_table, _business_date AS business_date, total_rows, passed_rows, rejected_rows, dq_pass_rate_pct, threshold_pct, gate_result,
+ _business_date::TIMESTAMP + INTERVAL 25 HOUR AS evaluated_ts
+FROM (SELECT *, row_number() OVER (PARTITION BY target_table ORDER BY _business_date DESC NULLS LAST, input_name DESC) AS rn FROM (""" + " UNION ALL ".join(_day(f) for f in _RULES) + """) a) q
+WHERE rn = 1"""
 
 FINAL: dict[str, str] = {
     "ops_dq_audit": " UNION ALL ".join(

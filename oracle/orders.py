@@ -262,6 +262,11 @@ SELECT row_number() OVER (ORDER BY order_bk) AS order_sk, order_bk, order_href,
  expected_completion_dt, completion_dt, order_state_cd, order_category_cd, priority_cd, cancellation_reason, notification_contact, segment_cd,
  billing_account_id, channel_cd, change_hash, DATE '2001-08-01' AS row_eff_dt, DATE '9999-12-31' AS row_exp_dt, 'Y' AS current_row_flag FROM ods_orders
 """
+STEPS["headers"] = "SELECT *, coalesce(TRY_CAST(substr(order_bk, 2) AS BIGINT), 0) AS n FROM ods_orders"
+STEPS["headers_earlier"] = """
+SELECT order_bk, CASE WHEN n % 5 = 0 THEN 'pending' ELSE order_state_cd END AS order_state_cd,
+ CASE WHEN n % 5 = 0 THEN md5(change_hash || 'x') ELSE change_hash END AS change_hash, row_number() OVER (ORDER BY order_bk) AS order_sk FROM headers WHERE n % 3 <> 0
+"""
 STEPS["fact_transition"] = f"""
 SELECT row_number() OVER (ORDER BY e.order_id, evt, e.stg_record_id) AS transition_sk, o.order_sk,
  coalesce(f.order_state_sk, -1) AS from_state_sk, coalesce(t.order_state_sk, -1) AS to_state_sk, {_dsk('evt')} AS transition_date_sk,
@@ -415,6 +420,13 @@ SELECT hour(ts) * 100 + minute(ts) AS time_sk, hour(ts) AS hour_24, minute(ts) A
  CASE WHEN hour(ts) BETWEEN 1 AND 6 THEN 'NIGHT_BATCH' WHEN hour(ts) BETWEEN 8 AND 21 THEN 'PEAK' ELSE 'OFF_PEAK' END AS business_period,
  strftime(time_bucket(INTERVAL 30 MINUTE, ts), '%H:%M') || '-' || strftime(time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE, '%H:%M') AS half_hour_bucket,
  count(*) AS events FROM events GROUP BY ALL""",
+    "dim_order_two_loads": """
+SELECT e.order_sk, e.order_bk, e.order_state_cd, e.change_hash, DATE '2001-07-01' AS row_eff_dt,
+ CASE WHEN h.change_hash <> e.change_hash THEN DATE '2001-07-31' ELSE DATE '9999-12-31' END AS row_exp_dt, CASE WHEN h.change_hash <> e.change_hash THEN 'N' ELSE 'Y' END AS current_row_flag
+FROM headers_earlier e JOIN headers h USING (order_bk)
+UNION ALL
+SELECT (SELECT count(*) FROM headers_earlier) + row_number() OVER (ORDER BY h.order_bk), h.order_bk, h.order_state_cd, h.change_hash, DATE '2001-08-01', DATE '9999-12-31', 'Y'
+FROM headers h LEFT JOIN headers_earlier e USING (order_bk) WHERE e.order_bk IS NULL OR e.change_hash <> h.change_hash""",
     "fact_transition": "SELECT * EXCLUDE (hrs), hrs::DOUBLE AS duration_in_from_state_hrs FROM fact_transition",
     "fact_order": f"""SELECT * EXCLUDE (total_order_amount, order_amount_excl_vat, vat_amount, discount_amount, recurring_charge_mrc, one_time_charge_otc, expected_annual_revenue,
  fulfilment_duration_hrs, sla_target_hrs, sla_remaining_hrs), {_d('total_order_amount','order_amount_excl_vat','vat_amount','discount_amount','recurring_charge_mrc','one_time_charge_otc','expected_annual_revenue','fulfilment_duration_hrs','sla_target_hrs','sla_remaining_hrs')} FROM (SELECT f.*, b.order_bk, b.order_date, b.segment_cd FROM fact_order f JOIN fact_base b ON b.order_sk = f.order_sk) q""",

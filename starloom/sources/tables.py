@@ -115,11 +115,12 @@ def replace_batch(df: DataFrame, table: str, batch_id: str, batch_col: str = "et
     overwrite_partitions(guarded, table, [batch_col], clear=[{batch_col: batch_id}])
 
 
-def publish_version(df: DataFrame, table: str) -> None:
+def publish_version(df: DataFrame, table: str, keep: int = 2) -> None:
     """Write ``df`` as the next version of an unpartitioned table and switch over.
 
     ``df`` may read the current version: the new files go to a new folder and the
-    catalog entry is re-pointed only after the write has succeeded.
+    catalog entry is re-pointed only after the write has succeeded. The last
+    ``keep`` versions stay for readers that have begun; older folders go.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
@@ -137,6 +138,12 @@ def publish_version(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").parquet(following)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{following}'")
     spark.catalog.refreshTable(table)
+    _drop_folder(spark, f"{base}/v{int(number) + 1 - keep}")
+
+
+def _drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def purge_older_than(df: DataFrame, ts_col: str, as_of: str, days: int = 90) -> DataFrame:

@@ -147,3 +147,12 @@ def test_dates_are_whole_texts(spark):
     from starloom.functions.columns import parse_date
     rows = spark.createDataFrame([("2026-01-15",), ("2026-01-15 10:30:00",), ("2026-01-15junk",), ("junk",), (None,)], "d string")
     assert [str(r[0]) for r in rows.select(parse_date("d")).collect()] == ["2026-01-15", "2026-01-15", "None", "None", "None"]
+
+
+def test_old_versions_go(spark, database):
+    name = f"{database}.v"
+    for n in range(4):
+        t.publish_version(spark.range(n + 1).toDF("v"), name)
+    base = spark.catalog.getDatabase(database).locationUri.removeprefix("file:")
+    import os
+    assert sorted(os.listdir(f"{base}/v_versions")) == ["v3", "v4"] and spark.table(name).count() == 4
