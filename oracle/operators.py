@@ -53,6 +53,12 @@ SELECT run AS ingestion_run_id, bad AS rule_id, 'REJECT' AS severity,
 SELECT order_id, CASE WHEN {_ORDER} % 7 = 0 THEN 'not readable' ELSE 'no document' END AS reason, CASE WHEN {_ORDER} % 7 = 0 THEN substr(raw_json_payload, 1, 12) ELSE ' ' END AS raw_record
 FROM raw_payloads WHERE {_ORDER} % 7 = 0 OR {_ORDER} % 11 = 0""",
     "append_and_overwrite_partitions": "SELECT strftime(ts, '%Y%m%d')::INT AS date_key, count(*) AS readings, 3 AS version FROM events GROUP BY 1",
+    "stream_pipeline_flow": """
+SELECT (year(_business_date) * 10000 + month(_business_date) * 100 + day(_business_date))::INT AS date_key, f.pipeline_segment_id, round(q, 6) AS avg_flow_rate_bpd,
+ round(p, 6) AS avg_line_pressure_psi, coalesce(n, 0)::INT AS leak_alarm_count, coalesce(c, 0)::INT AS critical_alarm_count
+FROM (SELECT _business_date, pipeline_segment_id, avg(flow_rate_bpd) AS q, avg(line_pressure_psi) AS p FROM flow_readings GROUP BY 1, 2) f
+LEFT JOIN (SELECT _business_date, pipeline_segment_id, count(*) AS n, count(*) FILTER (WHERE severity = 'CRITICAL') AS c FROM alarms GROUP BY 1, 2) a
+ USING (_business_date, pipeline_segment_id)""",
     "stream_state_transitions": "SELECT * EXCLUDE (hrs, transition_sk), hrs::DOUBLE AS duration_in_from_state_hrs FROM fact_transition",
 }
 

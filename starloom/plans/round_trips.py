@@ -169,6 +169,19 @@ def streamed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(fact).drop(S.EPOCH)
 
 
+def streamed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow readings and alarms arriving in two deliveries, as a stream into the daily flow fact."""
+    folder, database = _scratch(spark, "flow_stream")
+    feed, raised = contract(spark, sf_dir, "flow_readings"), contract(spark, sf_dir, "alarms")
+    fact, late = f"{database}.fact_flow", F.hour("reading_ts") >= 12  # each day is delivered in two halves
+    for part in (feed.filter(~late), feed.filter(late)):
+        part.write.mode("append").parquet(f"{folder}/arriving")
+        stream = S.read_events(spark, f"{folder}/arriving", feed.schema.simpleString()[7:-1].replace(":", " "))
+        sink = S.to_pipeline_flow(f"{database}.raw_flow", lambda _: raised, fact)
+        S.stream_events(stream, sink, "pipeline_flow", f"{folder}/progress").awaitTermination()
+    return spark.table(fact)
+
+
 def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents of which every seventh is cut in half, and every eleventh is empty."""
     rows = contract(spark, sf_dir, "raw_payloads")

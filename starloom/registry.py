@@ -274,6 +274,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "reject_log_rows": lambda spark, sf: RT.logged_gate(spark, sf, "rejects"),
     "payload_rejects": lambda spark, sf: payload_rejects(RT.damaged_payloads(spark, sf)),
     "append_and_overwrite_partitions": RT.appended_partitions,
+    "stream_pipeline_flow": lambda spark, sf: plain(RT.streamed_flow(spark, sf), _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),
     "stream_state_transitions": lambda spark, sf: plain(RT.streamed_transitions(spark, sf), ("transition_sk", "order_item_sk", "etl_batch_id")),
 }
 
