@@ -196,3 +196,37 @@ def test_year_filter_prunes_month_folders(w):
 
     plan = in_year(w["fact_order"], "date_sk", 2000, 6)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month_sk" in plan and "PushedFilters: [IsNotNull(date_sk)" in plan
+
+
+def test_unknown_members_spread_over_tasks(spark):
+    from starloom.plans import star as S
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        fact = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 50).cast("long").alias("customer_sk"))
+        dim = spark.range(50).select(F.col("id").alias("customer_sk"), F.concat(F.lit("c"), "id").alias("name")).union(spark.sql("SELECT -1L, 'Unknown'"))
+        star = {"dim_customer": dim.withColumn("current_row_flag", F.lit("Y"))}
+        out = S.with_customer(star, fact, "name")
+        got = {(r.id, r.customer_sk, r.name) for r in out.collect()}
+        assert got == {(i, -1, "Unknown") if i % 2 == 0 else (i, i % 50, f"c{i % 50}") for i in range(4000)}
+        largest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert largest < 4000 * 0.35  # a plain join puts half the rows into one task
+        missing = S.with_customer({"dim_customer": star["dim_customer"].filter("customer_sk >= 0")}, fact, "name")
+        assert missing.filter("name IS NULL").count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
+
+
+def test_rows_without_a_day_are_found(spark):
+    from starloom.plans import star as S
+    star = {"dim_date": spark.sql("SELECT 20260101 AS date_sk")}
+    fact = spark.sql("SELECT * FROM VALUES (1, 20260101), (2, CAST(NULL AS INT)), (3, 20270101) t(id, date_sk)")
+    assert sorted(r.id for r in S.without_day(star, fact, "date_sk").collect()) == [2, 3]
+
+
+def test_reports_do_not_meet_the_order_dimension(w):
+    from starloom.plans import order_analytics as A
+    for report in (A.order_pulse(w, "2001-07-20"), A.stuck_orders(w, "2001-08-01 12:00:00"), A.uc02a(w, "2001-08-01")):
+        assert "/dim_order" not in str(report.inputFiles())
