@@ -429,6 +429,8 @@ SELECT (SELECT count(*) FROM headers_earlier) + row_number() OVER (ORDER BY h.or
 FROM headers h LEFT JOIN headers_earlier e USING (order_bk) WHERE e.order_bk IS NULL OR e.change_hash <> h.change_hash""",
     "fact_transition": "SELECT * EXCLUDE (hrs), hrs::DOUBLE AS duration_in_from_state_hrs FROM fact_transition",
     "fact_order": f"""SELECT * EXCLUDE (total_order_amount, order_amount_excl_vat, vat_amount, discount_amount, recurring_charge_mrc, one_time_charge_otc, expected_annual_revenue,
+ fulfilment_duration_hrs, sla_target_hrs, sla_remaining_hrs), {_d('total_order_amount','order_amount_excl_vat','vat_amount','discount_amount','recurring_charge_mrc','one_time_charge_otc','expected_annual_revenue','fulfilment_duration_hrs','sla_target_hrs','sla_remaining_hrs')} FROM (SELECT f.*, b.order_bk, b.order_date, b.segment_cd FROM fact_order f JOIN fact_base b ON b.order_sk = f.order_sk) q""",
+    "daily_equals_full": f"""SELECT * EXCLUDE (total_order_amount, order_amount_excl_vat, vat_amount, discount_amount, recurring_charge_mrc, one_time_charge_otc, expected_annual_revenue,
  fulfilment_duration_hrs, sla_target_hrs, sla_remaining_hrs), {_d('total_order_amount','order_amount_excl_vat','vat_amount','discount_amount','recurring_charge_mrc','one_time_charge_otc','expected_annual_revenue','fulfilment_duration_hrs','sla_target_hrs','sla_remaining_hrs')} FROM (SELECT f.*, b.order_bk, b.order_date, b.segment_cd FROM fact_order f JOIN fact_base b ON b.order_sk = f.order_sk) q""",
     "fact_item": f"""SELECT * EXCLUDE (unit_price_excl_vat, unit_price_incl_vat, item_total_amount, item_discount_amount, item_vat_amount, item_mrc, item_otc, item_sla_target_hrs),
  {_d('unit_price_excl_vat','unit_price_incl_vat','item_total_amount','item_discount_amount','item_vat_amount','item_mrc','item_otc','item_sla_target_hrs')} FROM fact_item""",

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from starloom.operators.dq import GateContext, GateFailed, run_dq_gate
 from starloom.plans.ops_facts import flow_rules
-from starloom.plans.order_warehouse import OrderWarehouse
+from starloom.plans.order_facts import build_fact_order
+from starloom.plans.order_warehouse import OrderWarehouse, order_dimensions
 from starloom.plans.warehouse import open_warehouse
 from starloom.session import prepare, shared_dir
 from starloom.sources import tables
-from starloom.sources.contracts import contract
+from starloom.sources.contracts import AS_OF, contract
 from starloom.sources.landing import ingest_source, landing_path
 from starloom.sources.schemas import FEEDS
 from starloom.streaming import events as S
@@ -169,6 +170,20 @@ def streamed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(fact).drop(S.EPOCH)
 
 
+def orders_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact loaded in three consecutive batches, the second one twice: as if loaded at once."""
+    _, database = _scratch(spark, "daily")
+    w = open_warehouse(OrderWarehouse, spark, sf_dir)
+    year = F.year("order_date")
+    batches = F.when(year < 1995, "D1").when(year < 1997, "D2").otherwise("D3")
+    orders, fact = w["ods_orders"].withColumn("stg_batch_id", batches), f"{database}.fact_order"
+    for batch in ("D1", "D2", "D2", "D3"):
+        before = spark.table(fact).filter(F.col("etl_batch_id") < batch) if tables.table_exists(spark, fact) else None
+        rows = build_fact_order(orders, w["ods_items"], order_dimensions(w), w["fact_transition"], before, f"{AS_OF} 12:00:00", batch)
+        tables.replace_batch(rows, fact, batch)
+    return spark.table(fact)
+
+
 def streamed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow readings and alarms arriving in two deliveries, as a stream into the daily flow fact."""
     folder, database = _scratch(spark, "flow_stream")

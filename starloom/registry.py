@@ -104,6 +104,8 @@ def _purged(w: OrderWarehouse) -> DataFrame:
     return purge_older_than(dated, "order_ts", feeds.AS_OF).select("order_id", "stg_record_id")
 
 
+_ORDER_FACT = ("billing_account_sk", "sla_breach_consistent_flag", "revenue_assurance_flag", "etl_batch_id", "record_version")
+
 ORDER_QUERIES: dict[str, Query] = {
     "order_dq_checked_batch": _orders(lambda w: w["checked_orders"].select(
         "stg_record_id", "order_id", "stg_record_status", "stg_error_desc", "vat_amount")),
@@ -127,8 +129,8 @@ ORDER_QUERIES: dict[str, Query] = {
     "order_calendar_use": _calendar_use,
     "order_time_use": _time_use,
     "fact_transition": _orders(lambda w: w["fact_transition"], ("order_item_sk", "etl_batch_id", "month_sk")),
-    "fact_order": _orders(lambda w: w["fact_order"], (
-        "billing_account_sk", "sla_breach_consistent_flag", "revenue_assurance_flag", "etl_batch_id", "record_version", "month_sk")),
+    "fact_order": _orders(lambda w: w["fact_order"], (*_ORDER_FACT, "month_sk")),
+    "daily_equals_full": lambda spark, sf: plain(RT.orders_in_batches(spark, sf), _ORDER_FACT),
     "fact_item": _orders(lambda w: w["fact_item"], (
         "order_bk", "product_spec_sk", "provisioning_duration_hrs", "item_sla_breach_flag", "etl_batch_id", "month_sk")),
     "mart_order_kpi": _orders(lambda w: M.order_kpi(w)),
