@@ -19,18 +19,22 @@ class Encoder:
     never join across it, so a text's ids are the ids of its pieces one after
     another. ``spaces`` says that white space itself gets ids and so stays at
     the front of its piece; otherwise pieces are bare words. Ids of pieces seen
-    before are kept, up to ``room`` pieces at a time.
+    before are kept by a 128-bit hash of the piece, up to ``room`` pieces at a
+    time, in a few flat arrays.
     """
 
-    def __init__(self, path: str, spaces: bool, end_id: int | None, room: int = 600_000):
+    def __init__(self, path: str, spaces: bool, end_id: int | None, room: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings are ordinary text in a document
         self.spaces, self.end_id, self.room = spaces, end_id, room
-        self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.int32), 0
-        self.start, self.size = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # halves of the hashes; keys ascend
+        self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch(pieces, add_special_tokens=False)]
@@ -48,30 +52,50 @@ class Encoder:
             ids.append(np.array(one.ids, np.int32))
         return np.concatenate(ids), np.bincount(np.concatenate(owner), minlength=len(pieces))
 
-    def _learn(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.known)
-        while n + len(pieces) > len(self.start):
-            self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used: self.used + len(ids)] = ids
-        self.start[n: n + len(pieces)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n: n + len(pieces)] = sizes
-        self.used += len(ids)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
-
-    def _numbers(self, distinct: list[str]) -> np.ndarray:
-        if len(self.known) + len(distinct) > self.room:
-            self.known, self.used = {}, 0
-        new = [p for p in distinct if p not in self.known]
-        alone = [p for p in new if not p[0].isspace() or p[-1].isspace()] if self.spaces else []
-        if alone:
-            found = self._encode(alone)
-            self._learn(alone, np.array([i for ids in found for i in ids], np.int32), np.fromiter(map(len, found), np.int64, len(found)))
-            new = [p for p in new if p not in self.known]
-        if new:
-            self._learn(new, *self._encode_joined(new))
-        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+    def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces not seen before, piece after piece, and how many each has."""
+        if not self.spaces:
+            return self._encode_joined(pieces)
+        alone = np.array([not p[0].isspace() or p[-1].isspace() for p in pieces], bool)
+        found = self._encode([p for p, a in zip(pieces, alone) if a])
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[alone] = [len(f) for f in found]
+        together = [p for p, a in zip(pieces, alone) if not a]
+        joined, own = self._encode_joined(together) if together else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        sizes[~alone] = own
+        ids, at = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
+        ids[ragged(at[alone], sizes[alone])] = [i for f in found for i in f]
+        ids[ragged(at[~alone], own)] = joined
+        return ids, sizes
+
+    def _known(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each distinct piece stand in ``flat``, and how many it has; new pieces are encoded first."""
+        from xxhash import xxh3_128_digest as digest
+
+        if len(self.keys) + len(distinct) > self.room:
+            self._forget()
+        both = np.frombuffer(b"".join(map(digest, distinct.cast(pa.binary()).to_pylist())), "<u8").reshape(-1, 2)
+        key, check = both[:, 0], both[:, 1]
+        place = np.searchsorted(self.keys, key)
+        inside = place < len(self.keys)
+        place[~inside] = 0
+        hit = inside & (self.keys[place] == key) & (self.checks[place] == check) if len(self.keys) else inside
+        start, size = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        start[hit], size[hit] = self.start[place[hit]], self.size[place[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            ids, sizes = self._new(distinct.take(pa.array(new)).to_pylist())
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used: self.used + len(ids)] = ids
+            start[new], size[new] = self.used + np.cumsum(sizes) - sizes, sizes
+            self.used += len(ids)
+            order = np.argsort(key[new], kind="stable")
+            new = new[order]
+            at = np.searchsorted(self.keys, key[new])
+            self.keys, self.checks = np.insert(self.keys, at, key[new]), np.insert(self.checks, at, check[new])
+            self.start, self.size = np.insert(self.start, at, start[new]), np.insert(self.size, at, size[new])
+        return start, size
 
     def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if not self.spaces:
@@ -93,9 +117,10 @@ class Encoder:
         odd = pc.match_substring_regex(texts, RARE_SPACE).to_numpy(zero_copy_only=False)
         pieces, counts = self._pieces(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
         coded = pieces.dictionary_encode()
-        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        size = self.size[number]
-        ids = self.flat[ragged(self.start[number], size)]
+        start, size = self._known(coded.dictionary)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        size = size[at]
+        ids = self.flat[ragged(start[at], size)]
         before = np.concatenate([[0], np.cumsum(size)])
         bound = np.concatenate([[0], np.cumsum(counts)])
         lengths = np.diff(before[bound])
