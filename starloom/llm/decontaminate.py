@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.shared import WORD_TABLE, doc_columns, mapped, slices, words
+from starloom.llm.shared import WORD_TABLE, column_of, doc_columns, mapped, slices, words
 
 WINDOW = 10
 BLOCK_ROWS = 400_000  # windows searched for at once: about 40 MB of tables in a task
@@ -204,14 +204,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``docs`` without the rows in which a benchmark window occurs; columns stay as they are, and no row moves."""
     blocks = _blocks(docs.sparkSession, benchmark, item_text_col, item_col, window)
 
-    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = _tables(blocks[0].value) if len(blocks) == 1 else None
-        for texts in batches:
-            rows = pa.RecordBatch.from_arrays([texts.cast(pa.string()).fill_null("")], names=["text"])
-            found = [[not i for i in _hits(b.column("text"), blocks, held)[2]] for b in slices([rows], "text")]
-            yield pa.array([x for part in found for x in part], pa.bool_())
+    held: list[tuple] = []
+
+    def clean(texts: pa.Array) -> np.ndarray:
+        if len(blocks) == 1 and not held:
+            held.append(_tables(blocks[0].value))
+        return np.array([not i for i in _hits(texts, blocks, held[0] if held else None)[2]], bool)
 
-    return docs.filter(F.arrow_udf(clean, "boolean")(F.col(text_col)))
+    return docs.filter(column_of(docs, clean, "boolean", text_col))
 
 
 def _found(doc_ids: pa.Array, lengths: np.ndarray, hit: np.ndarray, items: list[set[str]]) -> pa.RecordBatch:

@@ -8,10 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom.llm.bpe import encoder
-from starloom.llm.shared import doc_columns, mapped, ragged, shuffle_partitions, slices, words
+from starloom.llm.shared import column_of, doc_columns, mapped, ragged, shuffle_partitions, slices, words
 
 BUCKETS = 512  # hashed document vectors have this many entries
 DIMS, BITS = 4, 12  # and are projected to so many coordinates of so many bits
@@ -84,13 +83,7 @@ def with_curve_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the Hilbert key of each text in ``curve_key``."""
     directions = projection()
 
-    def keyed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = pa.RecordBatch.from_arrays([texts], names=["text"])
-            parts = [hilbert_key(coordinates(b.column("text"), directions)) for b in slices([rows], "text")]
-            yield pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-
-    return docs.withColumn("curve_key", F.arrow_udf(keyed, "long")(F.col(text_col)))
+    return docs.withColumn("curve_key", column_of(docs, lambda texts: hilbert_key(coordinates(texts, directions)), "long", text_col))
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.shared import fold, mapped, slices, stage, words
+from starloom.llm.shared import column_of, fold, mapped, slices, stage, words
 
 BUCKETS, DIMS, ENTRIES, REACH = 8192, 32, 4, 2  # hashed vocabulary, vector length, non-zero entries, neighbours each way
 TRAIN_ROWS = 20_000  # most labelled rows a network is fitted to
@@ -225,13 +225,7 @@ def _scorer(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, part
     network = train(docs, labels, vectors, text_col, id_col, parts=parts, held_part=held_part)
     table = docs.sparkSession.sparkContext.broadcast(vectors)
 
-    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = pa.RecordBatch.from_arrays([texts.cast(pa.string()).fill_null("")], names=["text"])
-            found = [network.score(pooled(b.column("text"), table.value)) for b in slices([rows], "text", SLICE)]
-            yield pa.array(np.concatenate(found) if found else np.zeros(0))
-
-    return F.arrow_udf(work, "double")(F.col(text_col)), network.informed
+    return column_of(docs, lambda texts: network.score(pooled(texts, table.value)), "double", text_col, SLICE), network.informed
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: float = 0.7) -> DataFrame:

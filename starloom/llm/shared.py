@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from starloom.session import shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SLICE_BYTES = 4 << 20  # text handled at once inside a task
+SLICE_BYTES = 2 << 20  # text handled at once inside a task
+BATCH_BYTES = 8 << 20  # what Spark hands to a Python worker at once
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -62,6 +63,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             upto = max(int(np.searchsorted(total, base + limit, side="right")), at + 1)
             yield batch.slice(at, upto - at)
             at = upto
+        pa.default_memory_pool().release_unused()
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, bytes]:
@@ -112,5 +114,29 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - before, lengths)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker gets at once by bytes, as rows can be of any length."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "64m").rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df`` through ``work``, batch by batch inside its partitions."""
+    _small_batches(df.sparkSession)
     return df.mapInArrow(work, schema)
+
+
+def column_of(df: DataFrame, each: Callable[[pa.Array], np.ndarray], kind: str, text_col: str, limit: int = SLICE_BYTES) -> Column:
+    """A column computed from whole texts (NULL: empty), some megabytes of text at a time."""
+    _small_batches(df.sparkSession)
+
+    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            rows = pa.RecordBatch.from_arrays([texts.cast(pa.string()).fill_null("")], names=["text"])
+            found = [each(b.column("text")) for b in slices([rows], "text", limit)]
+            yield pa.array(np.concatenate(found)) if found else pa.array([], empty)
+
+    empty = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[kind]
+    return F.arrow_udf(work, kind)(F.col(text_col))
