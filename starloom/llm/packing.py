@@ -27,7 +27,7 @@ def word_hashes(flat: pa.Array) -> np.ndarray:
     import xxhash
 
     coded = flat.dictionary_encode()
-    each = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer()) if w.is_valid else 0 for w in coded.dictionary), np.uint64, len(coded.dictionary))
+    each = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
     return each[coded.indices.to_numpy(zero_copy_only=False)]
 
 
