@@ -11,7 +11,15 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul button label".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = "script|style|noscript|template|svg|iframe|object|textarea|head"
+HIDDEN = "script|style|template|iframe|textarea"
+#: Elements without text that hold tags: they end at their end tag or that of an element around them.
+VEILED = frozenset("head svg object noscript".split())
+#: What may stand in a head; any other tag ends it, and so does text.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript title".split())
+#: Tags that end a drawing, as they cannot stand in one.
+NO_DRAWING = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span "
+    "strong strike sub sup table tt u ul var article aside main section header footer nav form".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<skip>" + HIDDEN + r")\b[^>]*(?<!/)>.*?(?:</(?P=skip)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)>", re.S | re.I)
@@ -32,6 +40,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[tuple[str, bool]] = []
     links = 0
+    veil = -1  # place in the stack of the outermost element without text
 
     def flush() -> None:
         nonlocal parts
@@ -43,28 +52,63 @@ def blocks(html: str) -> list[Block]:
             parts = []
 
     def close(name: str) -> None:
-        nonlocal links
+        nonlocal links, veil
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
                 links -= sum(n == "a" for n, _ in stack[i:])
                 del stack[i:]
+                if veil >= i:
+                    veil = -1
                 return
 
+    def say(text: str) -> None:
+        if veil >= 0 and stack[-1][0] == "head" and veil == len(stack) - 1 and text.strip():
+            close("head")
+        if veil < 0:
+            parts.append((unescape(text), links > 0))
+
+    def lift(name: str) -> bool:
+        """Whether a start tag counts as part of what is hidden; one that cannot stand there ends it."""
+        kind = stack[veil][0]
+        if kind == "head":
+            if name == "body" or stack[-1][0] == "head" and name not in IN_HEAD:
+                close("head")
+        elif kind == "svg" and name in NO_DRAWING and not any(n in ("foreignobject", "desc", "title") for n, _ in stack[veil:]):
+            close("svg")
+        return veil >= 0
+
     at = 0
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            parts.append((unescape(html[at: m.start()]), links > 0))
+            say(html[at: m.start()])
         at = m.end()
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
+        if veil >= 0:
+            if m["end"]:
+                if stack[veil][0] == "head" and name in ("body", "html"):
+                    close("head")
+                if name in BLOCK and not any(n == name for n, _ in stack[veil:]) and any(n == name for n, _ in stack):
+                    flush()
+                if stack[veil][0] != "head" or any(n == name for n, _ in stack[veil:]):
+                    close(name)
+                continue
+            if lift(name):
+                if name not in VOID and not m["attr"].rstrip().endswith("/") and (stack[-1][0] == "head" or stack[veil][0] != "head"):
+                    stack.append((name, ()))
+                    links += name == "a"
+                continue
         if name == "br":
             parts.append((" ", False))
         elif m["end"]:
             if name in BLOCK:
                 flush()
             close(name)
+        elif name in VEILED and not m["attr"].rstrip().endswith("/"):
+            veil = len(stack)
+            stack.append((name, ()))
         else:
             if name in BLOCK:
                 flush()
@@ -83,6 +127,6 @@ def blocks(html: str) -> list[Block]:
                 stack.append((name, tuple(marks)))
                 links += name == "a"
     if at < len(html):
-        parts.append((unescape(html[at:]), links > 0))
+        say(html[at:])
     flush()
     return out
