@@ -183,22 +183,24 @@ def train(docs: DataFrame, labels: DataFrame, vectors, text_col: str = "text", i
     """Fit to at most ``rows`` labelled rows that are not held out, chosen by a hash of their id.
 
     ``labels`` may lack documents, name unknown ones, hold NULLs, or label an id
-    more than once (the mean, rounded, counts).
+    more than once (the mean, rounded, counts). Of documents that share an id
+    the text with the smallest hash counts.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna()
     known = known.filter(fold(F.col("doc_id"), parts) != held_part).groupBy("doc_id").agg(F.round(F.avg("y")).alias("y"))
     chosen = stage(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows_in = texts.join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of two numbers at most
+    rows_in = texts.join(F.broadcast(chosen), "doc_id").withColumn("own", F.xxhash64("text"))  # broadcast: ``rows`` rows of two numbers at most
     table = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             x = pooled(batch.column("text"), table.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["doc_id", "y", "x"])
+                [batch.column("doc_id"), batch.column("y"), batch.column("own"), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["doc_id", "y", "own", "x"])
 
-    got = sorted(tuple(r) for r in mapped(rows_in, work, "doc_id long, y double, x binary").collect())
+    each = mapped(rows_in, work, "doc_id long, y double, own long, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct("own", "x")).alias("best"))
+    got = sorted(tuple(r) for r in each.select("doc_id", "y", "best.x").collect())  # ``rows`` rows at most
     x = np.array([np.frombuffer(g[2], "<f4") for g in got], np.float64).reshape(len(got), 2 * DIMS + 4)
     return fit(x, np.array([g[1] for g in got]))
 

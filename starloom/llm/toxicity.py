@@ -123,7 +123,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     Features are the presence of a word's letters and of word beginnings; those
     kept speak most clearly for the label in the training rows, at most
     ``rows`` labelled ones outside the held-out part, chosen by a hash of their
-    id. Returns per row ``doc_id, held_out``, a probability per category,
+    id (of texts that share an id, the one with the smallest hash). Returns per
+    row ``doc_id, held_out``, a probability per category,
     ``score`` (that of the last category) and ``toxic`` (1 from ``threshold``
     on). NULL text counts as empty; without labels every text gets the same
     low score; repeated rows each get theirs.
@@ -133,7 +134,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     known = known.filter(fold(F.col("doc_id"), parts) != held_part).groupBy("doc_id").agg(F.round(F.avg("y")).alias("y"))
     chosen = stage(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = stage(texts.join(F.broadcast(chosen), "doc_id"), "sample")  # ``rows`` rows of two numbers at most
+    joined = texts.join(F.broadcast(chosen), "doc_id")  # broadcast: ``rows`` rows of two numbers at most
+    each = joined.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("own"), "text")).alias("best"))
+    sample = stage(each.select("doc_id", "best.text", "y"), "sample")  # ``rows`` rows at most
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
