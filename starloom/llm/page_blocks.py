@@ -123,7 +123,7 @@ def blocks(html: str) -> list[Block]:
             if name not in VOID and not m["attr"].rstrip().endswith("/"):
                 marks = [name]
                 for found in _MARK.findall(m["attr"]):
-                    marks += ["." + w.lower() for w in _WORD.findall("".join(found))][:8]
+                    marks += ["." + w.lower() for w in _WORD.findall("".join(found))]
                 stack.append((name, tuple(marks)))
                 links += name == "a"
     if at < len(html):

@@ -24,3 +24,8 @@ def test_hidden_parts_end_with_their_parent():
     assert texts("<article><svg><path d='m'><p>whole</p><p>article</p></article>") == ["whole", "article"]
     assert [b.path for b in blocks("<p>a <svg><g>x</g></p>")] == [("p",)]
     assert [b.linked for b in blocks("<p><a>k<svg><a>x</a></svg></a> b</p>")] == [1]
+
+
+def test_every_word_of_a_class_marks_the_block():
+    names = [chr(97 + i) * 3 for i in range(20)] + ["sidebar"]
+    assert blocks(f'<div class="{" ".join(names)}">x</div>')[0].path == ("div", *(f".{n}" for n in names))
