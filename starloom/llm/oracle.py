@@ -42,4 +42,42 @@ FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN its USING (doc_id)""",
 WITH t AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op12_fim": f"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS l,
+  sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+k AS (SELECT *, len(l) AS n, {", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))} FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM k),
+p AS (SELECT *, array_to_string(l[1 : a], '') AS pre, array_to_string(l[a + 1 : b], '') AS mid, array_to_string(l[b + 1 :], '') AS suf,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(len(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(len(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+         ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
+    "op13_collocations": f"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM w, unnest([1, 2, 3, 4]) AS ks(k), unnest(generate_series(1, len(w) - k + 1)) AS g(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cuts AS MATERIALIZED (
+  SELECT lang, phrase, a, j, array_to_string(w[1 : j], ' ') AS lw, array_to_string(w[j + 1 :], ' ') AS rw FROM c, unnest(generate_series(1, k - 1)) AS s(j)),
+many AS MATERIALIZED (SELECT lang, phrase, f FROM f WHERE f >= 30),
+lefts AS MATERIALIZED (SELECT cuts.*, many.f AS l FROM cuts JOIN many ON many.lang = cuts.lang AND many.phrase = lw),
+cut AS (
+  SELECT lefts.lang, lefts.phrase, a, j, l, many.f AS r, (2000000 * CAST(a AS HUGEINT)) // (l + many.f) AS score
+  FROM lefts JOIN many ON many.lang = lefts.lang AND many.phrase = rw),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+around AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM c, unnest(generate_series(2, k - 1)) AS ms(m), unnest(generate_series(1, k - m + 1)) AS g(i) GROUP BY ALL),
+ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN around USING (lang, phrase) WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.collocations import collocations
 from starloom.llm.decontaminate import find_benchmark
 from starloom.llm.exact_dedup import exact_groups
+from starloom.llm.fim import fill_in_middle, restored
 from starloom.llm.html_text import main_text
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.lm_score import score_documents
 from starloom.llm.packing import pack
 from starloom.llm.quality import score_quality
+from starloom.llm.secrets import BASE, find_secrets, joined_spans, of_kinds
 from starloom.llm.simhash import near_groups
 from starloom.llm.token_files import token_file_digest
 from starloom.llm.toxicity import score_toxicity
@@ -75,6 +78,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    number = [F.size(of_kinds(F.col("secrets"), (k,))).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select(
+        "doc_id", *number, F.sha2(joined_spans(F.col("secrets"), BASE), 256).alias("base_sha256"), joined_spans(F.col("secrets")).alias("spans"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -86,4 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_files": op9_token_files,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_secrets": op11_secrets,
+    "op12_fim": op12_fim,
+    "op13_collocations": op13_collocations,
 }
