@@ -148,7 +148,7 @@ def _phrases(keys: np.ndarray, sequence: np.ndarray, table: np.ndarray, scan: in
         active = np.maximum(known[left], known[right])
         keys = _key(keys[left], keys[right], k)
         yield k, keys, counts, active, place[lead]
-        known = _activated(keys, table)
+        known = np.maximum(active, _activated(keys, table))  # a shared slot must not make a phrase known before it is active
         at = np.full(len(at), -1, np.int64)
         on = known[back] <= scan
         at[place[on]] = back[on]
