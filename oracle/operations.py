@@ -28,9 +28,13 @@ _RULES = {
     "cost_actuals": ("fact_financial_actuals", 99.0,
                      "CASE WHEN cost_center_code IS NULL THEN 'FIN-01' WHEN fiscal_year IS NULL THEN 'FIN-02' END", "FALSE"),
 }
+def _date(feed: str) -> str:
+    return "make_date(fiscal_year::BIGINT, fiscal_period::BIGINT, 1)" if feed == "cost_actuals" else "_business_date"
+
+
 def _day(feed: str) -> str:
     fact, limit, _, _ = _RULES[feed]
-    day = "make_date(fiscal_year::BIGINT, fiscal_period::BIGINT, 1)" if feed == "cost_actuals" else "_business_date"
+    day = _date(feed)
     rate = "count(*) FILTER (WHERE bad IS NULL)::DOUBLE / count(*)::DOUBLE * 100.0"
     return (f"SELECT '{fact}' AS target_table, '{feed}' AS input_name, {day} AS _business_date, count(*) AS total_rows, count(*) FILTER (WHERE bad IS NULL) AS passed_rows, "
             f"count(*) FILTER (WHERE bad IS NOT NULL) AS rejected_rows, count(*) FILTER (WHERE bad IS NULL AND warned) AS warned_rows, {rate} AS dq_pass_rate_pct, "
@@ -39,7 +43,10 @@ def _day(feed: str) -> str:
 
 for feed, (_, _, _rej, _warn) in _RULES.items():
     STEPS[f"tagged_{feed}"] = f"SELECT *, {_rej} AS bad, {_warn} AS warned FROM {feed}"
-    STEPS[f"valid_{feed}"] = f"SELECT * FROM tagged_{feed} WHERE bad IS NULL"
+for feed, (fact, _, _, _) in _RULES.items():
+    _own = [f for f, (other, _, _, _) in _RULES.items() if other == fact]
+    STEPS[f"failed_{fact}"] = "SELECT _business_date AS d FROM (" + " UNION ALL ".join(_day(f) for f in _own) + ") q WHERE gate_result = 'FAIL' AND _business_date IS NOT NULL"
+    STEPS[f"valid_{feed}"] = f"SELECT * FROM tagged_{feed} WHERE bad IS NULL AND {_date(feed)} NOT IN (SELECT d FROM failed_{fact})"
 
 _KEY = "(year(_business_date) * 10000 + month(_business_date) * 100 + day(_business_date))::INT AS date_key"
 _MONTH = "substr(date_key::VARCHAR, 1, 4) || '-' || substr(date_key::VARCHAR, 5, 2) AS year_month"
@@ -223,6 +230,12 @@ FROM fact_pipeline_flow WHERE date_key IN (SELECT {_KEY.replace(' AS date_key',
     "mart_pipeline_integrity": f"SELECT year_month, pipeline_segment_id, total_alarms, critical_alarms, {_r('avg_flow_rate_bpd','alarm_rate_per_1000bbl')} FROM integrity",
     "mart_executive_summary": f"SELECT year_month, total_cost_usd::DOUBLE AS total_cost_usd, critical_pipeline_alarms, {_EXEC} FROM executive",
     "vw_exec_dashboard_latest": f"SELECT year_month, total_cost_usd::DOUBLE AS total_cost_usd, critical_pipeline_alarms, {_EXEC} FROM executive WHERE year_month = (SELECT max(year_month) FROM executive)",
+    "silver_incremental": f"SELECT date_key, pipeline_segment_id, leak_alarm_count, critical_alarm_count, {_r('avg_flow_rate_bpd','avg_line_pressure_psi')} FROM fact_pipeline_flow",
+    "mart_reliability_late_day": f"""SELECT year_month, asset_id, facility_id, failure_count, total_downtime_hours, {_r('mtbf_hours','mttr_hours','availability_pct')} FROM reliability
+ WHERE year_month IN ('2023-11', '2023-12', '2024-01')""",
+    "mart_integrity_late_day": f"SELECT year_month, pipeline_segment_id, total_alarms, critical_alarms, {_r('avg_flow_rate_bpd','alarm_rate_per_1000bbl')} FROM integrity WHERE year_month IN ('2023-11', '2023-12', '2024-01')",
+    "mart_scorecard_refreshed": f"""SELECT year_month, facility_id, total_incidents, lost_time_incidents, total_lost_workdays, labor_hours_worked, {_r('trir','ltir')} FROM scorecard
+ WHERE year_month IN ('2023-11', '2023-12', '2024-01')""",
     "vw_hse_alert_facilities": f"SELECT facility_id, year_month, total_incidents, {_r('trir','ltir')} FROM scorecard WHERE trir > 1.0",
     "vw_reliability_watchlist": f"SELECT asset_id, facility_id, year_month, {_r('mtbf_hours','mttr_hours','availability_pct')} FROM reliability WHERE availability_pct < 95.0",
     "ops_calendar_use": """

@@ -98,6 +98,7 @@ UNION ALL SELECT 'DQ-13','Amount Is Numeric','WARN','total_amount',total_amount,
 UNION ALL SELECT 'DQ-20','Order Item Count','WARN','order_item_count',order_item_count,{_E},NULL FROM dq_flags
   WHERE kept AND n_items IS NOT NULL AND try_cast(order_item_count AS INT) <> n_items
 """
+STEPS["order_errors_of"] = STEPS["order_errors"].replace(f"{_E}, NULL AS item FROM", f"{_E}, NULL AS item, total_amount, customer_id FROM").replace(f"{_E},NULL FROM", f"{_E},NULL,total_amount,customer_id FROM")
 STEPS["item_errors"] = """
 SELECT 'DQ-08' AS code, 'Product Offering Exists' AS rule, 'WARN' AS sev, 'product_offering_id' AS field, product_offering_id AS val,
        nullif(trim(order_id), '') AS order_id, order_item_id AS item
@@ -412,7 +413,12 @@ SELECT f.order_bk, f.order_date, c.customer_sk, c.customer_segment_cd FROM ods_o
     "order_calendar_use": """
 SELECT d.date_sk, d.full_date, day_of_week_num, day_of_week_nm_en, day_of_month, day_of_year, week_of_year, month_num, month_nm_en, quarter_num, year_num, year_month,
  fiscal_quarter, fiscal_month, hijri_day, hijri_month_num, hijri_month_nm_ar, hijri_year, hijri_date, is_weekday, is_weekend, is_ramadan, is_hajj_period,
- is_last_day_of_month, is_last_day_of_quarter, count(o.o_orderkey) AS orders
+ is_last_day_of_month, is_last_day_of_quarter, 'Q' || quarter_num || ' ' || year_num AS quarter_nm, year_num AS fiscal_year,
+ CASE day_of_week_num WHEN 1 THEN 'الأحد' WHEN 2 THEN 'الاثنين' WHEN 3 THEN 'الثلاثاء' WHEN 4 THEN 'الأربعاء' WHEN 5 THEN 'الخميس' WHEN 6 THEN 'الجمعة' ELSE 'السبت' END AS day_of_week_nm_ar,
+ CASE month_num WHEN 1 THEN 'يناير' WHEN 2 THEN 'فبراير' WHEN 3 THEN 'مارس' WHEN 4 THEN 'أبريل' WHEN 5 THEN 'مايو' WHEN 6 THEN 'يونيو' WHEN 7 THEN 'يوليو' WHEN 8 THEN 'أغسطس'
+  WHEN 9 THEN 'سبتمبر' WHEN 10 THEN 'أكتوبر' WHEN 11 THEN 'نوفمبر' ELSE 'ديسمبر' END AS month_nm_ar,
+ CASE strftime(d.full_date, '%m-%d') WHEN '01-01' THEN 'New Year' WHEN '09-23' THEN 'National Day' END AS holiday_nm,
+ CASE WHEN strftime(d.full_date, '%m-%d') IN ('01-01', '09-23') THEN 'Y' ELSE 'N' END AS is_public_holiday, count(o.o_orderkey) AS orders
 FROM dim_date d JOIN orders o ON o.o_orderdate::DATE = d.full_date GROUP BY ALL""",
     "order_time_use": """
 SELECT hour(ts) * 100 + minute(ts) AS time_sk, hour(ts) AS hour_24, minute(ts) AS minute_of_hour,
@@ -589,7 +595,57 @@ SELECT order_bk AS order_id, order_date, order_state_cd AS current_state, channe
 FROM wide WHERE is_terminal_state = 'N' AND full_date >= DATE '2001-08-01' - 7 AND date_sub('hour', order_date, TIMESTAMP '2001-08-01 12:00:00') > 24""",
     "staging_marked_processed": "SELECT stg_record_id, order_id, CASE WHEN final_status = 'V' THEN 'P' ELSE final_status END AS stg_record_status FROM checked_orders",
     "staging_after_purge": "SELECT order_id, stg_record_id FROM stg_orders WHERE try_cast(order_date AS TIMESTAMP) IS NULL OR try_cast(order_date AS TIMESTAMP)::DATE >= DATE '2001-08-01' - 90",
+    "staging_after_load_purge": "SELECT order_id, stg_record_id, (DATE '2001-08-01' - ((stg_record_id % 8) * 30)::INT) AS load_date FROM stg_orders WHERE (stg_record_id % 8) * 30 <= 90",
+    "scd2_touched_buckets": f"SELECT * EXCLUDE (churn_risk_score), {_d('churn_risk_score')} FROM dim_customer WHERE customer_sk <> -1",
+    "approximate_customers": """
+SELECT (date_sk // 100)::INT AS month_sk, channel_sk, count(DISTINCT customer_sk) AS customers, TRUE AS close FROM fact_order GROUP BY 1, 2""",
+    "percentiles_from_counts": """
+SELECT channel_sk, geography_sk, grouping(channel_sk, geography_sk)::BIGINT AS grouping_level, (percentile_disc(0.5) WITHIN GROUP (ORDER BY fulfilment_duration_hrs))::DOUBLE AS p50,
+ (percentile_disc(0.95) WITHIN GROUP (ORDER BY fulfilment_duration_hrs))::DOUBLE AS p95, (percentile_disc(0.99) WITHIN GROUP (ORDER BY fulfilment_duration_hrs))::DOUBLE AS p99
+FROM fact_order WHERE fulfilment_duration_hrs IS NOT NULL GROUP BY ROLLUP (channel_sk, geography_sk)""",
+    "seed_states_in_use": """
+SELECT s.*, coalesce(n, 0) AS fact_rows FROM (VALUES
+ (1, 'acknowledged', 'Acknowledged', 'مقبول', 'ACTIVE', 'N', 'Y', 'N', 1, '#1E88E5'), (2, 'rejected', 'Rejected', 'مرفوض', 'TERMINAL', 'Y', 'N', 'N', 9, '#E53935'),
+ (3, 'pending', 'Pending', 'معلق', 'PAUSED', 'N', 'N', 'N', 3, '#FB8C00'), (4, 'held', 'Held', 'محتجز', 'PAUSED', 'N', 'N', 'N', 4, '#F4511E'),
+ (5, 'inProgress', 'In Progress', 'قيد التنفيذ', 'ACTIVE', 'N', 'Y', 'N', 5, '#43A047'), (6, 'cancelled', 'Cancelled', 'ملغى', 'TERMINAL', 'Y', 'N', 'N', 7, '#757575'),
+ (7, 'completed', 'Completed', 'مكتمل', 'TERMINAL', 'Y', 'N', 'Y', 6, '#00897B'), (8, 'failed', 'Failed', 'فشل', 'TERMINAL', 'Y', 'N', 'N', 8, '#C62828'),
+ (9, 'partial', 'Partial', 'جزئي', 'TERMINAL', 'Y', 'N', 'Y', 6, '#558B2F'), (-1, 'UNKNOWN', 'Unknown', 'غير معروف', 'ACTIVE', 'N', 'N', 'N', 99, '#9E9E9E'))
+ s(order_state_sk, order_state_cd, order_state_nm, order_state_nm_ar, state_category, is_terminal_state, is_sla_clock_running, is_billable_state, sort_order, state_color_hex)
+LEFT JOIN (SELECT order_state_sk, count(*) AS n FROM fact_order GROUP BY 1) f USING (order_state_sk)""",
+    "seed_channels_in_use": """
+SELECT s.*, coalesce(n, 0) AS fact_rows FROM (VALUES
+ (1, 'DIGITAL_APP', 'DIGITAL', 'STC App', 'تطبيق STC', 'MOBILE_APP', 'Y', 'Y', 'DIGITAL'), (2, 'DIGITAL_WEB', 'DIGITAL', 'STC Web Portal', 'البوابة الإلكترونية', 'WEB', 'Y', 'Y', 'DIGITAL'),
+ (3, 'RETAIL', 'PHYSICAL', 'Retail Store', 'متجر التجزئة', 'IN_STORE', 'N', 'N', 'DIRECT'), (4, 'TELESALES', 'ASSISTED', 'Telesales', 'المبيعات الهاتفية', 'IVRS', 'N', 'N', 'DIRECT'),
+ (5, 'B2B_PORTAL', 'DIGITAL', 'B2B Portal', 'بوابة الأعمال', 'WEB', 'Y', 'Y', 'DIGITAL'), (6, 'PARTNER', 'INDIRECT', 'Partner/MVNO', 'الشريك', 'API', 'N', 'N', 'INDIRECT'),
+ (-1, 'UNKNOWN', 'UNKNOWN', 'Unknown', 'غير معروف', 'UNKNOWN', 'N', 'N', 'UNKNOWN'))
+ s(channel_sk, channel_cd, channel_type_cd, channel_nm_en, channel_nm_ar, medium_cd, is_digital_flag, is_self_service, channel_group)
+LEFT JOIN (SELECT channel_sk, count(*) AS n FROM fact_order GROUP BY 1) f USING (channel_sk)""",
+    "seed_actions_in_use": """
+SELECT s.*, coalesce(n, 0) AS fact_rows FROM (VALUES
+ (1, 'add', 'Add (New Product)', 'إضافة', 'Y'), (2, 'modify', 'Modify (Upgrade)', 'تعديل', 'Y'), (3, 'delete', 'Delete (Terminate)', 'حذف', 'N'),
+ (4, 'noChange', 'No Change (Unchanged)', 'بدون تغيير', 'N'), (-1, 'UNKNOWN', 'Unknown', 'غير معروف', 'N'))
+ s(action_sk, action_cd, action_nm, action_nm_ar, is_revenue_generating)
+LEFT JOIN (SELECT action_sk, count(*) AS n FROM fact_item GROUP BY 1) f USING (action_sk)""",
+    "daily_batch_staging": "SELECT stg_record_id, order_id, CASE WHEN final_status = 'V' THEN 'P' ELSE final_status END AS stg_record_status FROM checked_orders",
+    "daily_batch_errors": f"""
+SELECT '{BATCH}' AS err_batch_id, e.code AS err_rule_code, 'stg_product_order' AS err_source_table, e.order_id, e.item AS order_item_id, total_amount, NULL AS price_amount, customer_id, NULL AS national_id
+FROM order_errors_of e
+UNION ALL SELECT '{BATCH}', e.code, 'stg_product_order_item', e.order_id, e.item, NULL, i.price_amount, NULL, NULL FROM item_errors e JOIN stg_items i ON i.order_id = e.order_id AND i.order_item_id = e.item
+UNION ALL SELECT '{BATCH}', 'DQ-09', 'stg_customer', NULL, NULL, NULL, NULL, customer_id, NULL FROM stg_customers_2
+ WHERE national_id <> '' AND NOT regexp_matches(trim(national_id), '^[12][0-9]{{9}}$')""",
+    "daily_batch_halted": f"""
+SELECT stg_batch_id AS batch_id, count(*) AS total_records, count(*) FILTER (WHERE final_status = 'V') AS valid_records, 'FAIL - BATCH HALTED' AS dq_verdict, TRUE AS halted,
+ 'stage,check,log' AS steps_finished, 0::BIGINT AS new_versions, FALSE AS fact_loaded FROM checked_orders GROUP BY 1""",
+    "daily_batch_ledger": f"""
+SELECT '{BATCH}' AS batch_id, step, position, table_name, CASE table_name WHEN 'stg_orders' THEN (SELECT count(*) FROM stg_orders) WHEN 'stg_items' THEN (SELECT count(*) FROM stg_items)
+  WHEN 'stg_events' THEN (SELECT count(*) FROM stg_events) WHEN 'ods_orders' THEN (SELECT count(*) FROM ods_orders) WHEN 'ods_items' THEN (SELECT count(*) FROM ods_items)
+  WHEN 'fact_transition' THEN (SELECT count(*) FROM fact_transition) WHEN 'fact_order' THEN (SELECT count(*) FROM fact_order) WHEN 'fact_item' THEN (SELECT count(*) FROM fact_item) END AS rows
+FROM (VALUES ('stage', 1, 'stg_orders'), ('stage', 1, 'stg_items'), ('stage', 1, 'stg_events'), ('check', 2, 'stg_orders'), ('check', 2, 'stg_items'), ('log', 3, NULL), ('judge', 4, NULL),
+ ('dimensions', 5, NULL), ('cleanse', 6, 'ods_orders'), ('cleanse', 6, 'ods_items'), ('headers', 7, NULL), ('transitions', 8, 'fact_transition'), ('orders', 9, 'fact_order'),
+ ('items', 10, 'fact_item'), ('mark', 11, 'stg_orders'), ('mark', 11, 'stg_items')) t(step, position, table_name)""",
 }
+FINAL["daily_batch_resumed"] = FINAL["daily_equals_full"]
+FINAL["daily_batch_items"] = FINAL["fact_item"]
 
 
 def order_sql() -> dict[str, str]:

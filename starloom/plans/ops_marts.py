@@ -1,22 +1,35 @@
 """KPI marts of the operations pipeline and their alert views.
 
-Each builder covers every month present in its inputs up to ``as_of``; passing
-facts of a single month gives that month's month-to-date row.
+Each builder covers every month present in its inputs up to ``as_of``, or the
+months asked for. All monthly measures add up, so a builder can start from the
+rows of a fact or from stored sums of days (:mod:`starloom.plans.month_state`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import constants as K
-from starloom.functions.columns import count_when, dbl, ratio
+from starloom.functions.columns import dbl, ratio
 
 MONTH = "year_month"
 
 
-def _until(fact: DataFrame, as_of: str) -> DataFrame:
-    return fact.filter(F.col("date_key") <= int(as_of.replace("-", "")))
+def _until(fact: DataFrame, as_of: str, months: Sequence[int] | None = None) -> DataFrame:
+    """Rows up to a day; of ``months`` (such as 202401) alone if they are given, which prunes the files of a fact cut by month."""
+    last = int(as_of.replace("-", ""))
+    until = fact.filter(F.col("date_key") <= last)
+    if "month_key" in fact.columns:
+        until = until.filter(F.col("month_key") <= last // 100)
+    if months is None:
+        return until
+    if "month_key" in fact.columns:
+        return until.filter(F.col("month_key").isin(*months))
+    return until.filter(F.floor(F.col("date_key") / 100).isin(*months))
 
 
 def _month() -> Column:
@@ -50,57 +63,89 @@ def mart_production_kpi(fact: DataFrame, dim_well_field: DataFrame) -> DataFrame
     )
 
 
-def mart_equipment_reliability(downtime: DataFrame, dim_asset: DataFrame, as_of: str) -> DataFrame:
+@dataclass(frozen=True)
+class Partials:
+    """Aggregates that can be added up: of one month at once, or of each day and then of the days of a month.
+
+    ``sums`` are SQL aggregates over fact rows, all of which add up by ``sum``.
+    """
+
+    keys: tuple[str, ...]
+    sums: Mapping[str, str]
+
+    def by(self, fact: DataFrame, *first: str | Column) -> DataFrame:
+        return fact.groupBy(*first, *self.keys).agg(*(F.expr(e).alias(n) for n, e in self.sums.items()))
+
+    def of_days(self, fact: DataFrame) -> DataFrame:
+        """A row per day and key, with the month it belongs to."""
+        return self.by(fact, "date_key").withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+
+    def of_months(self, fact: DataFrame) -> DataFrame:
+        return self.by(fact, _month().alias(MONTH))
+
+    def folded(self, days: DataFrame) -> DataFrame:
+        """Rows of days added up to months."""
+        return days.groupBy(_month().alias(MONTH), *self.keys).agg(*(F.sum(n).alias(n) for n in self.sums))
+
+
+RELIABILITY = Partials(("asset_sk",), {"failures": "count(1)", "down": "sum(downtime_hours)"})
+INCIDENTS = Partials(("facility_id",), {"incidents": "count(1)", "lost_time": "count_if(incident_type = 'LTI')", "workdays": "sum(lost_workdays)"})
+LABOR = Partials(("asset_sk",), {"hours": "sum(labor_hours)"})
+COST = Partials(("cost_center_sk",), {"actual": "sum(actual_amount_usd)", "budget": "sum(budget_amount_usd)"})
+FLOW = Partials(("pipeline_segment_id",), {
+    "volume": "sum(avg_flow_rate_bpd)", "readings": "count(avg_flow_rate_bpd)", "alarms": "sum(leak_alarm_count)", "critical": "sum(critical_alarm_count)"})
+
+
+def mart_equipment_reliability(downtime: DataFrame, dim_asset: DataFrame, as_of: str, months: Sequence[int] | None = None) -> DataFrame:
     """Asset by month: failures, MTBF, MTTR, availability. The running month counts elapsed days."""
-    per = _until(downtime, as_of).groupBy(_month().alias(MONTH), "asset_sk").agg(
-        F.count(F.lit(1)).cast("int").alias("failure_count"),
-        F.coalesce(F.sum("downtime_hours"), F.lit(0.0)).alias("total_downtime_hours"),
-    )
+    return reliability_of(RELIABILITY.of_months(_until(downtime, as_of, months)), dim_asset, as_of)
+
+
+def reliability_of(per: DataFrame, dim_asset: DataFrame, as_of: str) -> DataFrame:
     f = per.join(_current(dim_asset, "asset_sk", "asset_id", "facility_id"), "asset_sk")
     last = F.least(F.last_day(F.to_date(F.concat(MONTH, F.lit("-01")))), F.lit(as_of).cast("date"))
     period = F.dayofmonth(last) * 24.0
-    down, n = F.col("total_downtime_hours"), F.col("failure_count")
+    down, n = F.coalesce("down", F.lit(0.0)), F.col("failures").cast("int")
     return _stamped(
-        f, MONTH, "asset_id", "facility_id", "failure_count", "total_downtime_hours",
+        f, MONTH, "asset_id", "facility_id", n.alias("failure_count"), down.alias("total_downtime_hours"),
         ((period - down) / n).alias("mtbf_hours"), (down / n).alias("mttr_hours"),
         F.greatest(F.lit(0.0), (period - down) / period * 100.0).alias("availability_pct"),
     )
 
 
-def mart_hse_scorecard(incidents: DataFrame, work_orders: DataFrame, dim_asset: DataFrame, as_of: str) -> DataFrame:
+def mart_hse_scorecard(incidents: DataFrame, work_orders: DataFrame, dim_asset: DataFrame, as_of: str, months: Sequence[int] | None = None) -> DataFrame:
     """Facility by month: incident rates per 200 000 hours, booked labour standing in for hours worked."""
-    counted = _until(incidents, as_of).groupBy(_month().alias(MONTH), "facility_id").agg(
-        F.count(F.lit(1)).cast("int").alias("total_incidents"),
-        count_when(F.col("incident_type") == "LTI").cast("int").alias("lost_time_incidents"),
-        F.coalesce(F.sum("lost_workdays"), F.lit(0)).cast("int").alias("total_lost_workdays"),
-    )
     # labour per asset first: the asset join then sees one row per asset and month
-    per_asset = _until(work_orders, as_of).groupBy(_month().alias(MONTH), "asset_sk").agg(F.sum("labor_hours").alias("_h"))
+    return scorecard_of(
+        INCIDENTS.of_months(_until(incidents, as_of, months)), LABOR.of_months(_until(work_orders, as_of, months)), dim_asset)
+
+
+def scorecard_of(counted: DataFrame, per_asset: DataFrame, dim_asset: DataFrame) -> DataFrame:
     labor = per_asset.join(_current(dim_asset, "asset_sk", "facility_id"), "asset_sk").groupBy(MONTH, "facility_id").agg(
-        F.sum("_h").alias("labor_hours_worked")
+        F.sum("hours").alias("labor_hours_worked")
     )
-    f = counted.join(labor, [MONTH, "facility_id"], "left").fillna(0.0, ["labor_hours_worked"])
+    f = counted.join(labor, [MONTH, "facility_id"], "left").fillna(0.0, ["labor_hours_worked"]).select(
+        MONTH, "facility_id", F.col("incidents").cast("int").alias("total_incidents"), F.col("lost_time").cast("int").alias("lost_time_incidents"),
+        F.coalesce("workdays", F.lit(0)).cast("int").alias("total_lost_workdays"), "labor_hours_worked")
     hours = F.col("labor_hours_worked")
     rate = lambda n: F.when(hours > 0, F.col(n) * F.lit(K.INCIDENT_RATE_HOURS) / hours)
-    return _stamped(
-        f, MONTH, "facility_id", "total_incidents", "lost_time_incidents", "total_lost_workdays", "labor_hours_worked",
-        rate("total_incidents").alias("trir"), rate("lost_time_incidents").alias("ltir"),
-    )
+    return _stamped(f, *f.columns, rate("total_incidents").alias("trir"), rate("lost_time_incidents").alias("ltir"))
 
 
-def mart_financial_cost(actuals: DataFrame, dim_cost_center: DataFrame, production_kpi: DataFrame, as_of: str) -> DataFrame:
+def mart_financial_cost(actuals: DataFrame, dim_cost_center: DataFrame, production_kpi: DataFrame, as_of: str, months: Sequence[int] | None = None) -> DataFrame:
     """Cost centre by month against budget; unit cost for upstream centres only.
 
     Company production per month is a joined aggregate, never a driver value.
     """
-    per_key = _until(actuals, as_of).groupBy(_month().alias(MONTH), "cost_center_sk").agg(
-        F.sum("actual_amount_usd").alias("_actual"), F.sum("budget_amount_usd").alias("_budget")
-    )
+    produced = _until(production_kpi, as_of, months).groupBy(_month().alias(MONTH)).agg(F.sum("total_oil_bbl").alias("production_bbl"))
+    return cost_of(COST.of_months(_until(actuals, as_of, months)), dim_cost_center, produced)
+
+
+def cost_of(per_key: DataFrame, dim_cost_center: DataFrame, produced: DataFrame) -> DataFrame:
     centers = dim_cost_center.select("cost_center_sk", "cost_center_code", "business_domain")
     cost = per_key.join(centers, "cost_center_sk").groupBy(MONTH, "cost_center_code", "business_domain").agg(
-        F.sum("_actual").cast("decimal(18,2)").alias("actual_cost_usd"), F.sum("_budget").cast("decimal(18,2)").alias("budget_cost_usd")
+        F.sum("actual").cast("decimal(18,2)").alias("actual_cost_usd"), F.sum("budget").cast("decimal(18,2)").alias("budget_cost_usd")
     )
-    produced = _until(production_kpi, as_of).groupBy(_month().alias(MONTH)).agg(F.sum("total_oil_bbl").alias("production_bbl"))
     f = cost.join(produced, MONTH, "left").fillna(0.0, ["production_bbl"])
     actual, budget, bbl = F.col("actual_cost_usd"), F.col("budget_cost_usd"), F.col("production_bbl")
     upstream = (F.col("business_domain") == "upstream") & (bbl > 0)
@@ -111,17 +156,16 @@ def mart_financial_cost(actuals: DataFrame, dim_cost_center: DataFrame, producti
     )
 
 
-def mart_pipeline_integrity(flow: DataFrame, as_of: str) -> DataFrame:
+def mart_pipeline_integrity(flow: DataFrame, as_of: str, months: Sequence[int] | None = None) -> DataFrame:
     """Segment by month: average flow and alarms per 1000 barrels of summed daily flow."""
-    volume, alarms = F.sum("avg_flow_rate_bpd"), F.sum("leak_alarm_count")
+    return integrity_of(FLOW.of_months(_until(flow, as_of, months)))
+
+
+def integrity_of(per: DataFrame) -> DataFrame:
+    volume, alarms = F.col("volume"), F.col("alarms")
     return _stamped(
-        _until(flow, as_of).groupBy(_month().alias(MONTH), "pipeline_segment_id").agg(
-            F.avg("avg_flow_rate_bpd").alias("avg_flow_rate_bpd"),
-            alarms.cast("int").alias("total_alarms"),
-            F.sum("critical_alarm_count").cast("int").alias("critical_alarms"),
-            F.when(volume > 0, alarms / (volume / 1000.0)).alias("alarm_rate_per_1000bbl"),
-        ),
-        MONTH, "pipeline_segment_id", "avg_flow_rate_bpd", "total_alarms", "critical_alarms", "alarm_rate_per_1000bbl",
+        per, MONTH, "pipeline_segment_id", (volume / F.col("readings")).alias("avg_flow_rate_bpd"), alarms.cast("int").alias("total_alarms"),
+        F.col("critical").cast("int").alias("critical_alarms"), F.when(volume > 0, alarms / (volume / 1000.0)).alias("alarm_rate_per_1000bbl"),
     )
 
 

@@ -47,10 +47,6 @@ def result(w: Warehouse, feed: str) -> DQResult:
     return DQResult(tagged, GATED[feed][0](), w.feed(feed).columns)
 
 
-def valid(w: Warehouse, feed: str) -> DataFrame:
-    return result(w, feed).valid
-
-
 def gate_counts(w: Warehouse, feed: str) -> DataFrame:
     """Audit row of a feed over all its business dates."""
     table = GATED[feed][1]
@@ -67,13 +63,14 @@ def gate_days(w: Warehouse, feed: str) -> DataFrame:
 
 def halted_days(w: Warehouse) -> DataFrame:
     """Days on which a fact is not loaded, because one of its feeds failed its gate."""
-    return stacked(w, gate_days).filter(F.col("gate_result") == "FAIL").groupBy("target_table", facts.DAY).agg(
+    return w["gate_days"].filter(F.col("gate_result") == "FAIL").groupBy("target_table", facts.DAY).agg(
         F.min("dq_pass_rate_pct").alias("lowest_pass_rate_pct"), F.sum("rejected_rows").alias("rejected_rows"))
 
 
 def gated(w: Warehouse, feed: str) -> DataFrame:
-    """Valid rows of a feed's passed days; a day that failed is halted as a whole."""
-    return passed_only(result(w, feed), gate_days(w, feed), facts.DAY)
+    """Valid rows of a feed on the days that its fact is loaded: a day on which any feed of the fact failed is halted as a whole."""
+    days = w["gate_days"].filter(F.col("target_table") == GATED[feed][1]).groupBy(facts.DAY).agg(F.min("gate_result").alias("gate_result"))
+    return passed_only(result(w, feed), days, facts.DAY)
 
 
 def gated_flow(w: Warehouse) -> DataFrame:
@@ -104,18 +101,19 @@ def _tagged(feed: str) -> Callable[[Warehouse], DataFrame]:
 class OpsWarehouse(Warehouse):
     builders = {
         **{f"tagged_{feed}": _tagged(feed) for feed in GATED},
+        "gate_days": lambda w: stacked(w, gate_days),
         "dim_asset": _dim_asset,
         "dim_well_field": lambda w: dims.build_dim_well_field(w.feed("well_readings"), None, FIRST_LOAD),
         "dim_cost_center": lambda w: dims.build_dim_cost_center(w.feed("cost_actuals"), None, _stamp()),
         "dim_product": lambda w: dims.build_dim_product(w.feed("quality_tests"), None, _stamp()),
         "dim_employee_vendor": lambda w: dims.build_dim_employee_vendor(w.feed("work_orders"), w.feed("incidents"), None, _stamp()),
-        "fact_production_daily": lambda w: _by_month(facts.build_fact_production_daily(valid(w, "well_readings"), w["dim_well_field"])),
-        "fact_equipment_downtime": lambda w: _by_month(facts.build_fact_equipment_downtime(valid(w, "downtime"), w["dim_asset"])),
-        "fact_maintenance_workorder": lambda w: _by_month(facts.build_fact_maintenance_workorder(valid(w, "work_orders"), w["dim_asset"])),
-        "fact_pipeline_flow": lambda w: _by_month(facts.build_fact_pipeline_flow(valid(w, "flow_readings"), w.feed("alarms"))),
-        "fact_refinery_yield": lambda w: _by_month(facts.build_fact_refinery_yield(valid(w, "assays"), valid(w, "quality_tests"), w["dim_product"])),
-        "fact_hse_incident": lambda w: _by_month(facts.build_fact_hse_incident(valid(w, "incidents"), w["dim_employee_vendor"])),
-        "fact_financial_actuals": lambda w: _by_month(facts.build_fact_financial_actuals(valid(w, "cost_actuals"), w["dim_cost_center"])),
+        "fact_production_daily": lambda w: _by_month(facts.build_fact_production_daily(gated(w, "well_readings"), w["dim_well_field"])),
+        "fact_equipment_downtime": lambda w: _by_month(facts.build_fact_equipment_downtime(gated(w, "downtime"), w["dim_asset"])),
+        "fact_maintenance_workorder": lambda w: _by_month(facts.build_fact_maintenance_workorder(gated(w, "work_orders"), w["dim_asset"])),
+        "fact_pipeline_flow": lambda w: _by_month(facts.build_fact_pipeline_flow(gated(w, "flow_readings"), w.feed("alarms"))),
+        "fact_refinery_yield": lambda w: _by_month(facts.build_fact_refinery_yield(gated(w, "assays"), gated(w, "quality_tests"), w["dim_product"])),
+        "fact_hse_incident": lambda w: _by_month(facts.build_fact_hse_incident(gated(w, "incidents"), w["dim_employee_vendor"])),
+        "fact_financial_actuals": lambda w: _by_month(facts.build_fact_financial_actuals(gated(w, "cost_actuals"), w["dim_cost_center"])),
         "mart_production_kpi": lambda w: marts.mart_production_kpi(w["fact_production_daily"], w["dim_well_field"]),
         "mart_equipment_reliability": lambda w: marts.mart_equipment_reliability(w["fact_equipment_downtime"], w["dim_asset"], AS_OF),
         "mart_hse_scorecard": lambda w: marts.mart_hse_scorecard(w["fact_hse_incident"], w["fact_maintenance_workorder"], w["dim_asset"], AS_OF),

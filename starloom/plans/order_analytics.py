@@ -177,7 +177,7 @@ def uc05(star: Star, customer_bk: str | None = None) -> DataFrame:
     f = with_channel(star, f, "left", F.col("channel_cd").alias("order_channel"))
     f = with_offering(star, f, "product_offering_name", "product_type_cd", "technology_tier")
     slim = f.select(
-        "customer_sk", "customer_bk", "customer_type_cd", "customer_segment_cd", "city_nm", "region_nm",
+        "order_sk", "customer_sk", "customer_bk", "customer_type_cd", "customer_segment_cd", "city_nm", "region_nm",
         F.col("activation_dt").alias("customer_since"), "churn_risk_score",
         F.col("full_date").alias("order_date"), F.col("order_bk").alias("order_id"),
         F.col("order_category_cd").alias("order_type"), "current_state", "order_channel", "product_offering_name",
@@ -185,12 +185,14 @@ def uc05(star: Star, customer_bk: str | None = None) -> DataFrame:
         F.col("recurring_charge_mrc").alias("monthly_charge"), "discount_amount", "fulfilment_duration_hrs",
         "sla_breach_flag", "order_item_count",
     )
-    ordered = number_rows(slim, ["customer_sk", "order_date", "order_id"])
+    # only keys and the amount are put in order and stored; the wide rows meet their totals by order
+    ordered = number_rows(slim.select("order_sk", "customer_sk", "order_date", "order_id", "order_value"), ["customer_sk", "order_date", "order_id"])
     running = with_running(ordered, "customer_sk", {
         "cumulative_spend": F.col("order_value"), "order_sequence_num": F.lit(1),
     })
     lifetime = ordered.groupBy("customer_sk").agg(_n().alias("total_lifetime_orders"))
-    return running.join(lifetime, "customer_sk").drop("customer_sk", "_pid", "_rn").orderBy("order_date", "order_id")
+    totals = running.join(lifetime, "customer_sk").select("order_sk", "cumulative_spend", "order_sequence_num", "total_lifetime_orders")
+    return slim.join(totals, "order_sk").drop("customer_sk", "order_sk").orderBy("order_date", "order_id")
 
 
 def uc06(star: Star, as_of: str, days: int = 30, min_count: int = 5) -> DataFrame:

@@ -269,9 +269,5 @@ def build_fact_item(
         F.coalesce("is_bundle_item", F.lit("N")).alias("is_bundle_item"),
         F.lit(batch_id).alias("etl_batch_id"),
     )
-    # numbered on the two key columns alone; the wide rows move once, to meet their number
-    loaded = items.select(*row).join(headers.select("order_bk"), "order_bk", "left_semi").distinct()
-    keys = assign_surrogate_keys(loaded, row, "order_item_sk", key_start)
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in row]
-    numbered = shaped.join(keys.select("order_item_sk", *(F.col(c).alias(f"_k_{c}") for c in row)), same[0] & same[1])
-    return numbered.select("order_item_sk", *shaped.columns)
+    # rows are numbered where they lie: an item that comes twice gets two keys, and nothing is joined back
+    return assign_surrogate_keys(shaped, row, "order_item_sk", key_start)

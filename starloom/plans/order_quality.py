@@ -138,11 +138,13 @@ def check_customers(customers: DataFrame) -> DataFrame:
 
 def error_log(tagged: DataFrame, source_table: str, batch_id: str, logged_at: Column | None = None,
               order_id: str | None = "order_id") -> DataFrame:
-    """One row per violation."""
+    """One row per violation, with the whole record as JSON; identity numbers stay out of it."""
     at = F.current_timestamp() if logged_at is None else logged_at
     order = F.lit(None).cast("string") if order_id is None else F.nullif(F.trim(F.col(order_id)), F.lit(""))
     item = F.col("order_item_id") if "order_item_id" in tagged.columns else F.lit(None).cast("string")
-    rows = tagged.select(order.alias("order_id"), item.alias("order_item_id"), F.explode(VIOLATIONS).alias("v"))
+    whole = F.to_json(F.struct(*(c for c in tagged.columns if c not in (VIOLATIONS, "national_id"))))
+    found = tagged.filter(F.size(VIOLATIONS) > 0)
+    rows = found.select(order.alias("order_id"), item.alias("order_item_id"), whole.alias("raw"), F.explode(VIOLATIONS).alias("v"))
     return rows.select(
         at.alias("err_dt"),
         F.lit(batch_id).alias("err_batch_id"),
@@ -156,7 +158,7 @@ def error_log(tagged: DataFrame, source_table: str, batch_id: str, logged_at: Co
         "order_id",
         "order_item_id",
         F.col("v.description").alias("err_description"),
-        F.lit(None).cast("string").alias("raw_record_data"),
+        F.col("raw").alias("raw_record_data"),
         F.lit("O").alias("resolution_status"),
         F.lit(None).cast("string").alias("resolved_by"),
         F.lit(None).cast("timestamp").alias("resolved_dt"),

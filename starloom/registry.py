@@ -12,6 +12,7 @@ from starloom.operators.dq import latest_scorecard
 from starloom.operators.keyed import latest_per_key
 from starloom.operators.ordered import assign_surrogate_keys, number_rows, with_previous, with_running
 from starloom.operators.scd import ORDER_HISTORY, classify_changes, lookup_as_of, scd1_upsert
+from starloom.plans import batch_trips as BT
 from starloom.plans import calendar as cal
 from starloom.plans import order_analytics as A
 from starloom.plans import order_dims as D
@@ -89,9 +90,11 @@ def _span(rows: DataFrame, day: str) -> tuple[str, str]:
 
 def _calendar_use(spark: SparkSession, sf: str) -> DataFrame:
     orders = feeds.table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("full_date")).agg(F.count(F.lit(1)).alias("orders"))
-    days = cal.dim_date(spark, *_span(orders, "full_date")).drop(
-        "day_of_week_nm_ar", "month_nm_ar", "quarter_nm", "fiscal_year", "is_public_holiday", "holiday_nm")
-    return days.join(orders, "full_date")
+    # the maintained holiday list: the first day of a year with orders, and every 23 September
+    day = F.col("full_date")
+    holidays = orders.filter(F.date_format(day, "MM-dd").isin("01-01", "09-23")).select(
+        day, F.when(F.month(day) == 1, "New Year").otherwise("National Day").alias("holiday_nm"))
+    return cal.dim_date(spark, *_span(orders, "full_date"), holidays).join(orders, "full_date")
 
 
 def _time_use(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,6 +107,7 @@ def _purged(w: OrderWarehouse) -> DataFrame:
     return purge_older_than(dated, "order_ts", feeds.AS_OF).select("order_id", "stg_record_id")
 
 
+_ITEM_FACT = ("order_bk", "product_spec_sk", "provisioning_duration_hrs", "item_sla_breach_flag", "etl_batch_id", "month_sk")
 _ORDER_FACT = ("billing_account_sk", "sla_breach_consistent_flag", "revenue_assurance_flag", "etl_batch_id", "record_version")
 
 ORDER_QUERIES: dict[str, Query] = {
@@ -131,8 +135,13 @@ ORDER_QUERIES: dict[str, Query] = {
     "fact_transition": _orders(lambda w: w["fact_transition"], ("order_item_sk", "etl_batch_id", "month_sk")),
     "fact_order": _orders(lambda w: w["fact_order"], (*_ORDER_FACT, "month_sk")),
     "daily_equals_full": lambda spark, sf: plain(RT.orders_in_batches(spark, sf), _ORDER_FACT),
-    "fact_item": _orders(lambda w: w["fact_item"], (
-        "order_bk", "product_spec_sk", "provisioning_duration_hrs", "item_sla_breach_flag", "etl_batch_id", "month_sk")),
+    "daily_batch_resumed": lambda spark, sf: plain(BT.resumed_batch(spark, sf).table("fact_order"), _ORDER_FACT),
+    "daily_batch_items": lambda spark, sf: plain(BT.resumed_batch(spark, sf).table("fact_item"), _ITEM_FACT),
+    "daily_batch_staging": BT.batch_staging,
+    "daily_batch_ledger": BT.batch_ledger,
+    "daily_batch_errors": BT.batch_errors,
+    "daily_batch_halted": BT.batch_halted,
+    "fact_item": _orders(lambda w: w["fact_item"], _ITEM_FACT),
     "mart_order_kpi": _orders(lambda w: M.order_kpi(w)),
     "mart_sla_compliance": _orders(lambda w: M.sla_compliance(w)),
     "mart_adoption": _orders(lambda w: M.adoption(w)),
@@ -159,6 +168,13 @@ ORDER_QUERIES: dict[str, Query] = {
     "staging_marked_processed": _orders(lambda w: mark_processed(w["checked_orders"], feeds.BATCH).select(
         "stg_record_id", "order_id", "stg_record_status")),
     "staging_after_purge": _orders(_purged),
+    "staging_after_load_purge": BT.purged_by_load_date,
+    "scd2_touched_buckets": lambda spark, sf: plain(BT.touched_buckets(spark, sf)),
+    "approximate_customers": BT.approximate_customers,
+    "percentiles_from_counts": lambda spark, sf: plain(BT.counted_percentiles(spark, sf)),
+    "seed_states_in_use": lambda spark, sf: BT.seeds_in_use(spark, sf, "state"),
+    "seed_channels_in_use": lambda spark, sf: BT.seeds_in_use(spark, sf, "channel"),
+    "seed_actions_in_use": lambda spark, sf: BT.seeds_in_use(spark, sf, "action"),
 }
 
 
@@ -182,7 +198,7 @@ def _rejects(w: OpsWarehouse) -> DataFrame:
 def _latest_scorecard(w: OpsWarehouse) -> DataFrame:
     """The gate runs once per business date, at one in the morning after it; the last run per table counts."""
     day = F.col("_business_date")
-    audit = O.stacked(w, O.gate_days).select(
+    audit = w["gate_days"].select(
         "*", F.date_format(day, "yyyyMMdd").alias("ingestion_run_id"), day.alias("business_date"),
         (day + F.expr("INTERVAL '25' HOUR")).cast("timestamp_ntz").alias("evaluated_ts"))
     return latest_scorecard(audit)
@@ -194,7 +210,7 @@ OPS_QUERIES: dict[str, Query] = {
     "ops_dq_audit": _ops(lambda w: O.stacked(w, O.gate_counts)),
     "ops_dq_rejects": _ops(_rejects),
     "ops_dq_latest_scorecard": _ops(_latest_scorecard),
-    "ops_gate_days": _ops(lambda w: O.stacked(w, O.gate_days)),
+    "ops_gate_days": _ops(lambda w: w["gate_days"]),
     "ops_gate_halted_days": _ops(O.halted_days),
     "ops_gate_passed_facts": _ops(O.gated_flow, _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),
     "dim_asset_history": _ops(lambda w: w["dim_asset"]),
@@ -222,6 +238,10 @@ OPS_QUERIES: dict[str, Query] = {
     "vw_reliability_watchlist": _ops(lambda w: OM.vw_reliability_watchlist(w["mart_equipment_reliability"]), (), (
         "mtbf_hours", "mttr_hours", "availability_pct")),
     "ops_calendar_use": _ops_calendar,
+    "silver_incremental": lambda spark, sf: plain(BT.incremental_silver(spark, sf), _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),
+    "mart_reliability_late_day": lambda spark, sf: plain(BT.late_day(spark, sf, "reliability"), _ADL, ("mtbf_hours", "mttr_hours", "availability_pct")),
+    "mart_integrity_late_day": lambda spark, sf: plain(BT.late_day(spark, sf, "integrity"), _ADL, ("avg_flow_rate_bpd", "alarm_rate_per_1000bbl")),
+    "mart_scorecard_refreshed": lambda spark, sf: plain(BT.refreshed_months(spark, sf), _ADL, ("trir", "ltir")),
 }
 
 

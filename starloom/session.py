@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -42,10 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """``df`` written once below the shared folder and read back, cut by ``by``."""
+def written(df: DataFrame, label: str, by: Sequence[str] = (), observed: Observation | None = None, metrics: Sequence[Column] = ()) -> DataFrame:
+    """``df`` written once below the shared folder and read back, cut by ``by``.
+
+    ``metrics`` are aggregates that the write itself counts into ``observed``.
+    """
     spark = prepare(df.sparkSession)
     path = f"{shared_dir(spark).rstrip('/')}/written/{label}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*by) if by else df.write
+    out = df.observe(observed, *metrics) if observed else df
+    writer = out.write.partitionBy(*by) if by else out.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

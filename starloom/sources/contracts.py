@@ -255,12 +255,13 @@ SELECT 'O' || CAST(o_orderkey AS STRING) AS order_id,
 FROM @orders@ WHERE o_orderkey % 14 <> 9
 """
 
+# On every third day no reading is irregular, so some days pass the gate and some are halted.
 WELL_READINGS = """
-SELECT CASE WHEN event_id % 97 = 5 THEN CAST(NULL AS STRING) ELSE 'W' || CAST(user_id AS STRING) END AS well_id,
+SELECT CASE WHEN event_id % 97 = 5 AND day(ts) % 3 <> 0 THEN CAST(NULL AS STRING) ELSE 'W' || CAST(user_id AS STRING) END AS well_id,
        'F' || CAST(user_id % 10 AS STRING) AS field_id,
        ts AS reading_ts,
-       CASE WHEN event_id % 89 = 3 THEN -value WHEN event_id % 79 = 1 THEN CAST(NULL AS DOUBLE) ELSE value END
-         AS oil_rate_bopd,
+       CASE WHEN event_id % 89 = 3 AND day(ts) % 3 <> 0 THEN -value WHEN event_id % 79 = 1 AND day(ts) % 3 <> 0 THEN CAST(NULL AS DOUBLE)
+            ELSE value END AS oil_rate_bopd,
        value * 2.5e0 AS gas_rate_mscfd,
        value * 0.5e0 AS water_rate_bwpd,
        CASE WHEN event_id % 83 = 2 THEN 20000e0 ELSE value * 10e0 END AS tubing_pressure_psi,
@@ -331,7 +332,7 @@ SELECT CASE WHEN l_orderkey % 499 = 5 THEN CAST(NULL AS STRING)
        ts + INTERVAL '3' HOUR * l_linenumber AS actual_start_ts,
        CASE WHEN l_linestatus = 'F' THEN ts + INTERVAL '3' HOUR * l_linenumber + INTERVAL '30' MINUTE * (l_partkey % 9) END
          AS actual_finish_ts,
-       CASE WHEN l_partkey % 61 = 0 THEN -1e0 ELSE l_quantity END AS labor_hours,
+       CASE WHEN l_partkey % 61 = 0 THEN -1e0 WHEN l_suppkey % 12 = 5 THEN l_quantity * 40000e0 ELSE l_quantity END AS labor_hours,
        l_extendedprice AS material_cost_usd,
        CASE WHEN l_linenumber = 3 THEN CAST(NULL AS STRING) ELSE 'CR' || CAST(l_suppkey % 20 AS STRING) END AS assigned_crew_id,
        CAST(ts AS DATE) AS _business_date
@@ -347,7 +348,7 @@ FROM @lineitem@
 
 QUALITY_TESTS = """
 SELECT CASE WHEN l_orderkey % 97 = 1 THEN CAST(NULL AS STRING) ELSE 'RF' || CAST(l_suppkey % 25 AS STRING) END AS refinery_id,
-       CASE WHEN l_orderkey % 89 = 0 THEN CAST(NULL AS STRING) ELSE
+       CASE WHEN l_orderkey % 89 = 0 AND day(l_shipdate) % 2 = 0 THEN CAST(NULL AS STRING) ELSE
          CASE l_partkey % 5 WHEN 0 THEN 'GASOLINE-91' WHEN 1 THEN 'DIESEL-S' WHEN 2 THEN 'JET-A1' WHEN 3 THEN 'LPG'
               ELSE 'FUEL-OIL' END END AS product_code,
        CASE l_returnflag WHEN 'R' THEN 'FAIL' WHEN 'N' THEN 'PASS' ELSE
@@ -375,7 +376,7 @@ SELECT cost_center_code, fiscal_year, fiscal_period, cost_element_code,
 FROM (
   SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
          CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'UP-100' WHEN 'BUILDING' THEN 'MS-200' WHEN 'FURNITURE' THEN 'DS-300'
-              WHEN 'HOUSEHOLD' THEN 'UP-110' ELSE CASE WHEN o_orderkey % 71 = 0 THEN CAST(NULL AS STRING) ELSE 'XX-400' END END
+              WHEN 'HOUSEHOLD' THEN 'UP-110' ELSE CASE WHEN o_orderkey % 71 = 0 AND month(o_orderdate) % 3 = 0 THEN CAST(NULL AS STRING) ELSE 'XX-400' END END
            AS cost_center_code,
          CAST(year(o_orderdate) + 23 AS INT) AS fiscal_year,
          CAST(month(o_orderdate) AS INT) AS fiscal_period,

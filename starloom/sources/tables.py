@@ -105,6 +105,28 @@ def _files_of(spark: SparkSession, table: str, values: Mapping[str, object]) ->
     return set(rows.inputFiles())
 
 
+def has_partition(spark: SparkSession, table: str, values: Mapping[str, object]) -> bool:
+    """Whether a partition of the table holds any file."""
+    return bool(_files_of(spark, table, values))
+
+
+def advance_partition(spark: SparkSession, table: str, old: Mapping[str, object], new: Mapping[str, object]) -> None:
+    """Move all rows of one partition to another, such as a status on to the next one.
+
+    The rows are first written under the new values and then dropped under the
+    old ones. A run that is cut off in between writes them once more; a finished
+    one finds no old partition and changes nothing.
+    """
+    if not has_partition(spark, table, old):
+        return
+    rows = spark.table(table)
+    for name, value in old.items():
+        rows = rows.filter(F.col(name) == F.lit(value).cast(rows.schema[name].dataType))
+    overwrite_partitions(rows.withColumns({n: F.lit(v) for n, v in new.items()}), table)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(old)})")
+    spark.catalog.refreshTable(table)
+
+
 def replace_batch(df: DataFrame, table: str, batch_id: str, batch_col: str = "etl_batch_id") -> None:
     """Reload one batch: its old rows go, the new ones come, other batches stay."""
     wrong = F.col(batch_col).isNull() | (F.col(batch_col) != batch_id)
