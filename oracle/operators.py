@@ -49,6 +49,9 @@ FROM ({_FLOW}) q GROUP BY run, stamp""",
 SELECT run AS ingestion_run_id, bad AS rule_id, 'REJECT' AS severity,
  CASE bad WHEN 'PIPE-01' THEN 'no value in pipeline_segment_id' ELSE 'flow_rate_bpd is below zero' END AS rejection_reason,
  pipeline_segment_id, flow_rate_bpd::DOUBLE AS flow_rate_bpd, _business_date FROM ({_FLOW}) q WHERE bad IS NOT NULL""",
+    "payload_unknown_members": f"""
+SELECT order_id, 'order' AS level, -1 AS position, 'note' AS member, '{{"by":"' || {_ORDER} % 3 || '","urgent":true}}' AS value FROM raw_payloads WHERE {_ORDER} % 4 = 0
+UNION ALL SELECT order_id, 'item', 0, 'warrantyMonths', ({_ORDER} % 36)::VARCHAR FROM raw_payloads WHERE {_ORDER} % 6 = 0""",
     "payload_rejects": f"""
 SELECT order_id, CASE WHEN {_ORDER} % 7 = 0 THEN 'not readable' ELSE 'no document' END AS reason, CASE WHEN {_ORDER} % 7 = 0 THEN substr(raw_json_payload, 1, 12) ELSE ' ' END AS raw_record
 FROM raw_payloads WHERE {_ORDER} % 7 = 0 OR {_ORDER} % 11 = 0""",

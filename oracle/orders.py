@@ -644,6 +644,11 @@ FROM (VALUES ('stage', 1, 'stg_orders'), ('stage', 1, 'stg_items'), ('stage', 1,
  ('dimensions', 5, NULL), ('cleanse', 6, 'ods_orders'), ('cleanse', 6, 'ods_items'), ('headers', 7, NULL), ('transitions', 8, 'fact_transition'), ('orders', 9, 'fact_order'),
  ('items', 10, 'fact_item'), ('mark', 11, 'stg_orders'), ('mark', 11, 'stg_items')) t(step, position, table_name)""",
 }
+FINAL["order_customer_merged"] = FINAL["order_customer_as_recorded"]
+FINAL["mart_sales_as_recorded"] = """
+SELECT strftime(o.order_date, '%Y-%m') AS year_month, coalesce(c.customer_segment_cd, 'UNKNOWN') AS segment, count(*) AS orders, sum(o.total_order_amount)::DOUBLE AS revenue
+FROM ods_orders o LEFT JOIN (SELECT * FROM dim_customer WHERE customer_sk > 0) c
+ ON c.customer_bk = o.customer_bk AND greatest(o.order_date::DATE, DATE '2001-07-01') BETWEEN c.row_eff_dt AND c.row_exp_dt GROUP BY 1, 2"""
 FINAL["daily_batch_resumed"] = FINAL["daily_equals_full"]
 FINAL["daily_batch_items"] = FINAL["fact_item"]
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import constants as K
 from starloom.functions.columns import count_when, mean_of, ratio, sum_when
+from starloom.operators.asof import merge_as_of
 from starloom.plans.star import (
     Star, in_year, on_days, segment, with_channel, with_date, with_geography, with_offering, with_order, with_state,
 )
@@ -254,3 +255,21 @@ def vw_5g_regional_adoption(kpi: DataFrame) -> DataFrame:
         F.sum("gross_order_value").alias("total_revenue"),
         sum_when(F.col("is_5g_flag") == "Y", F.col("gross_order_value")).alias("revenue_5g"),
     )
+
+
+def sales_by_segment(ods_orders: DataFrame, dim_customer: DataFrame, since: str, as_recorded: bool = True) -> DataFrame:
+    """Orders and revenue by month and customer segment.
+
+    ``as_recorded`` takes the segment that the customer had on the day of the
+    order; otherwise today's. Orders before ``since``, the first load of the
+    dimension, count on that day, as nothing earlier was recorded.
+    """
+    people = dim_customer.select("customer_bk", F.col("customer_segment_cd").alias("segment"), "row_eff_dt", "row_exp_dt", "current_row_flag")
+    orders = ods_orders.select("order_bk", "customer_bk", "order_date", "total_order_amount").withColumn(
+        "recorded_on", F.greatest(F.to_date("order_date"), F.lit(since).cast("date")))
+    if as_recorded:
+        dated = merge_as_of(orders, people.drop("current_row_flag"), ["customer_bk"], "recorded_on")
+    else:
+        dated = orders.join(people.filter("current_row_flag = 'Y'").select("customer_bk", "segment"), "customer_bk", "left")
+    return dated.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month"), F.coalesce("segment", F.lit("UNKNOWN")).alias("segment")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("total_order_amount").alias("revenue"))

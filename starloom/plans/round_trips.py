@@ -197,6 +197,16 @@ def streamed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(fact)
 
 
+def extended_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents that have grown: every fourth has a note, and the first item of every sixth a warranty."""
+    rows = contract(spark, sf_dir, "raw_payloads")
+    n, text = _number("order_id"), F.col("raw_json_payload")
+    noted = F.concat(F.lit('{"note":{"by":"'), (n % 3).cast("string"), F.lit('","urgent":true},'), F.substring(text, 2, 1_000_000))
+    grown = F.when(n % 4 == 0, noted).otherwise(text)
+    warranty = F.replace(grown, F.lit('"productOrderItem":[{'), F.concat(F.lit('"productOrderItem":[{"warrantyMonths":'), (n % 36).cast("string"), F.lit(",")))
+    return rows.withColumn("raw_json_payload", F.when(n % 6 == 0, warranty).otherwise(grown))
+
+
 def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents of which every seventh is cut in half, and every eleventh is empty."""
     rows = contract(spark, sf_dir, "raw_payloads")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.asof import merge_as_of
 from starloom.operators.dq import latest_scorecard
 from starloom.operators.keyed import latest_per_key
 from starloom.operators.ordered import assign_surrogate_keys, number_rows, with_previous, with_running
@@ -25,7 +26,7 @@ from starloom.plans.ops_warehouse import OpsWarehouse
 from starloom.plans.order_warehouse import OrderWarehouse
 from starloom.plans.warehouse import open_warehouse
 from starloom.sources import contracts as feeds
-from starloom.sources.landing import explode_order_items, payload_rejects
+from starloom.sources.landing import explode_order_items, payload_rejects, unknown_members
 from starloom.sources.tables import mark_processed, purge_older_than
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,16 @@ def _as_recorded(w: OrderWarehouse) -> DataFrame:
     return lookup_as_of(orders, people, ["customer_bk"], "order_date").select("order_bk", "order_date", "customer_sk", "customer_segment_cd")
 
 
+def _as_merged(w: OrderWarehouse) -> DataFrame:
+    people = w["dim_customer"].select("customer_bk", "customer_sk", "customer_segment_cd", ORDER_HISTORY.eff, ORDER_HISTORY.exp)
+    orders = w["ods_orders"].select("order_bk", "order_date", "customer_bk")
+    return merge_as_of(orders, people, ["customer_bk"], "order_date").select("order_bk", "order_date", "customer_sk", "customer_segment_cd")
+
+
+def _sales_as_recorded(w: OrderWarehouse) -> DataFrame:
+    return M.sales_by_segment(w["ods_orders"], w["dim_customer"].filter("customer_sk > 0"), feeds.FIRST_LOAD, as_recorded=True)
+
+
 def _span(rows: DataFrame, day: str) -> tuple[str, str]:
     """First and last day that occur."""
     first, last = rows.agg(F.min(day), F.max(day)).first()
@@ -130,6 +141,8 @@ ORDER_QUERIES: dict[str, Query] = {
     "dim_related_party": _orders(lambda w: w["dim_party"]),
     "customer_change_classes": _orders(_change_classes),
     "order_customer_as_recorded": _orders(_as_recorded),
+    "order_customer_merged": _orders(_as_merged),
+    "mart_sales_as_recorded": _orders(_sales_as_recorded),
     "order_calendar_use": _calendar_use,
     "order_time_use": _time_use,
     "fact_transition": _orders(lambda w: w["fact_transition"], ("order_item_sk", "etl_batch_id", "month_sk")),
@@ -294,6 +307,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "ingest_rejects": RT.rejected_landing,
     "audit_log_rows": lambda spark, sf: RT.logged_gate(spark, sf, "audit"),
     "reject_log_rows": lambda spark, sf: RT.logged_gate(spark, sf, "rejects"),
+    "payload_unknown_members": lambda spark, sf: unknown_members(RT.extended_payloads(spark, sf)),
     "payload_rejects": lambda spark, sf: payload_rejects(RT.damaged_payloads(spark, sf)),
     "append_and_overwrite_partitions": RT.appended_partitions,
     "stream_pipeline_flow": lambda spark, sf: plain(RT.streamed_flow(spark, sf), _BDH, ("avg_flow_rate_bpd", "avg_line_pressure_psi")),

@@ -97,6 +97,28 @@ def payload_rejects(raw: DataFrame, payload: str = "raw_json_payload") -> DataFr
     return docs.filter(none).select(*[c for c in docs.columns if c not in ("doc", "_payload")], reason.alias("reason"), F.col("_payload").alias("raw_record"))
 
 
+#: Members of an order document and of its items that the warehouse reads.
+KNOWN_MEMBERS = {"order": ("id", "productOrderItem"), "item": ("id", "quantity", "state", "action", "productOffering", "product", "itemPrice")}
+
+
+def unknown_members(raw: DataFrame, payload: str = "raw_json_payload") -> DataFrame:
+    """What order documents hold beyond the declared schema: one row per member, with its value as JSON text.
+
+    ``level`` says whether the document or one of its items has it, ``position``
+    which item (-1 for the document). Documents are read as VARIANT, so nothing
+    has to be declared; one that is no JSON gives no row here (see
+    :func:`payload_rejects`).
+    """
+    tvf = raw.sparkSession.tvf
+    docs = raw.select("order_id", F.try_parse_json(payload).alias("doc")).filter("doc IS NOT NULL AND schema_of_variant(doc) LIKE 'OBJECT%'")
+    members = docs.lateralJoin(tvf.variant_explode(F.col("doc").outer())).select("order_id", F.lit("order").alias("level"), F.lit(-1).alias("position"), "key", "value")
+    items = docs.select("order_id", F.try_variant_get("doc", "$.productOrderItem", "variant").alias("list"))
+    items = items.lateralJoin(tvf.variant_explode(F.col("list").outer())).select("order_id", F.col("pos").alias("position"), F.col("value").alias("item"))
+    inner = items.lateralJoin(tvf.variant_explode(F.col("item").outer())).select("order_id", F.lit("item").alias("level"), "position", "key", "value")
+    known = F.when(F.col("level") == "order", F.col("key").isin(*KNOWN_MEMBERS["order"])).otherwise(F.col("key").isin(*KNOWN_MEMBERS["item"]))
+    return members.unionByName(inner).filter(~known).select("order_id", "level", "position", F.col("key").alias("member"), F.to_json("value").alias("value"))
+
+
 def explode_order_items(raw: DataFrame, payload: str = "raw_json_payload") -> DataFrame:
     """One row per item and price of the order document kept in the raw payload column.
 

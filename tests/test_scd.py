@@ -113,3 +113,24 @@ def test_point_in_time_refuses_clashing_names_and_keeps_missing_keys(spark):
         lookup_as_of(facts, dim, ["k"], "d", names)
     got = lookup_as_of(facts, dim, ["k"], "d", names, prefix="dim_").collect()
     assert sorted(str(r.dim_status) for r in got) == ["None", "None", "s"] and len(got) == 3
+
+
+def test_merged_lookup_equals_the_range_test_with_a_hot_key(spark):
+    """One key holds nearly all facts and is cut over partitions; others have gaps, late versions, or none."""
+    from starloom.operators.asof import merge_as_of
+
+    day = lambda n: dt.date(2026, 1, 1) + dt.timedelta(n)
+    versions = [("hot", f"v{i}", day(10 * i), day(10 * i + 9) if i < 20 else OPEN) for i in range(3, 21)]
+    versions += [("gap", "g1", day(5), day(9)), ("gap", "g2", day(20), OPEN), ("late", "l1", day(500), OPEN), ("one", "o", day(0), OPEN)]
+    dim = spark.createDataFrame(versions, "k string, name string, row_eff_dt date, row_exp_dt date")
+    rows = [("hot", dt.datetime(2026, 1, 1, 7) + dt.timedelta(i % 300), i) for i in range(3000)]
+    rows += [(k, dt.datetime(2026, 1, 1) + dt.timedelta(n), 10_000 + n) for k in ("gap", "late", "one", "none") for n in (0, 5, 9, 10, 19, 20, 40)]
+    rows += [(None, dt.datetime(2026, 1, 5), 1), ("one", None, 2), ("one", dt.datetime(2026, 1, 5), 3), ("one", dt.datetime(2026, 1, 5), 3)]
+    facts = spark.createDataFrame(rows, "k string, at timestamp_ntz, id int").repartition(7)
+    want = lookup_as_of(facts, dim, ["k"], "at", prefix="d_")
+    got = merge_as_of(facts, dim, ["k"], "at", prefix="d_")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        merge_as_of(facts.withColumn("name", F.lit(1)), dim, ["k"], "at")
+    assert merge_as_of(facts.limit(0), dim, ["k"], "at").count() == 0
+    assert merge_as_of(facts, dim.limit(0), ["k"], "at").filter("name IS NOT NULL").count() == 0

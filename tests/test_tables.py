@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.scd import merge_scd1, merge_scd2, scd2_apply
 from starloom.sources import tables as t
-from starloom.sources.landing import AUDIT_COLUMNS, explode_order_items, ingest_source, payload_rejects, landing_path, read_landing, with_audit
+from starloom.sources.landing import AUDIT_COLUMNS, explode_order_items, ingest_source, payload_rejects, landing_path, read_landing, unknown_members, with_audit
 from starloom.sources.schemas import FEEDS
 
 
@@ -156,3 +156,10 @@ def test_old_versions_go(spark, database):
     base = spark.catalog.getDatabase(database).locationUri.removeprefix("file:")
     import os
     assert sorted(os.listdir(f"{base}/v_versions")) == ["v3", "v4"] and spark.table(name).count() == 4
+
+
+def test_unknown_members_of_any_shape(spark):
+    rows = [("a", '{"id":"1","x":1.5,"y":[1,{"z":null}],"productOrderItem":[{"id":"1"},{"id":"2","w":{"a":"b"}},7]}'), ("b", '{"id":"2"}'), ("c", "not json"), ("d", None), ("e", "[1]"), ("f", "{}"),
+            ("g", '{"productOrderItem":{"id":"no list"},"é":"ü"}')]
+    got = {tuple(r) for r in unknown_members(spark.createDataFrame(rows, "order_id string, raw_json_payload string")).collect()}
+    assert got == {("a", "order", -1, "x", "1.5"), ("a", "order", -1, "y", '[1,{"z":null}]'), ("a", "item", 1, "w", '{"a":"b"}'), ("g", "order", -1, "é", '"ü"')}
