@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from starloom.llm.shared import ragged, raw, strings, words
 
-#: White space beyond 0x20 and 0x09-0x0D; a text that has any is encoded in one go.
+#: White space beyond 0x20 and 0x09-0x0D; a text that has any is encoded in one go, as is one that holds a special token's string.
 RARE_SPACE = "[\u0085   -     　\x1c-\x1f]"
+#: Bytes with which such characters begin in UTF-8, and the first one of special tokens; other texts need no closer look.
+_SUSPECT = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F, 0x3C, 0xC2, 0xE1, 0xE2, 0xE3])
 
 
 class Encoder:
@@ -27,7 +31,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings are ordinary text in a document
+        special = "|".join(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values())
+        self.whole = f"(?i){special}|{RARE_SPACE}" if special else RARE_SPACE
+        # a token that takes no white space along with it
+        apart = [(i, t.content) for i, t in self.model.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)]
+        self.gap_id, self.gap = apart[0] if apart else (None, None)
         self.spaces, self.end_id, self.room = spaces, end_id, room
         self._forget()
 
@@ -39,34 +47,20 @@ class Encoder:
     def _encode(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch(pieces, add_special_tokens=False)]
 
-    def _encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that can stand in one text, and how many each has; one call instead of many."""
-        gap = "" if self.spaces else " "
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) + len(gap)
-        found = self.model.encode_batch([gap.join(pieces[i: i + 256]) for i in range(0, len(pieces), 256)], add_special_tokens=False)
-        ids, owner = [], []
-        for i, one in enumerate(found):
-            own = lengths[i * 256: (i + 1) * 256]
-            first = np.fromiter((o[0] for o in one.offsets), np.int64, len(one))
-            owner.append(np.searchsorted(np.cumsum(own) - own, first, side="right") - 1 + i * 256)
-            ids.append(np.array(one.ids, np.int32))
-        return np.concatenate(ids), np.bincount(np.concatenate(owner), minlength=len(pieces))
-
     def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces not seen before, piece after piece, and how many each has."""
-        if not self.spaces:
-            return self._encode_joined(pieces)
-        alone = np.array([not p[0].isspace() or p[-1].isspace() for p in pieces], bool)
-        found = self._encode([p for p, a in zip(pieces, alone) if a])
-        sizes = np.zeros(len(pieces), np.int64)
-        sizes[alone] = [len(f) for f in found]
-        together = [p for p, a in zip(pieces, alone) if not a]
-        joined, own = self._encode_joined(together) if together else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-        sizes[~alone] = own
-        ids, at = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
-        ids[ragged(at[alone], sizes[alone])] = [i for f in found for i in f]
-        ids[ragged(at[~alone], own)] = joined
-        return ids, sizes
+        """Ids of pieces not seen before, piece after piece, and how many each has.
+
+        Many pieces go into one call, with a special token between them: the
+        model cuts a text there before anything else, and no piece holds one.
+        """
+        if self.gap is None:
+            found = self._encode(pieces)
+            return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
+        joined = [self.gap.join(pieces[i: i + 256]) + self.gap for i in range(0, len(pieces), 256)]
+        ids = np.concatenate([np.array(f, np.int32) for f in self._encode(joined)])
+        ends = np.flatnonzero(ids == self.gap_id)
+        sizes = np.diff(ends, prepend=-1) - 1
+        return ids[ids != self.gap_id], sizes
 
     def _known(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each distinct piece stand in ``flat``, and how many it has; new pieces are encoded first."""
@@ -111,10 +105,19 @@ class Encoder:
         counts = np.diff(np.searchsorted(at, offsets))
         return strings(np.append(at, len(data)).astype(np.int32), data), counts.astype(np.int64)
 
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts are encoded whole."""
+        offsets, data = raw(texts)
+        at = np.flatnonzero(_SUSPECT[np.frombuffer(data, np.uint8)])
+        odd = np.diff(np.searchsorted(at, offsets)) > 0
+        if odd.any():
+            odd[odd] = pc.match_substring_regex(texts.filter(pa.array(odd)), self.whole).to_numpy(zero_copy_only=False)
+        return odd
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order with each text's end id, and how many each text has."""
         texts = texts.cast(pa.string()).fill_null("")
-        odd = pc.match_substring_regex(texts, RARE_SPACE).to_numpy(zero_copy_only=False)
+        odd = self._odd(texts)
         pieces, counts = self._pieces(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
         coded = pieces.dictionary_encode()
         start, size = self._known(coded.dictionary)

@@ -7,13 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starloom.llm.bpe import encoder
-from starloom.llm.shared import column_of, doc_columns, mapped, ragged, shuffle_partitions, slices, words
+from starloom.llm.shared import BATCH_BYTES, doc_columns, mapped, ragged, shuffle_partitions, slices, words
 
 BUCKETS = 512  # hashed document vectors have this many entries
 DIMS, BITS = 4, 12  # and are projected to so many coordinates of so many bits
+SAMPLE = 100  # rows per partition from which the cuts of the curve are drawn
+_NO_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,11 +83,51 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def with_curve_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the Hilbert key of each text in ``curve_key``."""
+def curve_keys(texts: pa.Array, directions: np.ndarray) -> np.ndarray:
+    """Hilbert keys of texts."""
+    return hilbert_key(coordinates(texts, directions))
+
+
+def split_points(docs: DataFrame, parts: int, sample: int = SAMPLE) -> np.ndarray:
+    """Where the curve is cut into ``parts``: rows of ``curve_key, doc_id``, ascending.
+
+    About ``sample`` rows per part, drawn by a hash of their position, are
+    weighed by the length of their texts, so parts hold about equal bytes. They
+    decide the balance alone: every row is packed, wherever the cuts lie.
+    """
+    share = min(1.0, sample * parts / max(1, docs.count()))
+    drawn = docs.filter(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    directions = projection()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            size = pc.binary_length(batch.column("text")).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(curve_keys(batch.column("text"), directions)), size], names=["doc_id", "curve_key", "size"])
+
+    # bounded: twice the wanted rows at the very most, of three numbers each
+    rows = mapped(drawn, work, "doc_id long, curve_key long, size long").limit(2 * sample * parts + 100).collect()
+    rows = sorted((r.curve_key, _NO_ID if r.doc_id is None else r.doc_id, r.size + 100) for r in rows)
+    if not rows:
+        return np.zeros((0, 2), np.int64)
+    weight = np.cumsum([r[2] for r in rows])
+    at = np.searchsorted(weight, weight[-1] * np.arange(1, parts) / parts)
+    return np.array([rows[i][:2] for i in np.unique(at)], np.int64).reshape(-1, 2)
+
+
+def placed(docs: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """``docs`` with the Hilbert key of each text in ``curve_key`` and its part of the curve in ``part``."""
     directions = projection()
 
-    return docs.withColumn("curve_key", column_of(docs, lambda texts: hilbert_key(coordinates(texts, directions)), "long", text_col))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            key, own = curve_keys(batch.column("text"), directions), batch.column("doc_id").fill_null(_NO_ID).to_numpy()
+            low, high = (np.searchsorted(cuts[:, 0], key, side) for side in ("left", "right"))
+            # cuts of one key lie inside one long run of it: there the id decides
+            for i in np.flatnonzero(low < high):
+                low[i] += np.searchsorted(cuts[low[i]: high[i], 1], own[i], "left")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key), pa.array(low.astype(np.int32))], names=["doc_id", "text", "curve_key", "part"])
+
+    return mapped(docs, work, "doc_id long, text string, curve_key long, part int")
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -93,8 +137,9 @@ def pack(docs: DataFrame, tokenizer_file: str, spaces: bool = True, end_id: int
          text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Pack every document into sequences of ``length`` tokens, neighbours on the curve together.
 
-    Documents are range-sorted by their Hilbert key, then id, then text, and
-    each partition lays its ids end to end and cuts them every ``length``
+    Documents are range-sorted by their Hilbert key, then id, then text: the
+    curve is cut at points drawn from a sample of keys, each key is computed
+    once in the pass that shuffles, and each partition lays its ids end to end and cuts them every ``length``
     tokens. What is left at a partition's end is cut into powers of two, which
     need no padding. Equal keys are told apart by id, so a text held by a third
     of all rows spreads over partitions.
@@ -107,15 +152,15 @@ def pack(docs: DataFrame, tokenizer_file: str, spaces: bool = True, end_id: int
     if length & (length - 1):
         raise ValueError("length is a power of two")
     n = shuffle_partitions(docs.sparkSession)
-    keyed = with_curve_key(doc_columns(docs, text_col, id_col))
-    rows = keyed.repartitionByRange(n, "curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", "text")
+    own = doc_columns(docs, text_col, id_col)
+    rows = placed(own, split_points(own, n)).repartitionById(n, "part").drop("part").sortWithinPartitions("curve_key", "doc_id", "text")
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         code, base = encoder(tokenizer_file, spaces, end_id), TaskContext.get().partitionId() << 40
         at, open_pieces = 0, []  # tokens laid so far; pieces of the sequence not yet full
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", BATCH_BYTES):
             ids, sizes = code(batch.column("text"))
             pieces = open_pieces + cut(batch.column("doc_id").to_pylist(), ids, sizes, at, length)
             at += len(ids)
