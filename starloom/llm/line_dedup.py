@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.shared import shuffle_partitions, stage
 
-LINES, LONG_WORDS = 3, 50
+LINES = 3
 _NO_ID = -(1 << 63)
 
 
@@ -16,35 +16,23 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_id"), F.xxhash64(text, F.lit("row")).alias("_row"), text.alias("_text")]
 
 
-def line_windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lines: int = LINES, long_words: int = LONG_WORDS) -> DataFrame:
-    """A row per window: where it starts, how many lines it takes, and a 128-bit key of its lines.
+def line_windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lines: int = LINES) -> DataFrame:
+    """A row per window of ``lines`` consecutive lines: where it starts, and a 128-bit key of its lines.
 
-    A window is ``lines`` consecutive lines, or fewer where these already hold
-    more than ``long_words`` words (counted by spaces). Windows overlap: one
-    starts at every line from which enough lines follow.
+    Windows overlap: one starts at every line from which enough lines follow.
     """
-    split = docs.select(*_keyed(docs, text_col, id_col)).select("_id", "_row", F.split("_text", "\n", -1).alias("l"))
-    coded = split.select(
-        "_id", "_row", F.transform("l", lambda x: F.struct(
-            F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"),
-            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w"))).alias("l"), F.size("l").alias("n"))
+    split = docs.select(*_keyed(docs, text_col, id_col)).select("_id", "_row", F.split("_text", "\n", -1).alias("l")).filter(F.size("l") >= lines)
+    coded = split.select("_id", "_row", F.transform("l", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("l"))
 
     def window(i: Column) -> Column:
-        # an index past the end gives NULL: its words count as none, and the window falls away below
-        at = [F.get("l", i + j) for j in range(lines)]
-        words, take = F.lit(0), F.lit(lines)
-        for j in range(lines - 1, 0, -1):
-            words = sum((F.coalesce(at[k]["w"], F.lit(0)) for k in range(j)), F.lit(0))
-            take = F.when(words > long_words, F.lit(j)).otherwise(take)
-        # the hash skips NULLs, so a line that is not taken leaves no mark; the number taken does
-        parts = lambda side: [F.when(take > j, at[j][side]) for j in range(lines)]
-        return F.struct(i.alias("pos"), take.alias("take"), F.xxhash64(take, *parts("a")).alias("k1"), F.xxhash64(*parts("b"), take).alias("k2"))
+        part = lambda side: [F.get("l", i + j)[side] for j in range(lines)]
+        return F.struct(i.alias("pos"), F.xxhash64(*part("a")).alias("k1"), F.xxhash64(F.lit(lines), *part("b")).alias("k2"))
 
-    made = coded.select("_id", "_row", "n", F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), window)).alias("x"))
-    return made.filter(F.col("x.pos") + F.col("x.take") <= F.col("n")).select("_id", "_row", "x.pos", "x.take", "x.k1", "x.k2")
+    made = coded.select("_id", "_row", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - lines), window)).alias("x"))
+    return made.select("_id", "_row", "x.pos", "x.k1", "x.k2")
 
 
-def covered_lines(windows: DataFrame) -> DataFrame:
+def covered_lines(windows: DataFrame, lines: int = LINES) -> DataFrame:
     """Per text the positions covered by a window that occurred before: ``_id, _row, drop``.
 
     Windows are first counted per key and source (a source is a share of the
@@ -58,11 +46,11 @@ def covered_lines(windows: DataFrame) -> DataFrame:
     repeated = local.groupBy("k1", "k2").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1").select("k1", "k2", "first")
     answers = local.select("k1", "k2", "source").join(repeated, ["k1", "k2"])
     later = rows.join(answers, ["k1", "k2", "source"]).filter(place != F.col("first"))
-    spans = F.sequence(F.col("pos"), F.col("pos") + F.col("take") - 1)
+    spans = F.sequence(F.col("pos"), F.col("pos") + lines - 1)
     return later.groupBy("_id", "_row").agg(F.array_distinct(F.flatten(F.collect_list(spans))).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lines: int = LINES, long_words: int = LONG_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lines: int = LINES) -> DataFrame:
     """``docs`` with every later occurrence of a repeated window cut out of its text.
 
     Windows (see ``line_windows``) are compared over all texts. In the order of
@@ -74,10 +62,11 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     All rows and columns come back in the same order of columns, with ``text``
     replaced and ``_lines`` and ``_removed`` added (columns of these names are
     replaced). NULL text is no line and stays NULL; an empty text is one empty
-    line and stays. Texts too short for a window stay whole. Rows with equal id
-    and text count as one text; a missing id comes before all others.
+    line and stays. Texts of fewer lines than a window stay whole, however long
+    their lines. Rows with equal id and text are one text, which every such row
+    holds alike; a missing id comes before all others.
     """
-    found = covered_lines(stage(line_windows(docs, text_col, id_col, lines, long_words), "windows"))
+    found = covered_lines(stage(line_windows(docs, text_col, id_col, lines), "windows"), lines)
     kept = [c for c in docs.columns if c not in ("_lines", "_removed")]
     whole = docs.select(F.struct(*kept).alias("_doc"), *_keyed(docs, text_col, id_col)[:2])
     joined = whole.join(found, ["_id", "_row"], "left")

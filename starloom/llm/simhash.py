@@ -199,10 +199,3 @@ def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     by_source = local.select("fp", "source").join(answers, "fp")
     return prints.join(by_source, ["fp", "source"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each near group: that of its smallest id, once. Rows without an id stay."""
-    best = near_groups(docs, text_col, id_col, radius).filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    return named.join(best, id_col, "left_semi").dropDuplicates([id_col]).union(docs.filter(F.col(id_col).isNull()))
