@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.packing import word_hashes
-from starloom.llm.shared import doc_columns, fold, mapped, shuffle_partitions, slices, stage, words
-from starloom.llm.trie import Trie, value
+from starloom.llm.shared import doc_columns, drop_staged, fold, mapped, shuffle_partitions, slices, stage, words
+from starloom.llm.trie import Trie, quantise, value
 
 CHUNK = 1_000_000  # tokens of one chunk; a longer document is a chunk of its own
-CLASSES = 16  # successor classes by which a very frequent context is split
+CLASSES = 16  # a very frequent context is stored in so many parts, by classes of its successors
 DISCOUNT = 0.75  # taken from every bigram count
 CONTEXT_BITS = 44
 START, END, UNKNOWN = np.uint64(0x517A127F00000001), np.uint64(0x0E4D57A700000003), np.uint64(0x0BADC0DE00000005)
@@ -85,7 +85,7 @@ class Chunk:
         """Distinct neighbours of which the first is known, in the order of their shards; all unknown second words are one.
 
         Returns per pair its shard, context code and successor code, whether its
-        context is split, its training count here, and for every token the pair's number or -1.
+        context is stored in parts, its training count here, and for every token the pair's number or -1.
         """
         size = len(self.codes)
         known = count[self.before] > 0
@@ -94,10 +94,8 @@ class Chunk:
         u, w = distinct // size, distinct % size
         hot = count[u] > hot_from
         group = np.where(w == size - 1, 0, successor_class(self.codes[w]))
-        own = (self.codes[u] + np.where(hot, group + 1, 0).astype(np.uint64)) * _MIX
-        own ^= own >> np.uint64(32)
-        shard = ((own & np.uint64(0xFFFFF)) % np.uint64(shards)).astype(np.int64)
-        context, successor = own >> np.uint64(64 - CONTEXT_BITS), (self.codes[w] >> np.uint64(32)).astype(np.int64)
+        shard, context = address(self.codes[u], np.where(hot, group + 1, 0), shards)
+        successor = (self.codes[w] >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((successor, context, shard))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -112,6 +110,13 @@ def successor_class(codes: np.ndarray) -> np.ndarray:
     return ((codes * _MIX) >> np.uint64(60)).astype(np.int64) % CLASSES
 
 
+def address(codes: np.ndarray, part: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shard and context code of a word as context: as a whole (part 0), or of one of its parts."""
+    own = (codes + part.astype(np.uint64)) * _MIX
+    own ^= own >> np.uint64(32)
+    return ((own & np.uint64(0xFFFFF)) % np.uint64(shards)).astype(np.int64), own >> np.uint64(64 - CONTEXT_BITS)
+
+
 def _ask_words(chunks: DataFrame, shards: int) -> DataFrame:
     """Each chunk's vocabulary, cut into shards by code, with its training counts."""
 
@@ -138,8 +143,7 @@ def _count_words(table: pa.Table) -> pa.Table:
     counts = np.concatenate([np.frombuffer(b, "<u4") for b in table["counts"].to_pylist()])
     total = np.bincount(place, counts, len(every)).astype(np.int64)
     answers = np.split(total[place].astype("<u8"), np.cumsum([len(c) for c in codes])[:-1])
-    group = successor_class(every)
-    sums = np.concatenate([[(total > 0).sum(), total.sum(), (total == 1).sum(), (total == 2).sum()], np.bincount(group, total, CLASSES), np.bincount(group[total > 0], minlength=CLASSES)])
+    sums = np.array([(total > 0).sum(), total.sum(), (total == 1).sum(), (total == 2).sum()])
     rows = len(codes)
     return pa.table({
         "shard": pa.array([*table["shard"].to_pylist(), table["shard"][0].as_py()], pa.int32()), "chunk": pa.array([*table["chunk"].to_pylist(), None], pa.int64()),
@@ -169,31 +173,59 @@ def _ask_pairs(rows: DataFrame, model: dict, shards: int) -> DataFrame:
     return mapped(rows, work, "shard int, chunk long, contexts binary, runs binary, totals binary, successors binary, counts binary")
 
 
+ANSWERS = "shard int, chunk long, codes binary, backoffs binary, parts binary, kinds binary"
+
+
 def _answer_pairs(table: pa.Table) -> pa.Table:
-    """Of one shard: build the trie from all training counts, then look up every pair asked for."""
+    """Of one shard: build the trie from all training counts, then look up every pair asked for.
+
+    One more row has the parts of very frequent contexts that lie here, with the
+    number of distinct successors of each.
+    """
     read = lambda name, kind: [np.frombuffer(b, kind) for b in table[name].to_pylist()]
-    runs = np.concatenate(read("runs", "<u4"))
-    successors = read("successors", "<u4")
-    context = np.repeat(np.concatenate(read("contexts", "<u8")), runs).astype(np.int64)
-    total = np.repeat(np.concatenate(read("totals", "<u8")), runs).astype(np.int64)
-    successor, count = np.concatenate(successors).astype(np.int64), np.concatenate(read("counts", "<u4")).astype(np.int64)
-    order = np.lexsort((successor, context))
-    u, w = context[order], successor[order]
-    new = np.ones(len(u), bool)
-    new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
-    first = np.flatnonzero(new)
-    u, w, n, t = u[first], w[first], np.add.reduceat(count[order], first), total[order][first]
-    seen = n > 0
-    u, w, n, t = u[seen], w[seen], n[seen], t[seen]
-    distinct, place, types = np.unique(u, return_inverse=True, return_counts=True)
-    own = np.bincount(place, n, len(distinct))
-    whole = np.maximum(np.bincount(place, t, len(distinct)) / np.maximum(types, 1), own)  # of a split context: its count over all classes
-    trie = Trie(u, w, (n - DISCOUNT) / whole[place], DISCOUNT * types / whole, CONTEXT_BITS)
-    code, back = trie.query(context, successor)
-    cuts = np.cumsum([len(s) for s in successors])[:-1]
+    runs, successors = np.concatenate(read("runs", "<u4")).astype(np.int64), read("successors", "<u4")
+    contexts, run_of = np.unique(np.concatenate(read("contexts", "<u8")), return_inverse=True)
+    whole = np.zeros(len(contexts), np.int64)  # a context in parts: its count over all of them
+    whole[run_of] = np.concatenate(read("totals", "<u8"))
+    asked, count = np.concatenate(successors), np.concatenate(read("counts", "<u4")).astype(np.int64)
+    # every chunk's pairs are in order already, so a stable sort has only to merge them
+    key = (np.repeat(run_of, runs).astype(np.uint64) << np.uint64(32)) | asked
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, n = key[first], np.add.reduceat(count[order], first)
+    key, n = key[n > 0], n[n > 0]
+    rank = (key >> np.uint64(32)).astype(np.int64)
+    kinds, own = np.bincount(rank, minlength=len(contexts)), np.bincount(rank, n, len(contexts))
+    parted = whole > 0
+    whole = np.where(parted, whole, own)
+    seen = kinds > 0
+    trie = Trie(contexts[seen].astype(np.int64), kinds[seen], key.astype(np.uint32), (n - DISCOUNT) / whole[rank], back_off(kinds[seen], whole[seen]), CONTEXT_BITS)
+    code, back = trie.query(contexts[run_of].astype(np.int64), runs, asked)
+    cuts = np.cumsum([len(x) for x in successors])[:-1]
+    shard, none = table["shard"].to_pylist(), [None] * table.num_rows
     return pa.table({
-        "shard": table["shard"], "chunk": table["chunk"], "codes": pa.array([c.tobytes() for c in np.split(code, cuts)], pa.binary()),
-        "backoffs": pa.array([b.tobytes() for b in np.split(back, cuts)], pa.binary())})
+        "shard": pa.array([*shard, shard[0]], pa.int32()), "chunk": pa.array([*table["chunk"].to_pylist(), None], pa.int64()),
+        "codes": pa.array([*(c.tobytes() for c in np.split(code, cuts)), None], pa.binary()), "backoffs": pa.array([*(b.tobytes() for b in np.split(back, cuts)), None], pa.binary()),
+        "parts": pa.array([*none, contexts[parted].astype("<u8").tobytes()], pa.binary()), "kinds": pa.array([*none, kinds[parted].astype("<u8").tobytes()], pa.binary())})
+
+
+def back_off(kinds: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """What a context leaves to the single words: a discount for each distinct successor."""
+    return DISCOUNT * kinds / count
+
+
+def _parted(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Successor kinds of all parts of very frequent contexts, by shard and context code.
+
+    There are fewer such contexts than twice the shards, as each has more than
+    that share of all tokens, and ``CLASSES`` parts of each.
+    """
+    rows = answers.filter("chunk IS NULL AND octet_length(parts) > 0").select("shard", "parts", "kinds").collect()
+    at = np.concatenate([np.zeros(0, np.uint64), *((np.uint64(r["shard"]) << np.uint64(CONTEXT_BITS)) | np.frombuffer(r["parts"], "<u8") for r in rows)])
+    kinds = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["kinds"], "<u8") for r in rows)]).astype(np.int64)
+    order = np.argsort(at)
+    return at[order], kinds[order]
 
 
 def _counts(row: dict, model: dict) -> np.ndarray:
@@ -215,13 +247,20 @@ def _score_chunk(row: dict, model: dict, shards: int) -> pa.RecordBatch:
     code = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(a["codes"], np.uint8) for a in answers)])
     back = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(a["backoffs"], np.uint8) for a in answers)])
     asked = which >= 0  # all but the words after an unknown one
-    hot = (count[c.before] > model["hot_from"])[asked]
-    group = np.where(own > 0, successor_class(c.codes[c.tokens]), 0)[asked]
-    share = np.where(hot, np.maximum(model["class_mass"][group], 1e-12), 1.0)
-    left = value(back[which[asked]])
-    # a class that never followed a split context: its mass is one discounted count
-    left = np.where(left > 0, left, DISCOUNT / count[c.before][asked])
-    chance[asked] = value(code[which[asked]]) + left * single[asked] / share
+    left = np.append(value(back), 0.0)[which]
+    hot = np.flatnonzero(count > model["hot_from"])
+    if len(hot):
+        # a context in parts leaves what all its parts leave, by the formula of every other context
+        shard, context = address(np.repeat(c.codes[hot], CLASSES), np.tile(np.arange(1, CLASSES + 1), len(hot)), shards)
+        key = (shard.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | context
+        at, kinds = model["parted"]
+        place = np.minimum(np.searchsorted(at, key), max(0, len(at) - 1))
+        of = np.zeros(len(count))
+        if len(at):
+            of[hot] = value(quantise(back_off(np.where(at[place] == key, kinds[place], 0).reshape(-1, CLASSES).sum(1), count[hot])))
+        parted = (count > model["hot_from"])[c.before]
+        left[parted] = of[c.before][parted]
+    chance[asked] = value(code[which[asked]]) + left[asked] * single[asked]
     score = np.log10(np.maximum(chance, 1e-300))
     texts = len(c.lengths)
     add = lambda x: np.bincount(c.row, x, texts)
@@ -248,8 +287,10 @@ def score_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     for their words' counts, and then the shards of the bigrams for their
     pairs: a pair travels once per chunk, with its training count, which serves
     both to build the shard's trie and to be looked up in it. A context with
-    more than its share of all tokens is split by classes of its successors, so
-    no shard grows with one word.
+    more than its share of all tokens (``hot_from``) is stored in parts by
+    classes of its successors, so no shard grows with one word; it backs off by
+    the same formula as all others, from the sum over its parts, so that no
+    score depends on the number of shards.
 
     NULL text counts as empty and scores its end alone. A missing id counts as
     an empty text when parts are dealt. Repeated rows all count and each get a
@@ -265,34 +306,31 @@ def score_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     try:
         counted = stage(_ask_words(chunks, shards).groupBy("shard").applyInArrow(_count_words, "shard int, chunk long, answer binary, sums array<long>"), "words")
         sums = counted.filter("sums IS NOT NULL").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
-        got = {r[0]: int(r[1]) for r in sums.collect()}  # 36 numbers
+        got = {r[0]: int(r[1]) for r in sums.collect()}  # four numbers
         texts = rows.agg(F.sum(F.col("train").cast("long"))).first()[0] or 0
-        model = _model([got.get(i, 0) for i in range(4 + 2 * CLASSES)], texts, hot_from or max(1000.0, got.get(1, 0) / (2 * shards)))
+        model = _model([got.get(i, 0) for i in range(4)], texts, hot_from or got.get(1, 0) / (2 * shards))
         by_chunk = counted.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "answer")).alias("words"))
         known = chunks.join(by_chunk, "chunk", "left")
-        answers = _ask_pairs(known, model, shards).groupBy("shard").applyInArrow(_answer_pairs, "shard int, chunk long, codes binary, backoffs binary")
-        paired = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes", "backoffs")).alias("pairs"))
+        answers = stage(_ask_pairs(known, model, shards).groupBy("shard").applyInArrow(_answer_pairs, ANSWERS), "answers")
+        model["parted"] = _parted(answers)
+        paired = answers.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes", "backoffs")).alias("pairs"))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
                     yield _score_chunk(batch.slice(i, 1).to_pylist()[0], model, shards)
 
-        return stage(mapped(known.join(paired, "chunk", "left"), work, SCORE), "scores")
+        scores = stage(mapped(known.join(paired, "chunk", "left"), work, SCORE), "scores")
+        drop_staged(counted, answers)
+        return scores
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _model(sums: list[int], texts: int, hot_from: float) -> dict:
-    """Totals over the vocabulary with the end in it, and what each class of successors holds."""
-    kinds, tokens, once, twice = sums[:4]
-    count, types = np.array(sums[4: 4 + CLASSES], float), np.array(sums[4 + CLASSES:], float)
+    """Totals over the vocabulary with the end in it."""
+    kinds, tokens, once, twice = sums
     if texts:
-        own = int(successor_class(np.array([END], np.uint64))[0])
         kinds, tokens, once, twice = kinds + 1, tokens + texts, once + (texts == 1), twice + (texts == 2)
-        count[own] += texts
-        types[own] += 1
     discount = once / (once + 2 * twice) if once and twice else 0.5
-    mass = (count - discount * types) / max(tokens, 1)
-    mass[0] += discount * kinds / max(tokens, 1)  # unknown words belong to the first class
-    return {"kinds": kinds, "tokens": tokens, "texts": texts, "discount": discount, "class_mass": mass, "hot_from": hot_from}
+    return {"kinds": kinds, "tokens": tokens, "texts": texts, "discount": discount, "hot_from": hot_from}

@@ -8,7 +8,8 @@ import numpy as np
 
 STEPS = 28  # codes per power of ten; code 0 means absent, 1 is probability one
 _POP = np.array([bin(b).count("1") for b in range(256)], np.int64)
-#: Place of the k-th zero bit of a byte, bits counted from the low end.
+#: Place of the k-th set bit, and of the k-th zero bit, of a byte, bits counted from the low end.
+_ONE = np.array([([i for i in range(8) if b >> i & 1] + [8] * 8)[:8] for b in range(256)], np.int64)
 _ZERO = np.array([([i for i in range(8) if not b >> i & 1] + [8] * 8)[:8] for b in range(256)], np.int64)
 
 
@@ -81,37 +82,40 @@ class Level:
         return found
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        """Elements by place; a binary search of the zeros finds their high bits."""
-        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), int(self.zeros[-1]) - 1, np.int64)
-        while (lo < hi).any():
-            mid = (lo + hi + 1) // 2
-            under = self.before(mid) <= i
-            lo, hi = np.where(under, mid, lo), np.where(under, hi, mid - 1)
-        return (lo << self.bits) + self.low[i].astype(np.int64)
+        """Elements by place: the place of one bit in the bitmap, less the ones before it, is the element's high bits."""
+        ones = np.arange(1, len(self.zeros) + 1) * 64 - self.zeros
+        word = np.searchsorted(ones, i, side="right")
+        rest = i - np.where(word > 0, ones[np.maximum(word - 1, 0)], 0)
+        place, byte = word * 64, word * 8
+        for _ in range(8):
+            own = _POP[self.bitmap[byte]]
+            on = rest >= own
+            rest, byte, place = np.where(on, rest - own, rest), byte + on, place + 8 * on
+            byte = np.minimum(byte, len(self.bitmap) - 1)
+        place += _ONE[self.bitmap[byte], np.minimum(rest, 7)]
+        return ((place - i) << self.bits) + self.low[i].astype(np.int64)
 
 
 class Trie:
     """Contexts, pointers to their successors, successors relative to their context, and codes.
 
-    A successor is stored as ``rank of its context * 2**32 + its code``, which
-    makes all successors one monotone sequence; a query looks its context up,
-    and then the successor under that context's rank.
+    Contexts and pointers are monotone sequences. A query finds its context,
+    reads from two neighbouring pointers where the successors of this context
+    begin and end, and searches between them.
     """
 
-    def __init__(self, context: np.ndarray, successor: np.ndarray, probability: np.ndarray, backoff: np.ndarray, context_bits: int):
-        """Rows sorted by (context, successor); ``backoff`` has one entry per distinct context."""
-        distinct, first = np.unique(context, return_index=True)
-        rank = np.repeat(np.arange(len(distinct)), np.diff(np.append(first, len(context))))
-        self.contexts = Level(distinct, 1 << context_bits)
-        self.pointers = Level(np.append(first, len(context)), len(context) + 1)
-        self.successors = Level((rank.astype(np.uint64) << np.uint64(32)) + successor.astype(np.uint64), max(1, len(distinct)) << 32)
+    def __init__(self, contexts: np.ndarray, kinds: np.ndarray, successors: np.ndarray, probability: np.ndarray, backoff: np.ndarray, context_bits: int):
+        """Ascending contexts with their number of successors and back-off; successors and probabilities, context after context, ascending in each."""
+        self.contexts = Level(contexts, 1 << context_bits)
+        self.pointers = Level(np.concatenate([[0], np.cumsum(kinds)]), len(successors) + 1)
+        self.successors = successors.astype(np.uint32)
         self.codes, self.backoffs = quantise(probability), quantise(backoff)
         self._map()
 
     def _map(self) -> None:
         """Move all levels into one file and read them through the page cache; the file has no name and goes with the task."""
-        owners = [(level, name) for level in (self.contexts, self.pointers, self.successors) for name in ("low", "bitmap", "zeros")]
-        owners += [(self, "codes"), (self, "backoffs")]
+        owners = [(level, name) for level in (self.contexts, self.pointers) for name in ("low", "bitmap", "zeros")]
+        owners += [(self, "successors"), (self, "codes"), (self, "backoffs")]
         with tempfile.TemporaryFile() as f:
             at = []
             for owner, name in owners:
@@ -124,15 +128,29 @@ class Trie:
                 if shape[0]:
                     setattr(owner, name, np.memmap(f, kind, "r", offset, shape))
 
-    def query(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the pairs' probabilities and of their contexts' back-off; 0 where absent."""
-        code, back = np.zeros(len(context), np.uint8), np.zeros(len(context), np.uint8)
-        if not self.contexts.n:
-            return code, back
-        rank = self.contexts.find(context)
-        known = np.flatnonzero(rank >= 0)
-        back[known] = self.backoffs[rank[known]]
-        place = self.successors.find((rank[known].astype(np.uint64) << np.uint64(32)) + successor[known].astype(np.uint64))
-        hit = place >= 0
-        code[known[hit]] = self.codes[place[hit]]
-        return code, back
+    def query(self, contexts: np.ndarray, number: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of pairs' probabilities and of their contexts' back-off; 0 where absent.
+
+        ``number`` says how many of the successors belong to each context.
+        """
+        first, last, back = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.uint8)
+        distinct, place = np.unique(contexts, return_inverse=True)
+        if self.contexts.n and len(distinct):
+            rank = self.contexts.find(distinct)
+            on = rank >= 0
+            begin, end, own = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64), np.zeros(len(rank), np.uint8)
+            begin[on], end[on], own[on] = self.pointers.get(rank[on]), self.pointers.get(rank[on] + 1), self.backoffs[rank[on]]
+            first, last, back = begin[place], end[place], own[place]
+        code = np.zeros(len(successors), np.uint8)
+        low, stop = np.repeat(first, number), np.repeat(last, number)
+        high, open_ = stop.copy(), np.flatnonzero(low < stop)
+        while len(open_):
+            a, b = low[open_], high[open_]
+            mid = (a + b) >> 1
+            less = self.successors[mid] < successors[open_]
+            low[open_], high[open_] = np.where(less, mid + 1, a), np.where(less, b, mid)
+            open_ = open_[low[open_] < high[open_]]
+        inside = np.flatnonzero(low < stop)
+        hit = inside[self.successors[low[inside]] == successors[inside]]
+        code[hit] = self.codes[low[hit]]
+        return code, np.repeat(back, number)
