@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from starloom.llm.shared import mapped, slices
 
 MARKS, WORDS, WIDTH, HIDDEN, PLAIN = 1024, 1024, 12, 20, 10
 TRAIN_PAGES, EPOCHS, RATE = 2400, 8, 0.01
+ROOM = 65_536  # steps times pages that one run of the network holds
 
 Weights = dict[str, np.ndarray]
 
@@ -34,23 +37,85 @@ class Buckets(dict):
         return found
 
 
-def describe(page: list[Block], bucket: Buckets) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Per block the buckets of its tag path, those of its distinct words, and plain numbers."""
-    paths, bags, plain = [], [], np.zeros((len(page), PLAIN))
-    known: dict[tuple, np.ndarray] = {}
-    for i, b in enumerate(page):
-        if b.path not in known:
-            own = [*b.path, *(f"^{m}" for m in b.path[-3:])]
-            known[b.path] = np.array([_hash(m, MARKS) for m in own] or [0], np.int64)
-        paths.append(known[b.path])
+@dataclass
+class Paths:
+    """Tag paths of one or more pages as trees: every element's marks are held once, whatever lies below it."""
+
+    parent: np.ndarray  # of each element; a page's first one is its own
+    depth: np.ndarray
+    marks: np.ndarray  # buckets, element after element
+    owner: np.ndarray  # element of each mark
+    element: np.ndarray  # of each block
+    tail: np.ndarray  # buckets of the last marks of each block's path, block after block
+    block: np.ndarray  # block of each of those
+
+    @staticmethod
+    def joined(pages: list[Paths]) -> Paths:
+        elements, blocks_ = np.cumsum([0, *(len(p.parent) for p in pages)]), np.cumsum([0, *(len(p.element) for p in pages)])
+        put = lambda name, by=None: np.concatenate([getattr(p, name) + (by[i] if by is not None else 0) for i, p in enumerate(pages)])
+        return Paths(put("parent", elements), put("depth"), put("marks"), put("owner", elements), put("element", elements), put("tail"), put("block", blocks_))
+
+    def levels(self) -> list[np.ndarray]:
+        """Elements below the page, by depth."""
+        order = np.argsort(self.depth, kind="stable")
+        cuts = np.searchsorted(self.depth[order], np.arange(1, int(self.depth.max(initial=0)) + 2))
+        return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def number(self) -> np.ndarray:
+        """Marks that are pooled for each block."""
+        total = np.bincount(self.owner, minlength=len(self.parent))
+        for own in self.levels():
+            total[own] += total[self.parent[own]]
+        return total[self.element] + np.bincount(self.block, minlength=len(self.element))
+
+    def means(self, table: np.ndarray) -> np.ndarray:
+        """Mean vector of the marks of each block's path and of its last marks: sums go down the trees level by level."""
+        total = np.zeros((len(self.parent), table.shape[1]), table.dtype)
+        np.add.at(total, self.owner, table[self.marks])
+        for own in self.levels():
+            total[own] += total[self.parent[own]]
+        out = total[self.element]
+        np.add.at(out, self.block, table[self.tail])
+        return out / self.number()[:, None].astype(table.dtype)
+
+    def gradient(self, table: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """Gradient of ``means`` with respect to the table: sums go up the trees."""
+        out, each = np.zeros_like(table), d / self.number()[:, None]
+        up = np.zeros((len(self.parent), table.shape[1]))
+        np.add.at(up, self.element, each)
+        for own in reversed(self.levels()):
+            np.add.at(up, self.parent[own], up[own])
+        np.add.at(out, self.marks, up[self.owner])
+        np.add.at(out, self.tail, each[self.block])
+        return out
+
+
+def describe(found: list[Block], bucket: Buckets) -> tuple[Paths, list[np.ndarray], np.ndarray]:
+    """The blocks' tag paths, and per block the buckets of its distinct words and plain numbers."""
+    page, bags, plain = found[0].page, [], np.zeros((len(found), PLAIN))
+    hashed: dict[str, int] = {}
+
+    def coded(mark: str) -> int:
+        if mark not in hashed:
+            hashed[mark] = _hash(mark, MARKS)
+        return hashed[mark]
+
+    # a block outside every element has one mark of its own
+    tails = [[coded(f"^{m}") for m in b.last_marks(3)] or [0] for b in found]
+    number = np.array([len(m) for m in page.marks])
+    paths = Paths(
+        np.array(page.parent, np.int64), np.array(page.depth, np.int64), np.array([coded(m) for marks in page.marks for m in marks], np.int64),
+        np.repeat(np.arange(len(number)), number), np.array([b.element for b in found], np.int64), np.array([m for t in tails for m in t], np.int64),
+        np.repeat(np.arange(len(tails)), [len(t) for t in tails]))
+    for i, b in enumerate(found):
         word, data = b.text.lower().split(), b.text.encode()
         bags.append(np.array([bucket[w] for w in set(word)], np.int64))
         n, size = len(b.text), len(data)
-        tags = [m for m in b.path if m[0] != "."]
+        tag = page.marks[b.element][0] if b.element else ""
         share = [1 - len(data.translate(None, kind)) / size for kind in (b".,;:!?", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")]
         plain[i] = (
-            np.log1p(n) / 5, np.log1p(len(word)) / 4, min(1, b.linked / n), share[0] * 10, share[1], share[2], i / len(page), len(tags) / 10,
-            float(bool(tags) and tags[-1][0] == "h" and tags[-1][1:].isdigit()), b.text[-1] in ".!?")
+            np.log1p(n) / 5, np.log1p(len(word)) / 4, min(1, b.linked / n), share[0] * 10, share[1], share[2], i / len(found), page.depth[b.element] / 10,
+            float(tag[:1] == "h" and tag[1:].isdigit()), b.text[-1] in ".!?")
     return paths, bags, plain
 
 
@@ -113,7 +178,7 @@ def _back(x: np.ndarray, live: np.ndarray, w: Weights, side: str, keep: list, d_
 
 def _inputs(pages: list[tuple], w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.array([len(p[2]) for p in pages])
-    flat = np.concatenate([_mean(w["marks"], [m for p in pages for m in p[0]]), _mean(w["words"], [b for p in pages for b in p[1]]), np.concatenate([p[2] for p in pages])], 1)
+    flat = np.concatenate([Paths.joined([p[0] for p in pages]).means(w["marks"]), _mean(w["words"], [b for p in pages for b in p[1]]), np.concatenate([p[2] for p in pages])], 1)
     page = np.repeat(np.arange(len(pages)), lengths)
     step = np.arange(len(page)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     x = np.zeros((lengths.max(), len(pages), flat.shape[1]))
@@ -128,8 +193,9 @@ def predict(pages: list[tuple], w: Weights) -> np.ndarray:
     return _sigmoid(h[step, page] @ w["out"] + w["bias"])
 
 
+@lru_cache(maxsize=4)
 def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = 1) -> Weights:
-    """Fit the network to made-up pages; their number is a parameter, and no table's size changes it."""
+    """Fit the network to made-up pages; their number is a parameter, and no table's size changes it. A process trains once."""
     maker, samples, bucket = Maker(seed), [], Buckets()
     for _ in range(pages):
         html, text = maker.page()
@@ -157,9 +223,10 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = 1) -> Weig
             dh[step, page] = np.outer(e, w["out"])
             dx = _back(x, live, w, "f", kept["f"], dh[:, :, :HIDDEN], grad) + _back(x, live, w, "b", kept["b"], dh[:, :, HIDDEN:], grad)
             flat = dx[step, page]
-            for key, at, sets in (("marks", 0, [s for p in part for s in p[0]]), ("words", WIDTH, [s for p in part for s in p[1]])):
-                size = np.array([len(s) for s in sets])
-                np.add.at(grad[key], np.concatenate(sets), np.repeat(flat[:, at: at + WIDTH] / size[:, None], size, axis=0))
+            grad["marks"] = Paths.joined([p[0] for p in part]).gradient(w["marks"], flat[:, :WIDTH])
+            sets = [s for p in part for s in p[1]]
+            size = np.array([len(s) for s in sets])
+            np.add.at(grad["words"], np.concatenate(sets), np.repeat(flat[:, WIDTH: 2 * WIDTH] / size[:, None], size, axis=0))
             norm = np.sqrt(sum((g * g).sum() for g in grad.values()))
             step_no += 1
             for key, g in grad.items():
@@ -175,8 +242,11 @@ def extract(pages: list[str], w: Weights, bucket: Buckets, together: int = 64) -
     found = [blocks(p) for p in pages]
     out = [""] * len(pages)
     order = sorted((i for i, f in enumerate(found) if f), key=lambda i: len(found[i]))
-    for at in range(0, len(order), together):
-        part = order[at: at + together]
+    while order:
+        # pages of one run are as long as its longest; a page of very many blocks runs alone
+        size = len(found[order[0]])
+        upto = next((k for k, i in enumerate(order[1:together], 1) if len(found[i]) * (k + 1) > max(ROOM, size)), min(together, len(order)))
+        part, order = order[:upto], order[upto:]
         chance, k = predict([describe(found[i], bucket) for i in part], w), 0
         for i in part:
             out[i] = "\n".join(b.text for b, p in zip(found[i], chance[k: k + len(found[i])]) if p >= 0.5)
@@ -191,7 +261,9 @@ def main_text(pages: DataFrame, weights: Weights | None = None, html_col: str =
     decoded and white space turned into single spaces; scripts, styles and the
     head hold none. NULL html counts as empty and gives an empty text, as does a
     page without main blocks. Rows are independent: repeated pages and missing
-    ids each get their row. Other columns are ignored.
+    ids each get their row. Other columns are ignored. Time and memory grow with
+    the length of a page, however deep its elements are nested; a long page runs
+    through the network alone.
     """
     w = {k: a.astype(np.float32) for k, a in (weights or train()).items()}
     model = pages.sparkSession.sparkContext.broadcast(w)

@@ -22,22 +22,85 @@ NO_DRAWING = frozenset(
     "strong strike sub sup table tt u ul var article aside main section header footer nav form".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<skip>" + HIDDEN + r")\b[^>]*(?<!/)>.*?(?:</(?P=skip)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)>", re.S | re.I)
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+)>", re.S | re.I)
 _MARK = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Page:
+    """The elements that hold text, each with its parent, and the blocks in order.
+
+    Element 0 is the page itself. An element's marks are its tag and the words
+    of its class, id and role.
+    """
+
+    def __init__(self) -> None:
+        self.parent, self.marks, self.depth = [0], [()], [0]
+        self.blocks: list[Block] = []
+
+    def add(self, parent: int, marks: tuple[str, ...]) -> int:
+        self.parent.append(parent)
+        self.marks.append(marks)
+        self.depth.append(self.depth[parent] + 1)
+        return len(self.parent) - 1
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # tags from the root down, each followed by the words of its class, id and role
+    page: Page
+    element: int  # the innermost element around it
     linked: int  # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Marks of all elements around the block, from the root down."""
+        own, at = [], self.element
+        while at:
+            own.append(self.page.marks[at])
+            at = self.page.parent[at]
+        return tuple(m for marks in reversed(own) for m in marks)
+
+    def last_marks(self, number: int) -> list[str]:
+        """The end of ``path``, without walking further up than it takes."""
+        own, at = [], self.element
+        while at and len(own) < number:
+            own = [*self.page.marks[at], *own]
+            at = self.page.parent[at]
+        return own[-number:]
+
+
+class _Open:
+    """Open elements, outermost first, with the places of each name: every question costs the same at any depth."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.elements: list[int] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, element: int) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.elements.append(element)
+
+    def pop(self) -> str:
+        name = self.names.pop()
+        self.elements.pop()
+        self.places[name].pop()
+        return name
+
+    def last(self, name: str) -> int:
+        """Place of the innermost open element of this name, -1 if there is none."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def element(self) -> int:
+        return self.elements[-1] if self.elements else 0
+
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks in order. Tags that are missing or doubled end where browsers end them, or never."""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    page, stack = Page(), _Open()
     parts: list[tuple[str, bool]] = []
     links = 0
     veil = -1  # place in the stack of the outermost element without text
@@ -47,33 +110,32 @@ def blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                marks = tuple(m for _, own in stack for m in own)
-                out.append(Block(text, marks, sum(len(p.strip()) for p, a in parts if a)))
+                page.blocks.append(Block(text, page, stack.element(), sum(len(p.strip()) for p, a in parts if a)))
             parts = []
 
     def close(name: str) -> None:
         nonlocal links, veil
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                links -= sum(n == "a" for n, _ in stack[i:])
-                del stack[i:]
-                if veil >= i:
-                    veil = -1
-                return
+        at = stack.last(name)
+        if at < 0:
+            return
+        while len(stack.names) > at:
+            links -= stack.pop() == "a"
+        if veil >= at:
+            veil = -1
 
     def say(text: str) -> None:
-        if veil >= 0 and stack[-1][0] == "head" and veil == len(stack) - 1 and text.strip():
+        if veil >= 0 and stack.names[-1] == "head" and veil == len(stack.names) - 1 and text.strip():
             close("head")
         if veil < 0:
             parts.append((unescape(text), links > 0))
 
     def lift(name: str) -> bool:
         """Whether a start tag counts as part of what is hidden; one that cannot stand there ends it."""
-        kind = stack[veil][0]
+        kind = stack.names[veil]
         if kind == "head":
-            if name == "body" or stack[-1][0] == "head" and name not in IN_HEAD:
+            if name == "body" or stack.names[-1] == "head" and name not in IN_HEAD:
                 close("head")
-        elif kind == "svg" and name in NO_DRAWING and not any(n in ("foreignobject", "desc", "title") for n, _ in stack[veil:]):
+        elif kind == "svg" and name in NO_DRAWING and all(stack.last(n) < veil for n in ("foreignobject", "desc", "title")):
             close("svg")
         return veil >= 0
 
@@ -86,18 +148,18 @@ def blocks(html: str) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
+        if veil >= 0 and m["end"] and stack.names[veil] == "head" and name in ("body", "html"):
+            close("head")
         if veil >= 0:
             if m["end"]:
-                if stack[veil][0] == "head" and name in ("body", "html"):
-                    close("head")
-                if name in BLOCK and not any(n == name for n, _ in stack[veil:]) and any(n == name for n, _ in stack):
+                if name in BLOCK and 0 <= stack.last(name) < veil:
                     flush()
-                if stack[veil][0] != "head" or any(n == name for n, _ in stack[veil:]):
+                if stack.names[veil] != "head" or stack.last(name) >= veil:
                     close(name)
                 continue
             if lift(name):
-                if name not in VOID and not m["attr"].rstrip().endswith("/") and (stack[-1][0] == "head" or stack[veil][0] != "head"):
-                    stack.append((name, ()))
+                if name not in VOID and not m["attr"].rstrip().endswith("/") and (stack.names[-1] == "head" or stack.names[veil] != "head"):
+                    stack.push(name, stack.element())
                     links += name == "a"
                 continue
         if name == "br":
@@ -107,26 +169,24 @@ def blocks(html: str) -> list[Block]:
                 flush()
             close(name)
         elif name in VEILED and not m["attr"].rstrip().endswith("/"):
-            veil = len(stack)
-            stack.append((name, ()))
+            veil = len(stack.names)
+            stack.push(name, stack.element())
         else:
             if name in BLOCK:
                 flush()
-                tags = [n for n, _ in stack]
-                if "p" in tags:
-                    close("p")
-                if name in ("li", "td", "th", "tr", "dt", "dd", "option") and name in tags:
+                close("p")
+                own = stack.last(name)
+                if own >= 0 and name in ("li", "td", "th", "tr", "dt", "dd", "option"):
                     inner = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}.get(name, ("table",))
-                    last = max(i for i, n in enumerate(tags) if n == name)
-                    if not any(n in inner for n in tags[last + 1:]):
+                    if all(stack.last(n) < own for n in inner):
                         close(name)
             if name not in VOID and not m["attr"].rstrip().endswith("/"):
                 marks = [name]
                 for found in _MARK.findall(m["attr"]):
                     marks += ["." + w.lower() for w in _WORD.findall("".join(found))]
-                stack.append((name, tuple(marks)))
+                stack.push(name, page.add(stack.element(), tuple(marks)))
                 links += name == "a"
     if at < len(html):
         say(html[at:])
     flush()
-    return out
+    return page.blocks
