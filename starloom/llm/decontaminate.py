@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.shared import WORD_TABLE, column_of, doc_columns, mapped, slices, words
+from starloom.llm.shared import WORD_TABLE, column_of, doc_columns, drop_staged, mapped, slices, stage, words
 
 WINDOW = 10
 BLOCK_ROWS = 400_000  # windows searched for at once: about 40 MB of tables in a task
@@ -128,16 +128,16 @@ def item_windows(benchmark: DataFrame, text_col: str, item_col: str, window: int
     return mapped(rows, cut, "window string, item string").distinct()
 
 
-def _blocks(spark, benchmark: DataFrame, text_col: str, item_col: str, window: int) -> list:
-    """The windows as broadcasts of at most ``BLOCK_ROWS`` rows or so each, however many there are."""
-    rows = item_windows(benchmark, text_col, item_col, window)
-    total = rows.count()
-    n = max(1, -(-total // BLOCK_ROWS))
-    out = []
-    for k in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("window", "item"), F.lit(n)) == k)
-        out.append(spark.sparkContext.broadcast([tuple(r) for r in part.collect()]))
-    return out
+def _blocks(benchmark: DataFrame, text_col: str, item_col: str, window: int) -> tuple[DataFrame, int]:
+    """The windows, written once, and the number of blocks of ``BLOCK_ROWS`` rows or so that they make."""
+    rows = stage(item_windows(benchmark, text_col, item_col, window), "benchmark")
+    return rows, max(1, -(-rows.count() // BLOCK_ROWS))
+
+
+def _block(rows: DataFrame, k: int, n: int) -> list[tuple[str, str]]:
+    """One block: all items of a window lie in one. It is the most that the driver and a worker hold at once."""
+    part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
+    return [tuple(r) for r in part.collect()]
 
 
 def _tables(rows: list[tuple[str, str]]) -> tuple[pa.Array, list[Patterns]]:
@@ -163,7 +163,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     Words are runs of 0-9, letters and whatever is outside ASCII, with A-Z
     lower-cased; a window is ``window`` consecutive words of an item, or all of
     a shorter one. Windows are searched for in blocks of bounded size, all
-    documents against each block.
+    documents against each block; neither the driver nor a worker ever holds
+    more than one block.
 
     Returns per row ``doc_id, n_words, n_hit`` (words inside any occurrence),
     ``items`` (ids of occurring items, ascending as strings) and ``spans``
@@ -171,45 +172,92 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     without id counts under the empty id; items with equal ids count once;
     repeated documents each get a row. An empty benchmark hits nothing.
     """
-    blocks = _blocks(docs.sparkSession, benchmark, item_text_col, item_col, window)
+    rows, n = _blocks(benchmark, item_text_col, item_col, window)
+    texts = doc_columns(docs, text_col, id_col)
+    if n == 1:
+        return _scanned(texts, _block(rows, 0, 1)).drop("row")
+    # one block after another, each over all texts; what is found is few rows
+    numbered = stage(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+    parts = [stage(_scanned(numbered, _block(rows, k, n)).filter("n_hit > 0" if k else "true"), "hits") for k in range(n)]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.union(part)
+    joined = both.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("n_hit").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    found = stage(mapped(joined.select("doc_id", "n_words", "n_hit", "items", "spans"), _merged, FOUND), "found")
+    drop_staged(rows, numbered, *parts)
+    return found
+
+
+def _scanned(texts: DataFrame, windows: list[tuple[str, str]]) -> DataFrame:
+    """One block over all texts; the tables are built once in a task."""
+    block = texts.sparkSession.sparkContext.broadcast(windows)
+    numbered = "row" in texts.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _tables(blocks[0].value) if len(blocks) == 1 else None
+        tables = _tables(block.value)
         for batch in slices(batches, "text"):
-            yield _found(batch.column("doc_id"), *_hits(batch.column("text"), blocks, held))
-
-    return mapped(doc_columns(docs, text_col, id_col), scan, FOUND)
-
-
-def _hits(texts: pa.Array, blocks: list, held: tuple | None) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+            own = _found(batch.column("doc_id"), *_hits(batch.column("text"), tables))
+            yield pa.RecordBatch.from_arrays([*own.columns, batch.column("row") if numbered else pa.nulls(batch.num_rows, pa.int64())], names=[*own.schema.names, "row"])
+
+    return mapped(texts, scan, FOUND + ", row long")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of several blocks as one set of merged spans, and the words they hold."""
+    for batch in batches:
+        hit, spans = [], []
+        for own in batch.column("spans").to_pylist():
+            merged: list[list[int]] = []
+            for first, end in sorted((s["first"], s["first"] + s["length"]) for s in own):
+                if merged and first <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], end)
+                else:
+                    merged.append([first, end])
+            hit.append(sum(b - a for a, b in merged))
+            spans.append([{"first": a, "length": b - a} for a, b in merged])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("n_words"), pa.array(hit, pa.int64()), batch.column("items"), pa.array(spans, batch.schema.field("spans").type)],
+            names=batch.schema.names)
+
+
+def _hits(texts: pa.Array, tables: tuple[pa.Array, list[Patterns]]) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
     """Words per text, which of all words are hit, and the items found in each text."""
     flat, lengths = words(texts, WORD_TABLE)
     row = np.repeat(np.arange(len(lengths)), lengths)
     cover = np.zeros(len(flat) + 1, np.int64)
     items: list[set[str]] = [set() for _ in range(len(lengths))]
-    for block in blocks:
-        vocabulary, classes = held or _tables(block.value)
-        ids = pc.fill_null(pc.index_in(flat, vocabulary), len(vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
-        for p in classes:
-            end, which = search(ids, lengths, p)
-            np.add.at(cover, end - p.length + 1, 1)
-            np.add.at(cover, end + 1, -1)
-            for r, w in set(zip(row[end].tolist(), which.tolist())):
-                items[r].update(p.items[w])
+    vocabulary, classes = tables
+    ids = pc.fill_null(pc.index_in(flat, vocabulary), len(vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    for p in classes:
+        end, which = search(ids, lengths, p)
+        np.add.at(cover, end - p.length + 1, 1)
+        np.add.at(cover, end + 1, -1)
+        for r, w in set(zip(row[end].tolist(), which.tolist())):
+            items[r].update(p.items[w])
     return lengths, np.cumsum(cover)[:-1] > 0, items
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows in which a benchmark window occurs; columns stay as they are, and no row moves."""
-    blocks = _blocks(docs.sparkSession, benchmark, item_text_col, item_col, window)
+    rows, n = _blocks(benchmark, item_text_col, item_col, window)
+    kept = docs
+    for k in range(n):
+        clean = _clean(kept, _block(rows, k, n), text_col)
+        kept = clean if k == n - 1 else stage(clean, "clean")  # the next block reads what this one has left
+    return kept
+
 
+def _clean(docs: DataFrame, windows: list[tuple[str, str]], text_col: str) -> DataFrame:
+    block = docs.sparkSession.sparkContext.broadcast(windows)
     held: list[tuple] = []
 
     def clean(texts: pa.Array) -> np.ndarray:
-        if len(blocks) == 1 and not held:
-            held.append(_tables(blocks[0].value))
-        return np.array([not i for i in _hits(texts, blocks, held[0] if held else None)[2]], bool)
+        if not held:
+            held.append(_tables(block.value))
+        return np.array([not i for i in _hits(texts, held[0])[2]], bool)
 
     return docs.filter(column_of(docs, clean, "boolean", text_col))
 
