@@ -1,4 +1,4 @@
-"""Toxicity: a chain of linear classifiers over words and word beginnings."""
+"""Toxicity: a chain of linear classifiers over words and word beginnings, through categories found in the data."""
 
 from __future__ import annotations
 
@@ -10,15 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.shared import fold, mapped, slices, stage, words
+from starloom.llm.shared import fold, mapped, slices, smallest_hashes, stage, words
 
-#: Categories before the last one, as fixed word lists: a labelled toxic text with such a word
-#: is an example of the category. The last category, ``toxic``, is the label itself.
-CATEGORIES = {
-    "insult": ["idiot", "moron", "stupid", "clown", "loser", "fool", "dumb", "imbecile"],
-    "contempt": ["scum", "trash", "garbage", "worthless", "pathetic", "disgusting", "filth", "vermin"],
-    "threat": ["kill", "die", "hurt", "destroy", "murder", "beat", "burn"],
-}
+KINDS = 3  # categories before the last one, found in the data: groups of words that toxic texts hold together
+SEEDS = 400  # features that those groups are made of at most
 TRAIN_ROWS = 20_000  # most labelled rows the chain is fitted to
 FEATURES, SUPPORT, FOLDS, ROUNDS = 4096, 3, 3, 300
 PREFIXES = (4, 5, 6)
@@ -109,6 +104,39 @@ def fit_chain(row: np.ndarray, feature: np.ndarray, labels: np.ndarray, features
     return models
 
 
+def kinds_of(row: np.ndarray, feature: np.ndarray, rows: int, features: int, kinds: int = KINDS, rounds: int = 20) -> np.ndarray:
+    """Which of ``kinds`` groups each row belongs to: rows whose features occur together, in any language.
+
+    ``row, feature`` are the toxic rows' features, the first ones being those
+    that speak most for the label. Rows are unit vectors of their first ``SEEDS``
+    features, weighed by rarity, and grouped around ``kinds`` mean directions:
+    the first is the row nearest to all, the next ones those farthest from the
+    ones before. A row without such a feature belongs to none (-1).
+    """
+    on = feature < SEEDS
+    x = np.zeros((rows, min(features, SEEDS)))
+    x[row[on], feature[on]] = 1
+    x *= np.log((rows + 1) / (x.sum(0) + 1))
+    size = np.sqrt((x * x).sum(1))
+    own = size > 0
+    out = np.full(rows, -1)
+    if own.sum() < kinds:
+        return out
+    x = x[own] / size[own, None]
+    centre = [x[np.argmax(x @ x.sum(0))]]
+    while len(centre) < kinds:
+        centre.append(x[np.argmin(np.max(x @ np.array(centre).T, axis=1))])
+    centres = np.array(centre)
+    for _ in range(rounds):
+        near = np.argmax(x @ centres.T, axis=1)
+        sums = np.array([x[near == k].sum(0) if (near == k).any() else centres[k] for k in range(kinds)])
+        centres = sums / np.maximum(np.sqrt((sums * sums).sum(1, keepdims=True)), 1e-12)
+    # the largest group first, so that numbers do not depend on the order of rows
+    order = np.argsort(-np.bincount(near, minlength=kinds), kind="stable")
+    out[own] = np.argsort(order)[near]
+    return out
+
+
 def run_chain(row: np.ndarray, feature: np.ndarray, rows: int, features: int, models: list[np.ndarray]) -> np.ndarray:
     said = np.zeros((rows, 0))
     for w in models:
@@ -123,7 +151,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     Features are the presence of a word's letters and of word beginnings; those
     kept speak most clearly for the label in the training rows, at most
     ``rows`` labelled ones outside the held-out part, chosen by a hash of their
-    id (of texts that share an id, the one with the smallest hash). Returns per
+    id (of texts that share an id, the one with the smallest hash). The
+    categories that come before the label are groups of toxic training rows
+    whose words occur together (``kinds_of``), largest first. Returns per
     row ``doc_id, held_out``, a probability per category,
     ``score`` (that of the last category) and ``toxic`` (1 from ``threshold``
     on). NULL text counts as empty; without labels every text gets the same
@@ -132,7 +162,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna()
     known = known.filter(fold(F.col("doc_id"), parts) != held_part).groupBy("doc_id").agg(F.round(F.avg("y")).alias("y"))
-    chosen = stage(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "labels")
+    chosen = smallest_hashes(stage(known, "known"), rows)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     joined = texts.join(F.broadcast(chosen), "doc_id")  # broadcast: ``rows`` rows of two numbers at most
     each = joined.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("own"), "text")).alias("best"))
@@ -154,25 +184,25 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     best = seen.filter(F.col("yes") >= SUPPORT).filter(odds > 1).orderBy(weight.desc(), "code").limit(FEATURES).select("code").collect()
     number = {r[0]: i for i, r in enumerate(best)}
     features = len(number)
-    lists = {k: {code for own in feature_codes(pa.array(v)) for code in own[:1]} for k, v in CATEGORIES.items()}
-    names = [*CATEGORIES, "toxic"]
+    names = [*(f"kind_{k + 1}" for k in range(KINDS)), "toxic"]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             row, feature = presence(batch.column("text"), number)
             own = np.split(feature, np.searchsorted(row, np.arange(1, batch.num_rows)))
-            marks = []
-            for codes in lists.values():
-                hit, _ = presence(batch.column("text"), {c: i for i, c in enumerate(codes)})
-                marks.append(np.bincount(hit, minlength=batch.num_rows) > 0)
-            found = [sum(1 << k for k, m in enumerate(marks) if m[i]) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.array(found, pa.int32()), pa.array([o.tolist() for o in own], pa.list_(pa.int32()))], names=["doc_id", "y", "found", "own"])
+                [batch.column("doc_id"), batch.column("y"), pa.array([o.tolist() for o in own], pa.list_(pa.int32()))], names=["doc_id", "y", "own"])
 
-    got = sorted((r[0], r[1], r[2], tuple(r[3])) for r in mapped(sample, rows_of, "doc_id long, y double, found int, own array<int>").collect())
+    got = sorted((r[0], r[1], tuple(r[2])) for r in mapped(sample, rows_of, "doc_id long, y double, own array<int>").collect())
     y = np.array([g[1] for g in got])
-    target = np.column_stack([*((y > 0) & (np.array([g[2] for g in got], np.int64) >> k & 1 > 0) for k in range(len(CATEGORIES))), y > 0]).astype(float) if got else np.zeros((0, len(names)))
-    models = fit_chain(np.repeat(np.arange(len(got)), [len(g[3]) for g in got]), np.array([f for g in got for f in g[3]], np.int64), target, features)
+    row, feature = np.repeat(np.arange(len(got)), [len(g[2]) for g in got]).astype(np.int64), np.array([f for g in got for f in g[2]], np.int64)
+    bad, kind = np.flatnonzero(y > 0), np.full(len(got), -1)
+    place = np.full(len(got), -1)
+    place[bad] = np.arange(len(bad))
+    yes = place[row] >= 0 if len(row) else np.zeros(0, bool)
+    kind[bad] = kinds_of(place[row[yes]], feature[yes], len(bad), features)
+    target = np.column_stack([*((kind == k) for k in range(KINDS)), y > 0]).astype(float) if got else np.zeros((0, len(names)))
+    models = fit_chain(row, feature, target, features)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -182,4 +212,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
 
     out = mapped(texts, work, "doc_id long, " + ", ".join(f"{n} double" for n in names))
     return out.select(
-        "doc_id", (fold(F.col("doc_id"), parts) == held_part).alias("held_out"), *CATEGORIES, F.col("toxic").alias("score"), (F.col("toxic") >= threshold).cast("int").alias("toxic"))
+        "doc_id", (fold(F.col("doc_id"), parts) == held_part).alias("held_out"), *names[:-1], F.col("toxic").alias("score"), (F.col("toxic") >= threshold).cast("int").alias("toxic"))
