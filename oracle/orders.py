@@ -644,6 +644,8 @@ FROM (VALUES ('stage', 1, 'stg_orders'), ('stage', 1, 'stg_items'), ('stage', 1,
  ('dimensions', 5, NULL), ('cleanse', 6, 'ods_orders'), ('cleanse', 6, 'ods_items'), ('headers', 7, NULL), ('transitions', 8, 'fact_transition'), ('orders', 9, 'fact_order'),
  ('items', 10, 'fact_item'), ('mark', 11, 'stg_orders'), ('mark', 11, 'stg_items')) t(step, position, table_name)""",
 }
+FINAL["uc06_bucketed"] = FINAL["uc06_fallout_root_cause"]
+FINAL["uc09_bucketed"] = FINAL["uc09_cohort_funnel"]
 FINAL["order_customer_merged"] = FINAL["order_customer_as_recorded"]
 FINAL["mart_sales_as_recorded"] = """
 SELECT strftime(o.order_date, '%Y-%m') AS year_month, coalesce(c.customer_segment_cd, 'UNKNOWN') AS segment, count(*) AS orders, sum(o.total_order_amount)::DOUBLE AS revenue

@@ -10,6 +10,7 @@ from starloom.operators.histogram import percentiles, rolled_up, value_counts
 from starloom.operators.sketches import distinct_counts, distinct_sketches
 from starloom.operators.version_store import VersionStore
 from starloom.plans import ops_facts, ops_marts
+from starloom.plans.bucketed import BucketedStar
 from starloom.plans.daily_batch import STATUS, DailyBatch, Delivery, seeded_dimensions
 from starloom.plans.month_state import MonthState, month_name, refresh_months
 from starloom.plans.ops_warehouse import OpsWarehouse
@@ -190,6 +191,17 @@ def purged_by_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+_stars: dict[tuple[str, str], BucketedStar] = {}
+
+
+def bucketed_star(spark: SparkSession, sf_dir: str) -> BucketedStar:
+    """The order star with its facts in buckets by order."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stars:
+        _stars[key] = BucketedStar(open_warehouse(OrderWarehouse, spark, sf_dir), _scratch(spark, "bucketed")[1])
+    return _stars[key]
+
+
 def seeds_in_use(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
     """A seeded dimension, every column of it, with the rows of its fact that point to each member."""
     w = open_warehouse(OrderWarehouse, spark, sf_dir)

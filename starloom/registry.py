@@ -172,6 +172,8 @@ ORDER_QUERIES: dict[str, Query] = {
     "uc04_channel_performance": _orders(lambda w: A.uc04(w, 2000)),
     "uc05_customer_history": _orders(lambda w: A.uc05(w)),
     "uc06_fallout_root_cause": _orders(lambda w: A.uc06(w, feeds.EVENTS_AS_OF)),
+    "uc06_bucketed": lambda spark, sf: plain(A.uc06(BT.bucketed_star(spark, sf), feeds.EVENTS_AS_OF)),
+    "uc09_bucketed": lambda spark, sf: plain(A.uc09(BT.bucketed_star(spark, sf), 1998, 3)),
     "uc07_product_mix": _orders(lambda w: A.uc07(w, 2000)),
     "uc08_agent_scorecard": _orders(lambda w: A.uc08(w, 2000, 6)),
     "uc09_cohort_funnel": _orders(lambda w: A.uc09(w, 1998, 3)),

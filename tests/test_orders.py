@@ -230,3 +230,19 @@ def test_reports_do_not_meet_the_order_dimension(w):
     from starloom.plans import order_analytics as A
     for report in (A.order_pulse(w, "2001-07-20"), A.stuck_orders(w, "2001-08-01 12:00:00"), A.uc02a(w, "2001-08-01")):
         assert "/dim_order" not in str(report.inputFiles())
+
+
+def test_bucketed_facts_meet_without_an_exchange(spark):
+    from starloom.plans import order_analytics as uc
+    from starloom.plans.batch_trips import bucketed_star
+
+    star = bucketed_star(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (uc.uc06(star, "2024-01-31"), uc.uc09(star, 1998, 3))]
+        plain = uc.uc09(star.warehouse, 1998, 3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all("Exchange hashpartitioning(order_sk" not in p and "Bucketed: true" in p for p in plans)
+    assert "Exchange hashpartitioning(order_sk" in plain
