@@ -50,17 +50,39 @@ class Encoder:
     def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces not seen before, piece after piece, and how many each has.
 
-        Many pieces go into one call, with a special token between them: the
-        model cuts a text there before anything else, and no piece holds one.
+        Many pieces go into one call. Bare words stand in one text with spaces
+        between them, and a token belongs to the word that it begins in. Pieces
+        with their white space are parted by a special token, at which the model
+        cuts a text before anything else; no piece holds one.
         """
-        if self.gap is None:
-            found = self._encode(pieces)
-            return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
-        joined = [self.gap.join(pieces[i: i + 256]) + self.gap for i in range(0, len(pieces), 256)]
-        ids = np.concatenate([np.array(f, np.int32) for f in self._encode(joined)])
+        ids, sizes = [], []
+        for at in range(0, len(pieces), 8192):  # what the library returns is many times larger than its ids
+            part = pieces[at: at + 8192]
+            one = self._by_offsets(part) if not self.spaces else self._by_gaps(part) if self.gap else self._alone(part)
+            ids.append(one[0])
+            sizes.append(one[1])
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._encode(pieces)
+        return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
+
+    def _by_gaps(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._encode([self.gap.join(pieces[i: i + 256]) + self.gap for i in range(0, len(pieces), 256)])
+        ids = np.concatenate([np.array(f, np.int32) for f in found])
         ends = np.flatnonzero(ids == self.gap_id)
-        sizes = np.diff(ends, prepend=-1) - 1
-        return ids[ids != self.gap_id], sizes
+        return ids[ids != self.gap_id], np.diff(ends, prepend=-1) - 1
+
+    def _by_offsets(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+        found = self.model.encode_batch([" ".join(pieces[i: i + 256]) for i in range(0, len(pieces), 256)], add_special_tokens=False)
+        ids, owner = [], []
+        for i, one in enumerate(found):
+            own = lengths[i * 256: (i + 1) * 256]
+            first = np.fromiter((o[0] for o in one.offsets), np.int64, len(one))
+            owner.append(np.searchsorted(np.cumsum(own) - own, first, side="right") - 1 + i * 256)
+            ids.append(np.array(one.ids, np.int32))
+        return np.concatenate(ids), np.bincount(np.concatenate(owner), minlength=len(pieces))
 
     def _known(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each distinct piece stand in ``flat``, and how many it has; new pieces are encoded first."""

@@ -160,7 +160,7 @@ def pack(docs: DataFrame, tokenizer_file: str, spaces: bool = True, end_id: int
 
         code, base = encoder(tokenizer_file, spaces, end_id), TaskContext.get().partitionId() << 40
         at, open_pieces = 0, []  # tokens laid so far; pieces of the sequence not yet full
-        for batch in slices(batches, "text", BATCH_BYTES):
+        for batch in slices(batches, "text", BATCH_BYTES // 2):
             ids, sizes = code(batch.column("text"))
             pieces = open_pieces + cut(batch.column("doc_id").to_pylist(), ids, sizes, at, length)
             at += len(ids)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import encoder
-from starloom.llm.shared import doc_columns, mapped, shuffle_partitions, slices
+from starloom.llm.shared import BATCH_BYTES, doc_columns, mapped, shuffle_partitions, slices
 from starloom.session import shared_dir
 
 ROW = "doc_id long, part int, start_in_part long, n_tokens int, ids array<int>"
@@ -44,7 +44,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, spaces: b
         from pyspark import TaskContext
 
         part, at, code = TaskContext.get().partitionId(), 0, encoder(tokenizer_file, spaces, end_id)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", BATCH_BYTES // 2):
             ids, lengths = code(batch.column("text"))
             bound = np.concatenate([[0], np.cumsum(lengths)])
             yield pa.RecordBatch.from_arrays([
