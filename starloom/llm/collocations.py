@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from starloom.llm.shared import LOWER, UPPER, drop_staged, mapped, raw, shuffle_
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARDS = 4  # parts of the corpus; a phrase is counted on as many scans in a row, whichever comes first
-CHUNK = 2_000_000  # tokens of one chunk; a longer text is a chunk of its own
+CHUNK = 1_000_000  # tokens of one chunk; a longer text is a chunk of its own
 SLOTS = 1 << 24  # bytes of the activation table, which every Python worker holds
 CONTAINED = 80  # a phrase goes if a longer one around it has that many hundredths of its occurrences
 NEVER = 255
@@ -26,9 +25,9 @@ _TABLE = bytes(32 if chr(b) in _BREAKS + _GAPS else b for b in bytes.maketrans(U
 _BREAK = np.array([chr(b) in _BREAKS for b in range(256)])
 _SPACE = np.array([chr(b) in _BREAKS + _GAPS for b in range(256)])
 
-CHUNKS = "cycle int, langs array<string>, totals array<long>, words array<string>, lang_of binary, keys binary, sequence binary"
-COUNTS = "shard int, keys binary, counts binary, active binary"
-STATE = "shard int, keys binary, counts binary, active binary, hits binary"
+CHUNKS = "cycle int, chunk long, langs array<string>, totals array<long>, words array<string>, lang_of binary, keys binary, sequence binary"
+COUNTS = "shard int, chunk long, keys binary, counts binary, active binary"
+STATE = "shard int, keys binary, counts binary, active binary, homes binary, hits binary, opened long"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -84,22 +83,22 @@ def chunked(rows: DataFrame, chunk: int = CHUNK, shards: int = SHARDS) -> DataFr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        nth, held, langs, total = TaskContext.get().partitionId(), [], {}, 0
+        part, n, held, langs, total = TaskContext.get().partitionId(), 0, [], {}, 0
         for batch in slices(batches, "text"):
             flat, counts, new = tokens(batch.column("text"))
             own = np.array([langs.setdefault(lang, len(langs)) for lang in batch.column("lang").to_pylist()], np.int64)
             held.append((flat.dictionary_encode(), np.repeat(own, counts), new))
             total += len(flat)
             if total >= chunk:
-                yield _chunk(held, list(langs), nth % shards)
-                nth, held, langs, total = nth + 1, [], {}, 0
+                yield _chunk(held, list(langs), (part + n) % shards, (part << 32) + n)
+                n, held, langs, total = n + 1, [], {}, 0
         if total:
-            yield _chunk(held, list(langs), nth % shards)
+            yield _chunk(held, list(langs), (part + n) % shards, (part << 32) + n)
 
     return mapped(rows, work, CHUNKS)
 
 
-def _chunk(held: list[tuple], langs: list[str], cycle: int) -> pa.RecordBatch:
+def _chunk(held: list[tuple], langs: list[str], cycle: int, number: int) -> pa.RecordBatch:
     from xxhash import xxh3_64_intdigest as digest
 
     books = [coded.dictionary for coded, _, _ in held]
@@ -119,10 +118,10 @@ def _chunk(held: list[tuple], langs: list[str], cycle: int) -> pa.RecordBatch:
     keys = np.fromiter(map(digest, pc.binary_join_element_wise(lead, own, "").cast(pa.binary()).to_pylist()), np.uint64, len(own)) & ~np.uint64(3)
     sequence = np.insert(local, np.flatnonzero(np.concatenate([new for _, _, new in held])), len(own))
     return pa.RecordBatch.from_arrays([
-        pa.array([cycle], pa.int32()), pa.array([langs], pa.list_(pa.string())),
+        pa.array([cycle], pa.int32()), pa.array([number], pa.int64()), pa.array([langs], pa.list_(pa.string())),
         pa.array([np.bincount(lang_of[local], minlength=len(langs)).tolist()], pa.list_(pa.int64())), pa.array([own.to_pylist()], pa.list_(pa.string())),
         *(pa.array([a.astype(kind).tobytes()], pa.binary()) for a, kind in ((lang_of, "<u4"), (keys, "<u8"), (sequence, "<u4")))],
-        names=["cycle", "langs", "totals", "words", "lang_of", "keys", "sequence"])
+        names=["cycle", "chunk", "langs", "totals", "words", "lang_of", "keys", "sequence"])
 
 
 def _phrases(keys: np.ndarray, sequence: np.ndarray, table: np.ndarray, scan: int) -> Iterator[tuple]:
@@ -154,11 +153,20 @@ def _phrases(keys: np.ndarray, sequence: np.ndarray, table: np.ndarray, scan: in
         at[place[on]] = back[on]
 
 
-def _scan(chunks: DataFrame, table: Broadcast, scan: int, cycle: int, parts: int) -> DataFrame:
+def _packed(table: np.ndarray) -> bytes:
+    """The activation table as it travels: long runs of ``NEVER`` take no room."""
+    return pa.compress(table.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, slots: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, slots, "zstd"), np.uint8)
+
+
+def _scan(chunks: DataFrame, packed: bytes, slots: int, scan: int, cycle: int, parts: int) -> DataFrame:
     """Counts in this scan of all phrases that are active and not yet through their cycle, packed by shard of their keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = np.frombuffer(table.value, np.uint8)
+        now = _unpacked(packed, slots)
         for batch in batches:
             for row in batch.to_pylist():
                 found = []
@@ -172,13 +180,17 @@ def _scan(chunks: DataFrame, table: Broadcast, scan: int, cycle: int, parts: int
                 full = np.flatnonzero(np.diff(at))
                 cut = lambda a, kind: pa.array([a[order[at[s]: at[s + 1]]].astype(kind).tobytes() for s in full], pa.binary())  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full.astype(np.int32)), cut(keys, "<u8"), cut(counts, "<u4"), cut(active, "u1")], names=["shard", "keys", "counts", "active"])
+                    [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["chunk"])), cut(keys, "<u8"), cut(counts, "<u4"), cut(active, "u1")],
+                    names=["shard", "chunk", "keys", "counts", "active"])
 
-    return mapped(chunks.filter(F.col("cycle") == scan % cycle).select("keys", "sequence"), work, COUNTS)
+    return mapped(chunks.filter(F.col("cycle") == scan % cycle).select("chunk", "keys", "sequence"), work, COUNTS)
 
 
 def _merge(scan: int, cycle: int, slots: int, least: int):
-    """Add one scan's counts to a shard's state; phrases that end their cycle below ``least`` leave it."""
+    """Add one scan's counts to a shard's state; phrases that end their cycle below ``least`` leave it.
+
+    A phrase that has become frequent remembers a chunk that holds it, its home.
+    """
 
     def work(old: pa.Table, new: pa.Table) -> pa.Table:
         read = lambda t, name, kind: [np.frombuffer(b, kind) for b in t[name].to_pylist()]
@@ -192,11 +204,18 @@ def _merge(scan: int, cycle: int, slots: int, least: int):
         counts = before + np.bincount(place[size:], added, len(keys)).astype(np.int64)
         active = np.zeros(len(keys), np.uint8)
         np.maximum.at(active, place, np.concatenate(read(old, "active", "u1") + read(new, "active", "u1")))
-        hit = np.concatenate(_slots(keys[(counts >= least) & (before < least)], slots))
-        stay = (counts >= least) | (active.astype(np.int64) + cycle - 1 > scan)
-        out = [(keys[stay], "<u8"), (counts[stay], "<u8"), (active[stay], "u1"), (np.unique(hit), "<u4")]
+        often = counts >= least
+        homes = np.zeros(len(keys), np.int64)
+        asked = read(new, "keys", "<u8")
+        homes[place[size:]] = np.repeat(np.array(new["chunk"].to_pylist(), np.int64), [len(k) for k in asked])
+        homes[(before >= least)] = np.concatenate([np.zeros(0, np.int64), *read(old, "homes", "<i8")])  # both in the order of keys
+        fresh = keys[often & (before < least)]
+        hit = np.concatenate(_slots(fresh, slots))
+        stay = often | (active.astype(np.int64) + cycle - 1 > scan)
+        out = [(keys[stay], "<u8"), (counts[stay], "<u8"), (active[stay], "u1"), (homes[often], "<i8"), (np.unique(hit), "<u4")]
+        opened = int((fresh & np.uint64(3) < LONGEST - 1).sum())  # those that longer phrases can be made of
         return pa.table({"shard": pa.array([shard], pa.int32()), **{
-            n: pa.array([a.astype(kind).tobytes()], pa.binary()) for n, (a, kind) in zip(("keys", "counts", "active", "hits"), out)}})
+            n: pa.array([a.astype(kind).tobytes()], pa.binary()) for n, (a, kind) in zip(("keys", "counts", "active", "homes", "hits"), out)}, "opened": pa.array([opened])})
 
     return work
 
@@ -224,28 +243,49 @@ def _newly_set(state: DataFrame, slots: int) -> Iterator[tuple[int, np.ndarray]]
         yield row["nth"] * width, np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:width].astype(bool)
 
 
-def _seen(chunks: DataFrame, table: Broadcast) -> DataFrame:
-    """The phrases behind the keys, with their own counts: every phrase of a chunk that the activation table knows."""
+def _at_home(state: DataFrame, least: int) -> DataFrame:
+    """Keys and counts of the frequent phrases, packed by home: ``chunk, found``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts, homes = np.frombuffer(row["keys"], "<u8"), np.frombuffer(row["counts"], "<u8"), np.frombuffer(row["homes"], "<i8")
+                keys, counts = keys[counts >= least], counts[counts >= least]
+                order = np.argsort(homes, kind="stable")
+                chunk, first = np.unique(homes[order], return_index=True)
+                cuts = [*first.tolist(), len(order)]
+                cut = lambda a: pa.array([a[order[i:j]].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([pa.array(chunk), cut(keys), cut(counts)], names=["chunk", "keys", "counts"])
+
+    packed = mapped(state.select("keys", "counts", "homes"), work, "chunk long, keys binary, counts binary")
+    return packed.groupBy("chunk").agg(F.collect_list(F.struct(F.col("keys").alias("k"), F.col("counts").alias("c"))).alias("found"))
+
+
+def _spelt(chunks: DataFrame, home: DataFrame, packed: bytes, slots: int) -> DataFrame:
+    """The phrases behind the keys, each from its home, with their counts. Chunks lie in buckets, so only keys move."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = np.frombuffer(table.value, np.uint8)
+        now = _unpacked(packed, slots)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in ("langs", "lang_of", "keys", "sequence")}
+                row = {n: batch.column(n)[i].as_py() for n in ("langs", "lang_of", "keys", "sequence", "found")}
+                asked, a = (np.concatenate([np.frombuffer(f[n], "<u8") for f in row["found"]]) for n in "kc")
+                order = np.argsort(asked)
+                asked, a = asked[order], a[order].astype(np.int64)
                 own, sequence = batch.column("words")[i].values, np.frombuffer(row["sequence"], "<u4").astype(np.int64)
                 langs, lang_of = pa.array(row["langs"], pa.string()), np.frombuffer(row["lang_of"], "<u4")
-                for k, keys, counts, _, place in _phrases(np.frombuffer(row["keys"], "<u8"), sequence, now, NEVER - 1):
-                    on = _activated(keys, now) < NEVER
+                for k, keys, _, _, place in _phrases(np.frombuffer(row["keys"], "<u8"), sequence, now, NEVER - 1):
+                    spot = np.minimum(np.searchsorted(asked, keys), len(asked) - 1)
+                    on = asked[spot] == keys
                     at = sequence[place[on][:, None] + np.arange(k)]
                     phrase = own.take(pa.array(at[:, 0]))
                     for j in range(1, k):
                         phrase = pc.binary_join_element_wise(phrase, own.take(pa.array(at[:, j])), " ")
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(keys[on].view(np.int64)), langs.take(pa.array(lang_of[at[:, 0]])), phrase, pa.array(np.full(len(at), k, np.int32)), pa.array(counts[on])],
-                        names=["key", "lang", "phrase", "k", "seen"])
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(lang_of[at[:, 0]])), phrase, pa.array(np.full(len(at), k, np.int32)), pa.array(a[spot[on]])], names=["lang", "phrase", "k", "a"])
 
-    found = mapped(chunks.select("langs", "words", "lang_of", "keys", "sequence"), work, "key long, lang string, phrase string, k int, seen long")
-    return found.groupBy("key", "lang", "phrase", "k").agg(F.sum("seen").alias("seen"))
+    both = chunks.select("chunk", "langs", "words", "lang_of", "keys", "sequence").join(home, "chunk")
+    return mapped(both, work, "lang string, phrase string, k int, a long")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
@@ -265,51 +305,43 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     Which phrases became frequent is known to the next scan by a table of
     ``slots`` bytes, two per phrase, so what is sent to the workers never grows;
     where slots are shared, phrases are activated too early, never too late.
-    A last pass writes out the phrases and their own counts; a key shared by two
-    of them would have counted both, so the lesser count holds.
+    A frequent phrase is spelt by one chunk that holds it. Keys have 62 bits: of
+    two billion phrases in the tables, one in 300 runs has a frequent one that
+    shares its key and counts too much.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
-    chunks = stage(chunked(rows, chunk, cycle), "chunks", by="cycle")
     table, scan, last = np.full(slots, NEVER, np.uint8), 0, -1
     name = lambda i: f"starloom_phrases_{mark}_{i}"
     mark, held = uuid.uuid4().hex, []
     try:
+        chunked(rows, chunk, cycle).write.option("compression", "zstd").partitionBy("cycle").bucketBy(parts, "chunk").saveAsTable(name("chunks"))
+        chunks = spark.table(name("chunks"))
         spark.createDataFrame([], STATE).write.bucketBy(parts, "shard").saveAsTable(name("empty"))
         held.append(name("empty"))
         while scan < cycle or last + cycle >= scan:
-            sent = spark.sparkContext.broadcast(table.tobytes())
-            new = _scan(chunks, sent, scan, cycle, 4 * parts)
+            new = _scan(chunks, _packed(table), slots, scan, cycle, 4 * parts)
             both = spark.table(held[-1]).groupBy("shard").cogroup(new.groupBy("shard"))
             held.append(name(scan))
             both.applyInArrow(_merge(scan, cycle, slots, least), STATE).write.option("compression", "zstd").bucketBy(parts, "shard").saveAsTable(held[-1])
             spark.sql(f"DROP TABLE {held.pop(0)}")
-            sent.unpersist()
+            if spark.table(held[-1]).agg(F.sum("opened")).first()[0]:
+                last = scan + 1
             for begin, on in _newly_set(spark.table(held[-1]), slots):
                 own = table[begin: begin + len(on)]
-                if (fresh := on & (own == NEVER)).any():
-                    own[fresh], last = scan + 1, scan + 1
+                own[on & (own == NEVER)] = scan + 1
             scan += 1
 
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    keys, counts = np.frombuffer(row["keys"], "<i8"), np.frombuffer(row["counts"], "<u8").astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[counts >= least]), pa.array(counts[counts >= least])], names=["key", "counted"])
-
-        sent = spark.sparkContext.broadcast(table.tobytes())
-        full = mapped(spark.table(held[-1]).select("keys", "counts"), counted, "key long, counted long")
-        found = _seen(chunks, sent).join(full, "key").select("lang", "phrase", "k", F.least("counted", "seen").alias("a")).filter(F.col("a") >= least)
-        found = stage(found, "phrases")
-        sent.unpersist()
+        home = stage(_at_home(spark.table(held[-1]), least), "homes")
+        found = stage(_spelt(chunks, home, _packed(table), slots), "phrases")
+        pairs = chunks.select(F.explode(F.arrays_zip("langs", "totals")).alias("x"))
+        totals = stage(pairs.groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.totals").alias("n")), "totals")
+        drop_staged(home)
+        return found, totals
     finally:
-        for one in held:
+        for one in [*held, name("chunks")]:
             spark.sql(f"DROP TABLE IF EXISTS {one}")
-    pairs = chunks.select(F.explode(F.arrays_zip("langs", "totals")).alias("x"))
-    totals = stage(pairs.groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.totals").alias("n")), "totals")
-    drop_staged(chunks)
-    return found, totals
 
 
 def _cuts(found: DataFrame) -> DataFrame:
