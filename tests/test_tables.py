@@ -47,6 +47,16 @@ def test_batch_reload_replaces_only_its_batch(spark, database):
         t.replace_batch(rows((5, "C")), name, "A")
 
 
+def test_batch_load_writes_its_rows_where_they_are(spark, database):
+    """No row is sent to another task, so every task writes a file."""
+    rows = spark.range(0, 4000, 1, 4).withColumn("etl_batch_id", F.lit("A"))
+    for _ in range(2):
+        t.replace_batch(rows, f"{database}.f", "A")
+        assert len(spark.table(f"{database}.f").inputFiles()) == 4
+    t.advance_partition(spark, f"{database}.f", {"etl_batch_id": "A"}, {"etl_batch_id": "P"})
+    assert spark.table(f"{database}.f").filter("etl_batch_id = 'P'").count() == 4000 == spark.table(f"{database}.f").count()
+
+
 def test_published_version_may_read_the_current_one(spark, database):
     name = f"{database}.dim"
     src = lambda *r: spark.createDataFrame(list(r), "k string, s string")
