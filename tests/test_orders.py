@@ -63,6 +63,16 @@ def test_each_header_rule_fires_alone(spark):
     assert {r.stg_record_id: r.vat_amount for r in df.collect()}[4] == "15.00"
 
 
+def test_rules_are_compiled(spark):
+    """Lists of violations hold no lambda, which Spark would interpret row by row, and no NULL."""
+    person = spark.createDataFrame([("C1", "123")], "customer_id string, national_id string").unionByName(
+        spark.createDataFrame([("C2", "1234567890")], "customer_id string, national_id string"))
+    tagged = Q.check_customers(person)
+    assert "lambda" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert not tagged.schema[Q.VIOLATIONS].dataType.containsNull
+    assert {r.customer_id: [v.rule_code for v in r[Q.VIOLATIONS]] for r in tagged.collect()} == {"C1": ["DQ-09"], "C2": []}
+
+
 def test_duplicates_keep_the_latest_with_a_tie_break(spark):
     df = check(spark, dict(order_id="a", hour=1), dict(order_id="a", hour=2), dict(order_id="b", hour=1), dict(order_id="b", hour=1))
     assert {r.stg_record_id: r.stg_record_status for r in df.collect()} == {0: "E", 1: "V", 2: "E", 3: "V"}
