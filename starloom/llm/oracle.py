@@ -5,10 +5,13 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 ORACLE: dict[str, str] = {
     "op2_line_dedup": """
 WITH d AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-win AS (SELECT doc_id, text, i, array_to_string(l[i : i + 2], chr(10)) AS t FROM d, unnest(generate_series(1, len(l) - 2)) AS g(i)),
-later AS (SELECT doc_id, text, i FROM (
-  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS nth FROM win) WHERE nth > 1),
-gone AS (SELECT DISTINCT doc_id, text, i + o AS i FROM later, unnest(generate_series(0, 2)) AS g(o)),
+n AS (SELECT *, len(l) AS n, list_transform(l, lambda x: len(x) - len(replace(x, ' ', '')) + 1) AS w FROM d),
+s AS (SELECT doc_id, text, n, l, i, CASE WHEN w[i] > 50 THEN 1 WHEN w[i] + coalesce(w[i + 1], 0) > 50 THEN 2 ELSE 3 END AS k
+  FROM n, unnest(generate_series(1, n)) AS g(i)),
+win AS (SELECT doc_id, text, i, k, array_to_string(l[i : i + k - 1], chr(10)) AS t FROM s WHERE i + k - 1 <= n),
+later AS (SELECT doc_id, text, i, k FROM (
+  SELECT *, row_number() OVER (PARTITION BY t, k ORDER BY doc_id, i) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, text, i + o AS i FROM later, unnest(generate_series(0, k - 1)) AS g(o)),
 lines AS (SELECT doc_id, text, i, l[i] AS t FROM d, unnest(generate_series(1, len(l))) AS g(i)),
 kept AS (SELECT doc_id, text, string_agg(t, chr(10) ORDER BY i) AS t, count(*) AS c FROM lines ANTI JOIN gone USING (doc_id, text, i) GROUP BY ALL)
 SELECT x.doc_id, CASE WHEN x.text IS NOT NULL THEN coalesce(kept.t, '') END AS text, CAST(coalesce(len(string_split(x.text, chr(10))), 0) AS BIGINT) AS n_lines,
