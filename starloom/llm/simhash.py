@@ -55,6 +55,11 @@ def fingerprints(texts: pa.Array, size: int = SHINGLE, seed: int = SEED) -> np.n
 
     data, begin, end, number = shingles(texts, size)
     hashes = np.fromiter((digest(data[a:b], seed) for a, b in zip(begin.tolist(), end.tolist())), np.uint64, len(begin))
+    return majorities(hashes, number)
+
+
+def majorities(hashes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """SimHash of each text from its shingles' hashes, text after text, and how many each text has."""
     out = np.zeros(len(number), np.uint64)
     if not len(hashes):
         return out

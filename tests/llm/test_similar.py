@@ -5,6 +5,8 @@ import random
 import corpus_pipeline
 from helpers import ROWS, clashing, docs, plain_words, sample
 
+from starloom.llm.similar import _linked
+
 
 def plain_set(text):
     w = plain_words(text)
@@ -62,3 +64,14 @@ def test_stage_keeps_one_of_a_group_without_ids_and_every_group_of_one_id(spark)
     a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
     rows = [(None, a, "en", "s", 1), (None, a, "en", "s", 1), (5, a, "en", "s", 1), (None, b, "en", "s", 1), (None, b, "en", "s", 1), (5, c, "en", "s", 1), (5, c, "en", "s", 1)]
     assert sorted(kept_by_group(spark, rows), key=str) == sorted([(5, a), (None, b), (5, c)], key=str)
+
+
+def test_texts_of_near_fingerprints_meet_without_a_common_band(spark):
+    """SimHash alone finds these pairs; the whole sets decide."""
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join([*words[:-1], "end"]), " ".join(f"v{i}" for i in range(300)), " ".join([*words, "more"])]
+    prints = [1 << 40, 1 << 40 | 7, 1 << 40 | 3, 1 << 40]  # the third text differs, however near its fingerprint
+    rows = [(n, fp, [100 + n], bytes(125)) for n, fp in enumerate(prints)]
+    heads = spark.createDataFrame(rows, "node long, fp long, keys array<long>, minima binary")
+    linked = _linked(heads, spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 0.8)
+    assert {r.node: r.component for r in linked.collect()} == {0: 0, 1: 0, 3: 0}
