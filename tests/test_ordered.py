@@ -32,6 +32,20 @@ def test_numbering_is_stable_over_actions(spark):
     assert sorted(numbered.collect()) == sorted(numbered.collect())
 
 
+def test_layout_in_folders_has_the_same_numbers(spark):
+    rows = skewed(600)
+    numbered = number_rows(frame(spark, rows).withColumn("m", F.when(F.col("v") % 3 > 0, F.col("v") % 3)), ["k", "v", "id"], 6, cut_by=["m"])
+    assert {r.id: r[RN] for r in numbered.collect()} == {r[2]: i for i, r in enumerate(sorted(rows), 1)}
+    assert {r.m for r in numbered.select("m").distinct().collect()} == {None, 1, 2}
+    # a table to read from: its folders are pruned, and numbers cost neither a join nor an exchange
+    plan = numbered.filter("m = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m" in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_numbering_of_no_rows(spark):
+    assert number_rows(frame(spark, skewed(10)).filter("id < 0"), ["k", "v", "id"]).collect() == []
+
+
 def test_keys_continue_after_the_highest(spark):
     df = spark.createDataFrame([("b",), ("a",)], "bk string")
     for start in (10, spark.sql("SELECT 10 AS m")):
