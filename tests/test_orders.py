@@ -15,6 +15,7 @@ from starloom.plans import order_quality as Q
 from starloom.plans.order_cleanse import cleanse_orders
 from starloom.plans.order_warehouse import OrderWarehouse, run_daily_batch
 from starloom.plans.warehouse import open_warehouse
+from starloom.session import prepare, shared_dir
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = [
@@ -256,3 +257,36 @@ def test_bucketed_facts_meet_without_an_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert all("Exchange hashpartitioning(order_sk" not in p and "Bucketed: true" in p for p in plans)
     assert "Exchange hashpartitioning(order_sk" in plain
+
+
+def test_a_table_builds_only_what_it_is_made_of(spark):
+    fresh = OrderWarehouse(spark, "/root/testdata/sf0.001", f"{shared_dir(spark)}/warehouse/only")
+    fresh["dim_date"], fresh["ods_items"]
+    assert not {"fact_order", "fact_transition", "fact_item", "checked_items"} & set(fresh._ready)
+
+
+def test_calendar_has_the_days_of_all_facts(w):
+    from starloom.plans import star as S
+    for fact, day in (("fact_order", "date_sk"), ("fact_item", "date_sk"), ("fact_transition", "transition_date_sk")):
+        assert S.without_day(w, w[fact].filter(F.col(day).isNotNull()), day).count() == 0
+
+
+def test_items_are_laid_out_once(w):
+    files = w["fact_item"].inputFiles()
+    assert files and all("/ordered/" in f and "/month_sk=" in f for f in files)
+
+
+def test_cleansing_moves_only_what_it_uses(spark, w):
+    from starloom.plans.order_cleanse import cleanse_orders
+    plan = cleanse_orders(w["checked_orders"], "B20010801")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_violations" not in plan and "stg_error_desc" not in plan
+
+
+def test_generated_methods_stay_compilable(spark):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        prepare(spark)
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
