@@ -69,7 +69,7 @@ def halted_days(w: Warehouse) -> DataFrame:
 
 def gated(w: Warehouse, feed: str) -> DataFrame:
     """Valid rows of a feed on the days that its fact is loaded: a day on which any feed of the fact failed is halted as a whole."""
-    days = w["gate_days"].filter(F.col("target_table") == GATED[feed][1]).groupBy(facts.DAY).agg(F.min("gate_result").alias("gate_result"))
+    days = w[f"days_{GATED[feed][1]}"].groupBy(facts.DAY).agg(F.min("gate_result").alias("gate_result"))
     return passed_only(result(w, feed), days, facts.DAY)
 
 
@@ -82,8 +82,9 @@ def rejects(w: Warehouse, feed: str) -> DataFrame:
     return result(w, feed).rejects.select(F.lit(GATED[feed][1]).alias("target_table"), F.lit(feed).alias("input_name"), "*")
 
 
-def stacked(w: Warehouse, one: Callable[[Warehouse, str], DataFrame]) -> DataFrame:
-    frames = [one(w, feed) for feed in GATED]
+def stacked(w: Warehouse, one: Callable[[Warehouse, str], DataFrame], table: str | None = None) -> DataFrame:
+    """``one`` of every feed, or of the feeds of one fact."""
+    frames = [one(w, feed) for feed, (_, fact) in GATED.items() if table in (None, fact)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -98,10 +99,24 @@ def _tagged(feed: str) -> Callable[[Warehouse], DataFrame]:
     return lambda w: evaluate_rules(w.feed(feed), GATED[feed][0]()).tagged
 
 
+def _gate_days_of(table: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: stacked(w, gate_days, table)
+
+
+def _gate_days(w: Warehouse) -> DataFrame:
+    first, *rest = dict.fromkeys(fact for _, fact in GATED.values())
+    out = w[f"days_{first}"]
+    for table in rest:
+        out = out.unionByName(w[f"days_{table}"])
+    return out
+
+
 class OpsWarehouse(Warehouse):
     builders = {
         **{f"tagged_{feed}": _tagged(feed) for feed in GATED},
-        "gate_days": lambda w: stacked(w, gate_days),
+        # verdicts per fact: one fact is not kept waiting for the feeds of the others
+        **{f"days_{table}": _gate_days_of(table) for table in dict.fromkeys(fact for _, fact in GATED.values())},
+        "gate_days": _gate_days,
         "dim_asset": _dim_asset,
         "dim_well_field": lambda w: dims.build_dim_well_field(w.feed("well_readings"), None, FIRST_LOAD),
         "dim_cost_center": lambda w: dims.build_dim_cost_center(w.feed("cost_actuals"), None, _stamp()),

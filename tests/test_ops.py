@@ -61,3 +61,15 @@ def test_unit_cost_only_for_upstream_and_zero_budget(spark):
     got = {r.cost_center_code: r for r in marts.mart_financial_cost(actual, center, made, "2026-01-31").collect()}
     assert (got["UP-1"].variance_pct, got["UP-1"].cost_per_bbl_usd) == (None, 5.0)
     assert (got["DS-1"].variance_pct, got["DS-1"].cost_per_bbl_usd) == (100.0, None)
+
+
+def test_a_fact_waits_only_for_its_own_feeds(spark):
+    from starloom.plans.ops_warehouse import OpsWarehouse
+    from starloom.session import shared_dir
+
+    fresh = OpsWarehouse(spark, "/root/testdata/sf0.001", f"{shared_dir(spark)}/warehouse/ops_only")
+    fresh["fact_hse_incident"]
+    assert {n for n in fresh._ready if n.startswith("tagged_")} == {"tagged_incidents"}
+    # one fact's verdicts are those of the whole list
+    whole = fresh["gate_days"].filter("target_table = 'fact_hse_incident'")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, fresh["days_fact_hse_incident"].collect())) != []
