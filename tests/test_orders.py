@@ -290,3 +290,18 @@ def test_generated_methods_stay_compilable(spark):
         assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def _only_broadcasts(df):
+    """Whether no join moves the rows of both sides."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_rows_of_one_copy_stay_where_they_are(spark):
+    columns = dict(order_state="ACK")
+    staged = stage(spark, dict(order_id="a", hour=1, **columns), dict(order_id="a", hour=2, **columns), dict(order_id="b", **columns), dict(order_id=None), dict(order_id=None, hour=3))
+    out = cleanse_orders(staged.withColumn("stg_record_status", F.lit("V")), "B")
+    assert sorted((str(r.order_bk)) for r in out.collect()) == ["None", "a", "b"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and _only_broadcasts(out)
