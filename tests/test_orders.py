@@ -305,3 +305,27 @@ def test_rows_of_one_copy_stay_where_they_are(spark):
     assert sorted((str(r.order_bk)) for r in out.collect()) == ["None", "a", "b"]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and _only_broadcasts(out)
+
+
+def test_flags_do_not_move_whole_rows(spark):
+    from starloom.operators.keyed import with_flag
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # far below the known keys
+    try:
+        known = spark.range(100_000).select(F.concat(F.lit("k"), "id").alias("key"))
+        rows = spark.createDataFrame([(1, "k7"), (2, "x"), (3, None), (4, "k7"), (5, "x"), (6, "")], "id int, key string")
+        out = with_flag(rows, known, "key", "key", "hit", ["id"])
+        assert {r.id: r.hit for r in out.collect()} == {1: True, 2: False, 3: False, 4: True, 5: False, 6: False}
+        assert out.columns == ["id", "key", "hit"] and _only_broadcasts(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_flag_that_nobody_reads_costs_no_join(spark):
+    from starloom.plans.order_cleanse import cleanse_items
+    from starloom.sources.contracts import contract
+    items = contract(spark, SF, "stg_items").limit(50)
+    offerings = contract(spark, SF, "stg_offerings_2")
+    none = offerings.selectExpr("product_offering_id product_offering_bk", "'Y' current_row_flag").limit(0)
+    plan = cleanse_items(Q.check_items(items, offerings, none), "B20010801")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
