@@ -329,3 +329,19 @@ def test_a_flag_that_nobody_reads_costs_no_join(spark):
     none = offerings.selectExpr("product_offering_id product_offering_bk", "'Y' current_row_flag").limit(0)
     plan = cleanse_items(Q.check_items(items, offerings, none), "B20010801")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_items_of_a_batch_give_the_offerings_of_all(spark):
+    rows = [("a", "1", 2.0, "P1"), ("a", "2", 9.0, "P2"), ("a", "3", 9.0, None), ("b", "1", None, "P3"), ("b", "2", None, "P4"), ("c", None, 1.0, "P5")]
+    items = spark.createDataFrame(rows, "order_bk string, order_item_id string, unit_price_incl_vat double, product_offering_bk string")
+    best = facts.primary_items(items)
+    got = lambda df: {(r.order_bk, r.primary_offering_bk) for r in facts.primary_offering(df).collect()}
+    assert best.count() == 3 and got(best) == got(items) == {("a", None), ("b", "P4"), ("c", "P5")}
+
+
+def test_daily_loads_meet_all_items_once(spark, monkeypatch):
+    from starloom.plans import round_trips as R
+    seen, build = [], R.build_fact_order
+    monkeypatch.setattr(R, "build_fact_order", lambda o, items, *rest: seen.append(items.inputFiles()) or build(o, items, *rest))
+    R.orders_in_batches(spark, SF)
+    assert len(seen) == 4 and all(f and all("/daily_items-" in x for x in f) for f in seen)
