@@ -321,6 +321,36 @@ def test_flags_do_not_move_whole_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_flags_are_broadcast_by_the_counted_size_of_absent_keys(spark, monkeypatch):
+    from starloom.operators import keyed
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        known = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("key"))
+        rows = spark.createDataFrame([(1, "k7"), (2, "x"), (3, None)], "id int, key string")
+        for limit, moves in ((keyed.FLAG_BYTES, False), (0, True)):
+            monkeypatch.setattr(keyed, "FLAG_BYTES", limit)
+            out = keyed.with_flag(rows, known, "key", "key", "hit", ["id"])
+            assert {r.id: r.hit for r in out.collect()} == {1: True, 2: False, 3: False}
+            assert _only_broadcasts(out) != moves
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_session_broadcasts_small_sides_only(spark):
+    from starloom import session
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("10MB", session.BROADCAST_BYTES), ("256k", 256 << 10), ("-1", -1), ("20000", 20000)):
+            spark.conf.set(key, given)
+            session.prepare(spark)
+            assert session.bytes_of(spark.conf.get(key)) == kept
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_flag_that_nobody_reads_costs_no_join(spark):
     from starloom.plans.order_cleanse import cleanse_items
     from starloom.sources.contracts import contract
